@@ -48,6 +48,11 @@ class Ctx:
         w = self.w
         return V.report_lines(w.sales_lines, w.sales, w.sites, w.category_rules)
 
+    @cached_property
+    def line_staff(self) -> DataFrame:
+        """Report lines with the ringer ('' -> NULL)."""
+        return V.line_staff(self.report_lines)
+
     @cached_property
     def fact_payments(self) -> DataFrame:
         w = self.w
