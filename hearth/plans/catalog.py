@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators import facts as V
+from hearth.operators import staff as ST
 from hearth.plans.oracle import with_prelude
 from hearth.sources.testdata import Warehouse
 
@@ -63,6 +64,27 @@ class Ctx:
         w = self.w
         return V.void_lines(w.sales_lines, w.sales, w.sites)
 
+    @cached_property
+    def leakage(self) -> DataFrame:
+        return ST.leakage_lines(self.w.sales_lines, self.w.sales, self.w.sites)
+
+    @cached_property
+    def staff_day(self) -> DataFrame:
+        return ST.staff_day(self.w.sales, self.w.payments, self.w.sites, self.report_lines)
+
+    @cached_property
+    def staff_names(self) -> DataFrame:
+        return ST.staff_names(self.w.sales, self.w.sales_lines)
+
+    @cached_property
+    def hours_day(self) -> DataFrame:
+        return ST.staff_hours_day(self.w.staff_shifts, self.w.sites, self.staff_names)
+
+    @cached_property
+    def scorecard_day(self) -> DataFrame:
+        return ST.staff_scorecard_day(self.staff_day, self.report_lines, self.w.sales, self.w.sites,
+                                      self.hours_day)
+
 
 def register(name: str, oracle: str | None = None):
     def deco(fn: Callable[[Ctx], DataFrame]):
