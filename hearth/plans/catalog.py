@@ -64,6 +64,11 @@ class Ctx:
         w = self.w
         return V.void_lines(w.sales_lines, w.sales, w.sites)
 
+    @cached_property
+    def dish_day(self) -> DataFrame:
+        from hearth.operators.baskets import kitchen_dish_day
+        return kitchen_dish_day(self.report_lines, self.w.peazi_order_lines)
+
     @cached_property
     def leakage(self) -> DataFrame:
         return ST.leakage_lines(self.w.sales_lines, self.w.sales, self.w.sites)
@@ -104,7 +109,7 @@ def dbl(*cols):
 # Importing the query modules fills QUERIES / ORACLE.
 def load_all():
     from hearth.plans import q_facts  # noqa: F401
-    for mod in ("q_scorecard", "q_staff", "q_baskets", "q_drinks", "q_bookings", "q_feeds", "q_reports",
+    for mod in ("q_scorecard", "q_menu", "q_staff", "q_baskets", "q_drinks", "q_bookings", "q_feeds", "q_reports",
                 "q_sources", "q_alerts", "q_merge"):
         try:
             __import__(f"hearth.plans.{mod}")

@@ -275,6 +275,241 @@ class Warehouse:
             m2(agg.n * F.lit(12.5).cast("decimal(3,1)")).alias("wage_cost"),
         )
 
+    # ------------------------------------------------------------- site maps
+    @cached_property
+    def ft_site_map(self) -> DataFrame:
+        """Booking-system site codes; locations filled by name containment."""
+        from hearth.operators.merge import fill_location_ids
+        r = self.src("region")
+        raw = r.select((F.lit(2000) + r.r_regionkey).cast("int").alias("ft_site_code"),
+                       r.r_name.alias("site_name"),
+                       F.lit(None).cast("long").alias("business_location_id"),
+                       F.lit(True).alias("is_core"))
+        extra = self.spark.createDataFrame([(2099, "AFRICA (Darts)", None, True)],
+                                           "ft_site_code int, site_name string, business_location_id long, is_core boolean")
+        return fill_location_ids(raw.unionByName(extra), self.sites, only_null=False)
+
+    @cached_property
+    def storekit_site_map(self) -> DataFrame:
+        from hearth.operators.merge import fill_location_ids
+        r = self.src("region")
+        raw = r.select((F.lit(7000) + r.r_regionkey).cast("long").alias("venue_id"),
+                       F.lower(r.r_name).alias("site_name"),
+                       F.lit(None).cast("long").alias("business_location_id"),
+                       F.lit(True).alias("is_core"))
+        return fill_location_ids(raw, self.sites, only_null=False)
+
+    @cached_property
+    def nory_site_map(self) -> DataFrame:
+        r = self.src("region")
+        return r.select(F.concat(F.lit("branch-"), r.r_regionkey.cast("string")).alias("branch_id"),
+                        r.r_name.alias("site_name"),
+                        (F.lit(1000) + r.r_regionkey).cast("long").alias("business_location_id"),
+                        (r.r_regionkey != 4).alias("is_core"))
+
+    @cached_property
+    def sentiment_site_map(self) -> DataFrame:
+        r = self.src("region")
+        return r.select(F.concat(F.lit("The "), r.r_name, F.lit(" Kitchen")).alias("sentiment_label"),
+                        (F.lit(1000) + r.r_regionkey).cast("long").alias("business_location_id"),
+                        F.concat(r.r_name, F.lit(".")).alias("nickname"))
+
+    # -------------------------------------------------------------- bookings
+    @cached_property
+    def bookings(self) -> DataFrame:
+        o = self._order_site
+        k = o.o_orderkey
+        m = self.ft_site_map.select(F.col("ft_site_code").alias("_code"),
+                                    F.col("site_name").alias("_sn"),
+                                    F.col("business_location_id").alias("_bl"))
+        code = F.when(k % 40 == 0, F.lit(2099)).otherwise((o.business_location_id - 1000 + 2000).cast("int"))
+        o = o.withColumn("ft_site_code", code).join(F.broadcast(m), F.col("ft_site_code") == m._code, "left")
+        status_code = F.when(k % 53 != 0, (k % 6 + 1).cast("int"))
+        chan_code = _pick([1, 2, 5, 103], k % 4).cast("int")
+        iface_code = F.when(chan_code == 103, ((F.floor(k / 4) % 8) + 1).cast("int"))
+        secs = ((k * 53) % 50400 + 36000).cast("int")
+        bdate = F.to_date(o.o_orderdate)
+        guests = (k % 8 + 1).cast("int")
+        created_ntz = (F.date_sub(bdate, (k % 4).cast("int")).cast("timestamp_ntz")
+                       + F.make_dt_interval(F.lit(0), F.lit(9), F.lit(0), F.lit(0)))
+        raw_created = F.when(k % 2 == 0, F.date_format(created_ntz, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        return o.select(
+            "ft_site_code",
+            k.cast("string").alias("booking_ref_no"),
+            F.concat(F.lit("BK"), k.cast("string")).alias("booking_code"),
+            F.col("_bl").alias("business_location_id"),
+            F.col("_sn").alias("site_name"),
+            bdate.alias("booking_date"),
+            secs.alias("booking_time_secs"),
+            F.when(k % 17 != 0, (k % 90 + 60).cast("int")).alias("duration_mins"),
+            guests.alias("guest_count"),
+            status_code.alias("status_code"),
+            _pick(["Booked", "Confirmed", "Cancelled", "Show", "NoShow", "Complete"], status_code - 1).alias("status"),
+            chan_code.alias("sale_channel_code"),
+            F.create_map(*[F.lit(x) for kv in [(1, "Web"), (2, "Phone"), (5, "Walk-in"), (103, "Third-party")] for x in kv])
+             [chan_code].alias("sale_channel"),
+            iface_code.alias("interface_type_code"),
+            F.create_map(*[F.lit(x) for kv in [(1, "Google"), (2, "Zomato"), (3, "FTWaiting"), (4, "Swiggy"),
+                                               (5, "EasyDinner"), (7, "RezControl"), (8, "SquareMeal")] for x in kv])
+             [iface_code].alias("interface_type"),
+            F.concat(F.lit("T"), (k % 30).cast("string")).alias("table_no"),
+            (o.o_custkey % 3 == 0).alias("is_reward_member"),
+            F.when(o.o_custkey % 7 != 0, (o.o_custkey % 5).cast("int")).alias("visits"),
+            dec(dec(o.o_totalprice, 14, 2) * F.lit(0.1).cast("decimal(2,1)"), 18, 6).alias("total_amount"),
+            dec(F.when(guests > 6, F.lit(10)).otherwise(F.lit(0)), 18, 6).alias("deposit"),
+            F.when(k % 31 != 0, utc_wallclock_to_instant(created_ntz)).alias("created_on"),
+            F.to_json(F.struct(raw_created.alias("CreatedOn"))).alias("raw"),
+        )
+
+    # ---------------------------------------------------------------- labour
+    @cached_property
+    def _labour_base(self) -> DataFrame:
+        o = self._order_site
+        d = business_date(utc_wallclock_to_instant(_add_minutes(o.o_orderdate, (o.o_orderkey * 37) % 1440)))
+        return (o.groupBy("business_location_id", d.alias("biz_date"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum(dec(o.o_totalprice, 14, 2)).alias("s")))
+
+    @cached_property
+    def nory_labour_daily(self) -> DataFrame:
+        b = self._labour_base
+        n = b.n
+        hours = dec(n * F.lit(0.5).cast("decimal(2,1)"), 18, 6)
+        planned = dec(hours * (F.lit(0.90).cast("decimal(3,2)")
+                               + (F.dayofmonth(b.biz_date) % 5).cast("decimal(2,0)") * F.lit(0.05).cast("decimal(3,2)")), 18, 6)
+        rate = F.lit(11.5).cast("decimal(3,1)")
+        return b.select(
+            F.concat(F.lit("branch-"), (b.business_location_id - 1000).cast("string")).alias("branch_id"),
+            "biz_date",
+            F.col("business_location_id").alias("_bl"),
+            dec(hours * rate, 18, 6).alias("col"),
+            dec(planned * rate, 18, 6).alias("planned_col"),
+            hours.alias("hours"),
+            planned.alias("planned_hours"),
+            dec(F.when(b.business_location_id == 1003, F.lit(0)).otherwise(b.s), 18, 6).alias("sales"),
+            n.cast("int").alias("orders"),
+            dec((n * 7) % 45 + 10, 18, 6).alias("percentage"),
+            dec(F.lit(28), 18, 6).alias("planned_percentage"),
+            dec(n % 50 + 20, 18, 6).alias("splh"),
+            dec(F.lit(2), 18, 6).alias("oplh"),
+        ).join(F.broadcast(self.nory_site_map.select("branch_id", "site_name")), "branch_id").drop("_bl")
+
+    @cached_property
+    def nory_labour_breakdown(self) -> DataFrame:
+        d = self.nory_labour_daily
+        cats = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(sh).cast("decimal(2,1)").alias("share"))
+                         for c, sh in (("FOH", 0.5), ("BOH", 0.3), ("Management", 0.2))])
+        e = d.select("branch_id", "biz_date", "col", "planned_col", "orders", F.explode(cats).alias("c"))
+        e = e.filter((F.col("c.category") != "Management") | (F.col("orders") % 3 != 0))
+        return e.select("branch_id", "biz_date", F.col("c.category").alias("category"),
+                        dec(F.col("col") * F.col("c.share"), 18, 6).alias("value"),
+                        dec(F.col("planned_col") * F.col("c.share"), 18, 6).alias("planned_value"))
+
+    # ---------------------------------------------------------- market lines
+    @cached_property
+    def market_lines_raw(self) -> DataFrame:
+        """Landed market-stall order lines (one row per sold line, duplicates by plu)."""
+        li = self.src("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                         "l_extendedprice", "l_discount", "l_linestatus")
+        li = li.filter(li.l_linestatus == "F")
+        p = self.src("part").select("p_partkey", "p_name", "p_retailprice")
+        r = self._receipts.select("o_orderkey", "time_closed")
+        j = li.join(r, li.l_orderkey == r.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+        plu = j.l_partkey % 50
+        total = dec(j.l_extendedprice, 14, 2)
+        commission = dec(total * F.lit(0.1).cast("decimal(2,1)"), 14, 2)
+        return j.select(
+            F.lit("Market").alias("site"),
+            j.l_orderkey.cast("string").alias("order_number"),
+            F.when(plu != 0, plu.cast("int")).alias("plu"),
+            j.l_linenumber.cast("long").alias("seq"),
+            j.time_closed.alias("order_time"),
+            F.when(plu == 2, F.lit("Tip")).otherwise(j.p_name).alias("name"),
+            F.when(j.l_linenumber != 6, dec(j.l_quantity, 14, 3)).alias("quantity"),
+            dec(j.p_retailprice, 14, 2).alias("price"),
+            total.alias("total"),
+            dec(total * dec(j.l_discount, 4, 2), 14, 2).alias("discount_amount"),
+            dec(F.lit(0), 14, 2).alias("tip"),
+            F.lit(None).cast("decimal(14,2)").alias("charge"),
+            commission.alias("commission"),
+            dec(total - commission, 14, 2).alias("payout"),
+            F.when(j.l_suppkey % 2 == 0, F.lit("card")).otherwise(F.lit("cash")).alias("payment_method"),
+            F.array(F.lit("Market"), F.concat(F.lit("Stall "), (j.l_suppkey % 3).cast("string"))).alias("reporting_labels"),
+        )
+
+    @cached_property
+    def peazi_order_lines(self) -> DataFrame:
+        from hearth.sources.feeds import merge_order_lines
+        return merge_order_lines(self.market_lines_raw)
+
+    # --------------------------------------------------------------- reviews
+    @cached_property
+    def sentiment_reviews(self) -> DataFrame:
+        d = self.src("documents").select("doc_id", "text", "source")
+        r = self.src("region").select("r_regionkey", "r_name")
+        j = d.join(F.broadcast(r), (d.doc_id % 5) == r.r_regionkey)
+        k = j.doc_id
+        label = F.when(k % 37 == 0, F.lit("The Outpost Kitchen")) \
+                 .otherwise(F.concat(F.lit("The "), j.r_name, F.lit(" Kitchen")))
+        rdate = F.date_add(F.lit("2024-01-01").cast("date"), (k % 90).cast("int"))
+        text = F.when(k % 3 == 0, F.concat(j.text, F.lit(" Thanks "), _pick(R.STAFF_NAMES, F.floor(k / 3) % 12),
+                                           F.lit("!"))).otherwise(j.text)
+        reviewer = F.when(k % 6 != 0, F.concat(F.lit("user"), (k % 50).cast("string")))
+        rating = dec(F.floor(k / 5) % 5 + 1, 3, 1)
+        from hearth.sources.feeds import review_hash
+        return j.select(
+            review_hash(label, j.source, rdate, reviewer, text).alias("review_hash"),
+            label.alias("sentiment_label"),
+            j.source.alias("source"),
+            rdate.alias("review_date"),
+            rating.alias("rating"),
+            text.alias("review_text"),
+            reviewer.alias("reviewer"),
+            F.concat(F.lit("reviews_"), j.source, F.lit(".csv")).alias("source_file"),
+        )
+
+    @cached_property
+    def sentiment_overview(self) -> DataFrame:
+        """Vendor overview rows: month grain and day grain per label."""
+        rv = self.sentiment_reviews
+        star = lambda n: F.sum(F.when(F.col("rating") == n, 1).otherwise(0)).cast("int")
+
+        def agg(period, grain):
+            g = rv.groupBy("sentiment_label", period.alias("period_start")).agg(
+                F.count(F.lit(1)).cast("int").alias("reviews"), F.sum("rating").alias("_sum"),
+                star(5).alias("star5"), star(4).alias("star4"), star(3).alias("star3"),
+                star(2).alias("star2"), star(1).alias("star1"))
+            # average rating to 2 dp, half up, in exact integer arithmetic
+            r100 = F.expr("(200 * CAST(_sum AS BIGINT) + reviews) div (2 * reviews)")
+            return g.select(
+                "sentiment_label", "period_start", F.lit(grain).alias("grain"), "reviews",
+                (r100.cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(3,2)").alias("rating"),
+                F.lit(None).cast("decimal(3,2)").alias("competitor_rating"),
+                "star5", "star4", "star3", "star2", "star1",
+                dec(F.col("star5") - F.col("star1") - F.col("star2"), 6, 2).alias("nps"),
+                (F.col("star1") + F.col("star2")).alias("critical"))
+        month = agg(F.to_date(F.date_trunc("month", "review_date")), "month")
+        day = agg(F.col("review_date"), "day")
+        return month.unionByName(day)
+
+    # --------------------------------------------------------- manager report
+    @cached_property
+    def manager_daily_report(self) -> DataFrame:
+        b = self._labour_base
+        s = self.sites
+        j = b.join(F.broadcast(s), "business_location_id")
+        n = j.n
+        return j.select(
+            j.business_name.alias("site"),
+            F.col("biz_date").alias("business_date"),
+            _pick(R.STAFF_NAMES, n % 12).alias("manager_name"),
+            F.concat(F.lit("Served "), n.cast("string"), F.lit(" tables")).alias("positive_highlights"),
+            F.when(n % 4 == 0, F.lit("Ran out of naan")).alias("stockout_detail"),
+            F.when(n % 5 == 0, F.lit("Glasswasher down")).alias("equipment_detail"),
+            F.lit(None).cast("string").alias("customer_comments"),
+            F.when(n % 9 == 0, F.lit("Minor burn, first aid given")).alias("incidents"),
+            F.lit(None).cast("string").alias("further_comments"),
+        )
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
