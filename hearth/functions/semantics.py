@@ -89,6 +89,15 @@ def pct(num, den, digits: int) -> Column:
     return F.round(safe_div(_c(num) * 100.0, den), digits)
 
 
+def round_div(num, den, digits: int) -> Column:
+    """round(num / den, digits) computed in decimals, half away from zero, NULL
+    when den is 0 or NULL -- the exact numeric division of the source SQL rather
+    than a double division (which flips x.xx5 ties)."""
+    n = _c(num).cast("decimal(20,4)")
+    d = _c(den).cast("decimal(10,0)")
+    return F.round(F.when(d != 0, n / d), digits).cast("double")
+
+
 def money(x, scale: int = 4) -> Column:
     """Cast to the warehouse money type (NUMERIC(14,scale)); bad input -> NULL."""
     return F.expr(f"try_cast({x} as decimal(14,{scale}))") if isinstance(x, str) else \

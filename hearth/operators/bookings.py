@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.semantics import business_date, iso_dow, not_cancelled
+from hearth.functions.semantics import business_date, iso_dow, not_cancelled, round_div
 from hearth.plans.joins import broadcast_if_small
 
 
@@ -102,7 +102,6 @@ def unified_site_day(bk_day: DataFrame, sales: DataFrame, lines: DataFrame, ft_s
                    "rating", "nps", "reviews"))
     j = (j.join(dim, F.col("_dbl") == F.col("_bl"), "left")
           .join(sen, (F.col("_sbl") == F.col("_bl")) & (F.col("_sday") == F.col("_day")), "left"))
-    rev_d = F.col("revenue").cast("double")
     return j.select(
         F.col("_bl").alias("business_location_id"),
         F.coalesce(F.col("site_name"), F.col("bk.site")).alias("site"),
@@ -112,8 +111,8 @@ def unified_site_day(bk_day: DataFrame, sales: DataFrame, lines: DataFrame, ft_s
                                      "noshow_bookings", "noshow_covers", "cancelled_bookings", "noshow_rate_pct",
                                      "cancel_rate_pct", "web_bookings", "phone_bookings", "walkin_bookings",
                                      "thirdparty_bookings", "avg_duration_mins")],
-        F.round(rev_d / F.nullif(F.col("bk.booked_covers"), F.lit(0)), 2).alias("spend_per_booked_cover"),
-        F.round(rev_d / F.nullif(F.col("pos_covers"), F.lit(0)), 2).alias("spend_per_pos_cover"),
+        round_div(F.col("revenue"), F.col("bk.booked_covers"), 2).alias("spend_per_booked_cover"),
+        round_div(F.col("revenue"), F.col("pos_covers"), 2).alias("spend_per_pos_cover"),
         F.round(100.0 * F.col("bk.live_covers") / F.nullif(F.col("pos_covers"), F.lit(0)).cast("double"), 1)
          .alias("booked_share_of_pos_pct"),
         "rating", "nps", "reviews",

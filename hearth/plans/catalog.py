@@ -19,6 +19,7 @@ from hearth.plans.oracle import with_prelude
 from hearth.sources.testdata import Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_BODY: dict[str, str] = {}
 ORACLE: dict[str, str] = {}
 
 # Parameters: the full order period, and the "today" of order- and event-based reports.
@@ -69,6 +70,16 @@ class Ctx:
         from hearth.operators.baskets import kitchen_dish_day
         return kitchen_dish_day(self.report_lines, self.w.peazi_order_lines)
 
+    @cached_property
+    def sentiment_overview_v(self) -> DataFrame:
+        from hearth.operators.feeds import sentiment_overview_view
+        return sentiment_overview_view(self.w.sentiment_overview, self.w.sentiment_site_map)
+
+    @cached_property
+    def reviews_v(self) -> DataFrame:
+        from hearth.operators.feeds import sentiment_reviews_view
+        return sentiment_reviews_view(self.w.sentiment_reviews, self.w.sentiment_site_map)
+
     @cached_property
     def leakage(self) -> DataFrame:
         return ST.leakage_lines(self.w.sales_lines, self.w.sales, self.w.sites)
@@ -96,7 +107,7 @@ def register(name: str, oracle: str | None = None):
         QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(Ctx(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         if oracle is not None:
-            ORACLE[name] = with_prelude(oracle)
+            ORACLE_BODY[name] = oracle
         return fn
     return deco
 
@@ -109,11 +120,15 @@ def dbl(*cols):
 # Importing the query modules fills QUERIES / ORACLE.
 def load_all():
     from hearth.plans import q_facts  # noqa: F401
-    for mod in ("q_scorecard", "q_menu", "q_staff", "q_baskets", "q_drinks", "q_bookings", "q_feeds", "q_reports",
-                "q_sources", "q_alerts", "q_merge"):
+    for mod in ("q_scorecard", "q_menu", "q_staff", "q_drinks", "q_bookings", "q_feeds", "q_online",
+                "q_reports", "q_sources", "q_alerts", "q_merge"):
         try:
             __import__(f"hearth.plans.{mod}")
         except ModuleNotFoundError as e:  # modules land incrementally
             if e.name != f"hearth.plans.{mod}":
                 raise
+    # oracle texts are completed once every module has added its shared views
+    for k, body in ORACLE_BODY.items():
+        if k not in ORACLE:
+            ORACLE[k] = with_prelude(body)
     return QUERIES, ORACLE

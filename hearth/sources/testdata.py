@@ -26,8 +26,8 @@ def _arr(values):
 
 
 def _pick(values, idx):
-    """values[idx] for a 0-based integer column."""
-    return F.element_at(_arr(values), (idx + 1).cast("int"))
+    """values[idx] for a 0-based integer column (NULL index -> NULL)."""
+    return F.when(idx.isNotNull(), F.element_at(_arr(values), (idx + 1).cast("int")))
 
 
 def _add_minutes(ts, minutes):
