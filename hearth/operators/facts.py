@@ -27,6 +27,21 @@ def _payload(raw, *fields):
     return F.from_json(raw, schema)
 
 
+# Payload fields the views read, and the typed columns the loader promotes them
+# to (so a report does not re-parse JSON on every line; ``raw`` stays as is).
+LINE_PAYLOAD = {"staffName": "p_staff_name", "staffId": "p_staff_id", "voidReason": "p_void_reason",
+                "discountName": "p_discount_name"}
+PROMOTED = tuple(LINE_PAYLOAD.values())
+
+
+def line_payload(df: DataFrame) -> "F.Column":
+    """Struct ``staffName, staffId, voidReason, discountName`` of a line: the
+    promoted columns when the table has them, else parsed from ``raw``."""
+    if all(c in df.columns for c in PROMOTED):
+        return F.struct(*[F.col(c).alias(k) for k, c in LINE_PAYLOAD.items()])
+    return _payload(F.col("raw"), *LINE_PAYLOAD)
+
+
 def active_rules(rules: DataFrame, dimension: str) -> DataFrame:
     return rules.filter((F.col("dimension") == dimension) & F.col("active"))
 
@@ -100,7 +115,7 @@ def line_item_category(lines: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def fact_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame,
-               keep=("raw", "time_of_sale")) -> DataFrame:
+               keep=("raw", "time_of_sale") + PROMOTED) -> DataFrame:
     """Every line of a non-cancelled receipt with site, London date, shift, wet/dry."""
     sa = (sales.filter(not_cancelled("cancelled"))
                .select(*RECEIPT_KEY, "time_closed"))
@@ -155,8 +170,7 @@ def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: Da
     """
     fl = fact_lines(lines, sales, sites, rules)
     fl = with_categories(fl, rules)
-    p = _payload(F.col("raw"), "staffName", "staffId", "voidReason", "discountName")
-    return (fl.withColumn("_p", p)
+    return (fl.withColumn("_p", line_payload(fl))
               .withColumn("item_category", F.array_min("categories"))
               .withColumn("line_staff", F.col("_p.staffName"))
               .withColumn("line_staff_id", nonempty(F.col("_p.staffId")).try_cast("long"))
@@ -169,8 +183,7 @@ def void_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame) -> DataFram
     """Lines carrying a void reason, values negated to read positive."""
     sa = sales.filter(not_cancelled("cancelled")).select(*RECEIPT_KEY, "time_closed")
     st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
-    p = _payload(F.col("raw"), "voidReason", "staffName")
-    l = lines.withColumn("_p", p).filter(F.coalesce(F.col("_p.voidReason"), F.lit("")) != "")
+    l = lines.withColumn("_p", line_payload(lines)).filter(F.coalesce(F.col("_p.voidReason"), F.lit("")) != "")
     j = l.join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
     return j.select(
         "business_location_id", "site", "account_reference", "line_id", "sku", "name",

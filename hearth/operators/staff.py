@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.semantics import business_date, nonempty, not_cancelled, shift_of
-from hearth.operators.facts import RECEIPT_KEY, _payload, dominant_ringer
+from hearth.operators.facts import RECEIPT_KEY, dominant_ringer, line_payload
 from hearth.operators.scorecard import _fold
 from hearth.plans.joins import broadcast_if_small
 from hearth.sources.reference_data import NON_PERSON_OWNERS
@@ -48,8 +48,7 @@ def leakage_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame) -> DataF
     One pass over the lines: each line explodes into 0, 1 or 2 leakage rows.
     The ringer rule here skips void lines and does not look at cancellation.
     """
-    p = _payload(F.col("raw"), "staffName", "voidReason", "discountName")
-    l = (lines.withColumn("_p", p)
+    l = (lines.withColumn("_p", line_payload(lines))
               .withColumn("_staff", nonempty(F.col("_p.staffName")))
               .withColumn("_void", F.coalesce(F.col("_p.voidReason"), F.lit("")) != ""))
     prim = dominant_ringer(l.filter(~F.col("_void")), "_staff", "net_without_tax").select(*RECEIPT_KEY, "ringer")
@@ -107,10 +106,10 @@ def staff_day(sales: DataFrame, payments: DataFrame, sites: DataFrame, report_li
 
 def staff_names(sales: DataFrame, lines: DataFrame) -> DataFrame:
     """Staff id -> MIN(name) over receipt owners and line servers (numeric ids only)."""
-    o = sales.select(F.get_json_object("raw", "$.ownerId").alias("sid"), F.col("owner_name").alias("name")) \
+    owner_id = F.col("p_owner_id") if "p_owner_id" in sales.columns else F.get_json_object("raw", "$.ownerId")
+    o = sales.select(owner_id.alias("sid"), F.col("owner_name").alias("name")) \
              .filter(F.col("sid").rlike("^[0-9]+$") & F.col("name").isNotNull())
-    p = _payload(F.col("raw"), "staffId", "staffName")
-    l = lines.select(p.alias("_p")).select(F.col("_p.staffId").alias("sid"), F.col("_p.staffName").alias("name")) \
+    l = lines.select(line_payload(lines).alias("_p")).select(F.col("_p.staffId").alias("sid"), F.col("_p.staffName").alias("name")) \
              .filter(F.col("sid").rlike("^[0-9]+$") & nonempty(F.col("name")).isNotNull())
     return (o.unionByName(l).groupBy(F.col("sid").cast("long").alias("staff_id"))
              .agg(F.min("name").alias("name")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hearth.operators import facts as V
 from hearth.operators import staff as ST
 from hearth.plans.oracle import with_prelude
-from hearth.sources.testdata import Warehouse
+from hearth.sources.store import stored_warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_BODY: dict[str, str] = {}
@@ -33,7 +33,7 @@ class Ctx:
     """Warehouse plus the shared derived relations, built lazily once per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.w = Warehouse(spark, sf_dir)
+        self.w = stored_warehouse(spark, sf_dir)
         self.spark = spark
 
     @cached_property

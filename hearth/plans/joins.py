@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 # shipped to every executor. Rule tables, site maps and menus sit far below it.
 BROADCAST_MAX_ROWS = 200_000
 
-_decisions: dict[int, tuple[DataFrame, bool]] = {}
+_decisions: dict[tuple[int, int, int], bool] = {}
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded check: counts at most ``max_rows + 1`` rows, never the whole input."""
-    hit = _decisions.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    _decisions[id(df)] = (df, small)
-    return small
+    """Bounded check: counts at most ``max_rows + 1`` rows, never the whole input.
+    The answer is remembered per logical plan (``semanticHash``), so the same
+    dimension joined in several places is counted once per session."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    hit = _decisions.get(key)
+    if hit is None:
+        hit = df.limit(max_rows + 1).count() <= max_rows
+        _decisions[key] = hit
+    return hit
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

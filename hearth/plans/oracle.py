@@ -99,7 +99,7 @@ TABLES["receipts"] = f"""
   FROM order_site o"""
 
 TABLES["sales"] = """
-  SELECT * EXCLUDE (o_orderkey) FROM receipts"""
+  SELECT * EXCLUDE (o_orderkey), raw->>'ownerId' AS p_owner_id FROM receipts"""
 
 TABLES["lines_base"] = f"""
   SELECT s.business_location_id,
@@ -138,7 +138,10 @@ TABLES["lines_base"] = f"""
   JOIN part p ON p.p_partkey = l.l_partkey"""
 
 TABLES["sales_lines"] = """
-  SELECT * REPLACE (CAST(net_with_tax - net_without_tax AS DECIMAL(14,4)) AS tax_amount) FROM lines_base"""
+  SELECT * REPLACE (CAST(net_with_tax - net_without_tax AS DECIMAL(14,4)) AS tax_amount),
+         raw->>'staffName' AS p_staff_name, raw->>'staffId' AS p_staff_id,
+         raw->>'voidReason' AS p_void_reason, raw->>'discountName' AS p_discount_name
+  FROM lines_base"""
 
 TABLES["payments"] = f"""
   SELECT o.business_location_id,

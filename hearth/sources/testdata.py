@@ -116,6 +116,7 @@ class Warehouse:
             owner.alias("owner_name"),
             F.concat(F.lit("Till "), (k % 3 + 1).cast("string")).alias("device_name"),
             F.to_json(F.struct(owner_id.alias("ownerId"))).alias("raw"),
+            owner_id.alias("p_owner_id"),
         )
 
     @cached_property
@@ -175,6 +176,10 @@ class Warehouse:
                    j.time_closed - F.make_dt_interval(F.lit(0), F.lit(0), (j.l_linenumber * 10).cast("int"), F.lit(0))
                    ).alias("time_of_sale"),
             raw.alias("raw"),
+            staff_name.alias("p_staff_name"),
+            staff_id.alias("p_staff_id"),
+            void_reason.alias("p_void_reason"),
+            discount_name.alias("p_discount_name"),
         )
 
     @cached_property
