@@ -80,6 +80,16 @@ class Ctx:
         from hearth.operators.feeds import sentiment_reviews_view
         return sentiment_reviews_view(self.w.sentiment_reviews, self.w.sentiment_site_map)
 
+    @cached_property
+    def online_orders_v(self) -> DataFrame:
+        from hearth.operators.online import orders_view
+        return orders_view(self.w.storekit_orders, self.w.storekit_site_map)
+
+    @cached_property
+    def pos_online(self) -> DataFrame:
+        from hearth.operators.online import pos_online_receipts
+        return pos_online_receipts(self.w.sales, self.w.payments, self.w.sites)
+
     @cached_property
     def leakage(self) -> DataFrame:
         return ST.leakage_lines(self.w.sales_lines, self.w.sales, self.w.sites)

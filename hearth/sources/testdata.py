@@ -21,6 +21,12 @@ from hearth.functions.semantics import business_date, utc_wallclock_to_instant
 from hearth.sources import reference_data as R
 
 
+# How the event test table plays the online-order webhook.
+ONLINE_EVENT_MAP = [("signup", "order.created"), ("view", "order.accepted"), ("click", "order.ready_for_pickup"),
+                    ("purchase", "order.completed"), ("error", "order.refund.created")]
+ONLINE_ORDER_TYPES = ["Pickup", "Delivery", "Dine-in", "Collection"]
+
+
 def _arr(values):
     return F.array(*[F.lit(v) for v in values])
 
@@ -515,6 +521,56 @@ class Warehouse:
             F.lit(None).cast("string").alias("further_comments"),
         )
 
+    # ------------------------------------------------------- online webhooks
+    @cached_property
+    def webhook_deliveries(self) -> DataFrame:
+        """Landed webhook deliveries (at-least-once): one per event, every tenth
+        delivered twice, a few without a delivery id. ``body`` is the payload as
+        received: bare order for order.created, envelope for everything else."""
+        e = self.src("events").select("event_id", "ts", "user_id", "event_type", "value")
+        k, u = e.event_id, e.user_id
+        etype = (F.when(k % 50 == 7, F.lit("store.updated"))
+                  .otherwise(F.create_map(*[F.lit(x) for kv in ONLINE_EVENT_MAP for x in kv])[e.event_type]))
+        oid = F.concat(F.lit("ord_"), F.floor(k / 4).cast("string"))
+        otype = _pick(ONLINE_ORDER_TYPES, u % 4)
+        venue = F.struct((F.lit(7000) + u % 6).cast("long").alias("id"),
+                         F.concat(F.lit("Venue "), (u % 6).cast("string")).alias("name"),
+                         F.concat(F.lit("venue-"), (u % 6).cast("string")).alias("slug"))
+        order = F.struct(
+            oid.alias("id"), F.concat(F.lit("C"), k.cast("string")).alias("code"), otype.alias("orderType"),
+            (k % 2 == 0).alias("asap"),
+            F.date_format(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("createdAt"),
+            F.lit(None).cast("string").alias("deliveryTime"),
+            F.round(e.value * 100, 2).alias("total"), ((u % 4) * 50).alias("tip"),
+            F.when(otype == "Delivery", F.lit(250)).alias("deliveryFee"),
+            F.when(k % 5 == 0, F.lit(100)).otherwise(F.lit(0)).alias("discountTotal"),
+            venue.alias("venue"),
+            F.struct(F.concat(F.lit("Guest"), u.cast("string")).alias("firstName"),
+                     F.concat(F.lit("g"), u.cast("string"), F.lit("@example.com")).alias("email"),
+                     (u % 2 == 0).alias("marketingConsent")).alias("customer"),
+            F.struct(F.when(otype == "Dine-in", (u % 4 + 1).cast("int")).alias("covers")).alias("table"),
+            F.array(F.struct(F.lit("Curry").alias("name"), (u % 3 + 1).alias("qty"))).alias("items"))
+        slim = F.struct(
+            F.struct(oid.alias("id")).alias("order"),
+            F.when(k % 3 != 0, F.struct(venue["id"].alias("id"), venue["name"].alias("name"))).alias("venue"),
+            F.when(etype == "order.refund.created", F.struct(F.round(e.value * 50).cast("long").alias("amount")))
+             .alias("refund"))
+        body = (F.when(etype == "order.created", F.to_json(order))
+                 .when(etype == "order.accepted", F.to_json(F.struct(etype.alias("event"), order.alias("data"))))
+                 .otherwise(F.to_json(F.struct(etype.alias("event"), slim.alias("data")))))
+        svix = F.when(k % 30 == 0, F.lit("")).otherwise(F.concat(F.lit("msg_"), k.cast("string")))
+        base = e.select((k * 2).alias("seq"), utc_wallclock_to_instant(e.ts).alias("received_at"),
+                        svix.alias("svix_id"), body.alias("body"), k.alias("_k"))
+        again = base.filter(base._k % 10 == 0).select(
+            (F.col("seq") + 1).alias("seq"), (F.col("received_at") + F.expr("INTERVAL 1 MINUTE")).alias("received_at"),
+            "svix_id", "body", "_k")
+        return base.unionByName(again).drop("_k")
+
+    @cached_property
+    def storekit_orders(self) -> DataFrame:
+        from hearth.streaming.orders import orders_from_deliveries
+        return orders_from_deliveries(self.webhook_deliveries)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
