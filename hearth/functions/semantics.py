@@ -89,11 +89,12 @@ def pct(num, den, digits: int) -> Column:
     return F.round(safe_div(_c(num) * 100.0, den), digits)
 
 
-def round_div(num, den, digits: int) -> Column:
+def round_div(num, den, digits: int, scale: int = 4) -> Column:
     """round(num / den, digits) computed in decimals, half away from zero, NULL
     when den is 0 or NULL -- the exact numeric division of the source SQL rather
-    than a double division (which flips x.xx5 ties)."""
-    n = _c(num).cast("decimal(20,4)")
+    than a double division (which flips x.xx5 ties). ``num`` has at most
+    ``scale`` decimals, ``den`` is whole."""
+    n = _c(num).cast(f"decimal({20 + scale},{scale})")
     d = _c(den).cast("decimal(10,0)")
     return F.round(F.when(d != 0, n / d), digits).cast("double")
 

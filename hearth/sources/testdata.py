@@ -44,6 +44,16 @@ def _add_seconds(ts, seconds):
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
+def item_name(partkey, p_name, p_type):
+    """Menu name of a part: some spirits carry a measure ('25ml'/'50ml', a few
+    '0% 25ml'), and modifiers are '.'-prefixed."""
+    spirit = p_type.isin("LARGE", "MEDIUM") & (partkey % 11 == 0)
+    measure = (F.when(partkey % 33 == 0, F.lit(" 0% 25ml")).when(partkey % 22 == 0, F.lit(" 50ml"))
+                .otherwise(F.lit(" 25ml")))
+    base = F.concat(p_name, F.when(spirit, measure).otherwise(F.lit("")))
+    return F.when(partkey % 29 == 0, F.concat(F.lit("."), base)).otherwise(base)
+
+
 def dec(c, p=14, s=4):
     return c.cast(f"decimal({p},{s})")
 
@@ -164,7 +174,7 @@ class Warehouse:
             F.concat_ws("-", j.l_linenumber.cast("string"), j.l_partkey.cast("string"),
                         j.l_suppkey.cast("string")).alias("line_id"),
             j.l_partkey.cast("string").alias("sku"),
-            F.when(j.l_partkey % 29 == 0, F.concat(F.lit("."), j.p_name)).otherwise(j.p_name).alias("name"),
+            item_name(j.p_partkey, j.p_name, j.p_type).alias("name"),
             dec(sign * j.l_quantity, 14, 3).alias("quantity"),
             net_inc.alias("net_with_tax"),
             net_ex.alias("net_without_tax"),
@@ -223,7 +233,7 @@ class Warehouse:
             "business_location_id",
             p.p_partkey.alias("item_id"),
             p.p_partkey.cast("string").alias("sku"),
-            F.when(p.p_partkey % 29 == 0, F.concat(F.lit("."), p.p_name)).otherwise(p.p_name).alias("name"),
+            item_name(p.p_partkey, p.p_name, p.p_type).alias("name"),
             p.p_name.alias("docket_name"),
             group.alias("accounting_group_name"),
             dec(dec(p.p_retailprice, 12, 2) * F.lit(0.35).cast("decimal(3,2)")).alias("cost_price"),
@@ -571,6 +581,50 @@ class Warehouse:
         from hearth.streaming.orders import orders_from_deliveries
         return orders_from_deliveries(self.webhook_deliveries)
 
+    # ------------------------------------------------- drinks reference rows
+    def _drink_parts(self, p_type: str, mod: int, rem: int) -> DataFrame:
+        p = self.src("part").select("p_partkey", "p_name", "p_type", "p_size")
+        return p.filter((p.p_type == p_type) & (p.p_partkey % mod == rem))
+
+    @cached_property
+    def keg_ref(self) -> DataFrame:
+        p = self._drink_parts("LARGE", 7, 0)
+        return p.select(p.p_partkey.cast("string").alias("sku"),
+                        F.concat(F.lit("Keg "), (p.p_partkey % 3).cast("string")).alias("keg_name"),
+                        F.lit(30).alias("keg_litres"),
+                        F.when(p.p_size % 2 == 0, F.lit(568)).otherwise(F.lit(284)).alias("serve_ml"))
+
+    @cached_property
+    def packaged_ref(self) -> DataFrame:
+        p = self._drink_parts("MEDIUM", 7, 0)
+        return p.select(p.p_partkey.cast("string").alias("sku"),
+                        F.concat(F.lit("Bottle "), p.p_name).alias("product"))
+
+    @cached_property
+    def cocktail_bom(self) -> DataFrame:
+        p = self._drink_parts("LARGE", 5, 1)
+        a = p.select(p.p_partkey.cast("string").alias("sku"),
+                     F.concat(F.lit("Spirit "), (p.p_partkey % 4).cast("string")).alias("spirit"),
+                     F.lit(25).cast("decimal(6,2)").alias("ml"))
+        b = p.select(p.p_partkey.cast("string").alias("sku"),
+                     F.concat(F.lit("Spirit "), ((p.p_partkey + 1) % 4).cast("string")).alias("spirit"),
+                     F.lit(12.5).cast("decimal(6,2)").alias("ml"))
+        return a.unionByName(b)
+
+    @cached_property
+    def cocktail_ref(self) -> DataFrame:
+        p = self._drink_parts("LARGE", 5, 1)
+        return p.select(p.p_partkey.cast("string").alias("sku"),
+                        F.concat(p.p_name, F.lit(" cocktail")).alias("cocktail_name"),
+                        (p.p_size % 3 == 0).alias("is_spritz"))
+
+    @cached_property
+    def wine_ref(self) -> DataFrame:
+        p = self._drink_parts("MEDIUM", 5, 2)
+        return p.select(p.p_partkey.cast("string").alias("sku"),
+                        F.concat(F.lit("Wine "), (p.p_partkey % 3).cast("string")).alias("wine_name"),
+                        _pick([125, 175, 250, 750], p.p_partkey % 4).alias("ml"))
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
