@@ -130,8 +130,8 @@ def dbl(*cols):
 # Importing the query modules fills QUERIES / ORACLE.
 def load_all():
     from hearth.plans import q_facts  # noqa: F401
-    for mod in ("q_scorecard", "q_menu", "q_staff", "q_drinks", "q_bookings", "q_feeds", "q_online",
-                "q_reports", "q_sources", "q_alerts", "q_merge"):
+    for mod in ("q_scorecard", "q_menu", "q_staff", "q_drinks", "q_bookings", "q_feeds", "q_online", "q_alerts",
+                "q_reports", "q_sources", "q_merge"):
         try:
             __import__(f"hearth.plans.{mod}")
         except ModuleNotFoundError as e:  # modules land incrementally

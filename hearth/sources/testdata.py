@@ -625,6 +625,109 @@ class Warehouse:
                         F.concat(F.lit("Wine "), (p.p_partkey % 3).cast("string")).alias("wine_name"),
                         _pick([125, 175, 250, 750], p.p_partkey % 4).alias("ml"))
 
+    # ------------------------------------------------------ landed raw feeds
+    @staticmethod
+    def _iso(ts, micros: bool = False):
+        from hearth.functions.semantics import local_time
+        fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'" if micros else "yyyy-MM-dd'T'HH:mm:ss'Z'"
+        return F.date_format(local_time(ts, "UTC"), fmt)
+
+    @cached_property
+    def receipt_docs(self) -> DataFrame:
+        """Receipt payloads as the POS returns them, one JSON document per
+        receipt with its lines and payments nested; key spellings alternate
+        and a few payloads lack the account reference."""
+        key = ["business_location_id", "account_reference"]
+        l = self.sales_lines
+        odd = F.split(l.line_id, "-").getItem(0).cast("int") % 2 == 1
+        disc = l.discount_amount.cast("string")
+        line = F.struct(
+            l.line_id.alias("id"), l.sku.alias("sku"), l["name"].alias("name"),
+            l.quantity.cast("string").alias("quantity"),
+            l.net_with_tax.cast("string").alias("totalNetAmountWithTax"),
+            l.net_without_tax.cast("string").alias("totalNetAmountWithoutTax"),
+            l.menu_list_price.cast("string").alias("menuListPrice"),
+            l.unit_cost_price.cast("string").alias("unitCostPrice"),
+            l.tax_amount.cast("string").alias("taxAmount"),
+            F.when(~odd, disc).alias("totalDiscountAmount"), F.when(odd, disc).alias("discountAmount"),
+            F.struct(F.when(~odd, l.accounting_group_id).alias("accountingGroupId"),
+                     F.when(odd, l.accounting_group_id).alias("id"),
+                     l.accounting_group_name.alias("name")).alias("accountingGroup"),
+            l.revenue_center.alias("revenueCenter"), self._iso(l.time_of_sale).alias("timeOfSale"),
+            l.p_staff_id.alias("staffId"), l.p_staff_name.alias("staffName"),
+            l.p_void_reason.alias("voidReason"), l.p_discount_name.alias("discountName"))
+        lines = l.groupBy(*key).agg(F.collect_list(line).alias("salesLines"))
+        p = self.payments
+        second = p.payment_uuid.endswith("-b")
+        pay = F.struct(F.when(~second, p.payment_uuid).alias("uuid"),
+                       F.when(second, p.payment_uuid).alias("externalReference"),
+                       p.code.alias("code"), p.description.alias("description"),
+                       p.payment_method_id.cast("string").alias("paymentMethodId"),
+                       p.net_with_tax.cast("string").alias("netAmountWithTax"), p.tip.cast("string").alias("tip"),
+                       p.surcharge.cast("string").alias("surcharge"), p["type"].alias("type"))
+        pays = p.groupBy(*key).agg(F.collect_list(pay).alias("payments"))
+        s = self.sales.join(lines, key, "left").join(pays, key, "left")
+        k = s.account_reference.cast("long")
+        opening, closed = self._iso(s.time_opening), self._iso(s.time_closed)
+        doc = lambda ref: F.to_json(F.struct(
+            ref.alias("accountReference"), s.receipt_id.alias("receiptId"),
+            F.when(k % 2 == 0, opening).alias("timeOfOpening"), F.when(k % 2 == 1, opening).alias("timeofOpening"),
+            F.when(k % 3 != 0, closed).alias("timeClosed"), F.when(k % 3 == 0, closed).alias("timeofCloseAndPaid"),
+            s.cancelled.alias("cancelled"), s.dine_in.alias("dineIn"), s.nb_covers.cast("string").alias("nbCovers"),
+            s.table_name.alias("tableName"), s.owner_name.alias("ownerName"), s.p_owner_id.alias("ownerId"),
+            s.device_name.alias("deviceName"), F.col("salesLines"), F.col("payments")))
+        good = s.select("business_location_id", doc(s.account_reference).alias("doc"))
+        junk = s.filter(k % 997 == 0).select("business_location_id", doc(F.lit(None).cast("string")).alias("doc"))
+        return good.unionByName(junk)
+
+    @cached_property
+    def shift_docs(self) -> DataFrame:
+        """Shift payloads with their clock events (a late duplicate CLOCK_IN and
+        a BREAK among them); a few lack the uuid."""
+        e = self.src("events").select("event_id", "ts", "user_id", "event_type", "value")
+        start = utc_wallclock_to_instant(e.ts)
+        out = _add_seconds(start, F.round(e.value * 60))
+        ev = F.array(
+            F.struct(F.lit("CLOCK_IN").alias("eventType"), self._iso(start, True).alias("timestamp")),
+            F.struct(F.lit("BREAK").alias("eventType"), self._iso(start, True).alias("timestamp")),
+            F.struct(F.lit("CLOCK_IN").alias("eventType"),
+                     self._iso(_add_seconds(start, F.lit(3600)), True).alias("timestamp")),
+            F.struct(F.lit("CLOCK_OUT").alias("eventType"),
+                     F.when(e.event_type != "error", self._iso(out, True)).alias("timestamp")))
+        doc = F.to_json(F.struct(F.when(e.event_id % 41 != 0, e.event_id.cast("string")).alias("uuid"),
+                                 (F.lit(500) + e.user_id % 12).cast("string").alias("staffId"),
+                                 self._iso(utc_wallclock_to_instant(F.date_trunc("day", e.ts).cast("timestamp_ntz")))
+                                 .alias("dateInUTC"),
+                                 ev.alias("events")))
+        return e.select((F.lit(1000) + e.user_id % 5).cast("long").alias("business_location_id"), doc.alias("doc"))
+
+    @cached_property
+    def booking_docs(self) -> DataFrame:
+        """Booking payloads per (site code, date) with alternate key spellings,
+        start/end times for some and a Duration in seconds for others."""
+        b = self.bookings
+        k = b.booking_ref_no.cast("long")
+        se = k % 4 == 0
+        dur = b.duration_mins
+        doc = F.to_json(F.struct(
+            F.when(k % 2 == 0, b.booking_ref_no).alias("BookingRefNo"),
+            F.when(k % 2 == 1, b.booking_ref_no).alias("BookingRef"),
+            b.booking_code.alias("BookingCode"),
+            F.when(k % 3 != 0, b.status_code).alias("BookingStatusCode"),
+            F.when(k % 3 == 0, b.status_code).alias("StatusCode"),
+            b.sale_channel_code.alias("SaleChannelCode"), b.interface_type_code.alias("InterfaceTypeCode"),
+            F.when(~se, b.booking_time_secs).alias("BookingTime"),
+            F.when(se, b.booking_time_secs).alias("BookingStartTime"),
+            F.when(se & dur.isNotNull(), b.booking_time_secs + dur * 60).alias("BookingEndTime"),
+            F.when(~se, F.when(k % 5 == 0, dur * 60).otherwise(dur)).alias("Duration"),
+            F.when(k % 2 == 0, b.guest_count).alias("GuestCount"), F.when(k % 2 == 1, b.guest_count).alias("Covers"),
+            b.table_no.alias("TableNo"),
+            F.when(b.is_reward_member, F.lit("1")).otherwise(F.lit("0")).alias("IsRewardMember"),
+            b.visits.alias("Visits"), b.total_amount.cast("string").alias("TotalAmount"),
+            b.deposit.cast("string").alias("Deposit"), self._iso(b.created_on).alias("CreatedOn")))
+        return b.select(F.col("ft_site_code").alias("site_code"), F.col("booking_date").alias("the_date"),
+                        doc.alias("doc"))
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
