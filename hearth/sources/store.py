@@ -44,6 +44,11 @@ class StoredWarehouse:
         self.spark = w.spark
         self._root = None
         self._cache: dict[str, DataFrame] = {}
+        w.stage = self._stage
+
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate shared by several tables once, read it back."""
+        return self._publish(f"_stage_{name}", df)
 
     def _path(self, name: str) -> str:
         if self._root is None:
@@ -71,6 +76,11 @@ class StoredWarehouse:
         src = getattr(self._w, name)
         if not isinstance(src, DataFrame):
             return src
+        return self._publish(name, src)
+
+    def _publish(self, name: str, src: DataFrame) -> DataFrame:
+        if name in self._cache:
+            return self._cache[name]
         path = self._path(name)
         if not self._exists(path):
             tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"

@@ -64,6 +64,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # intermediate results shared by several tables go through ``stage``;
+        # the stored warehouse writes them once instead of recomputing per table
+        self.stage = lambda name, df: df
 
     def src(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -91,7 +94,7 @@ class Warehouse:
                                       "o_orderpriority", "o_orderstatus")
         c = self.src("customer").select("c_custkey", "c_nationkey")
         n = self.src("nation").select("n_nationkey", "n_regionkey")
-        return (o.join(c, o.o_custkey == c.c_custkey)
+        return self.stage("order_site", o.join(c, o.o_custkey == c.c_custkey)
                  .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
                  .select(o["*"], (F.lit(1000) + n.n_regionkey).cast("long").alias("business_location_id")))
 
@@ -116,7 +119,7 @@ class Warehouse:
                          .otherwise(F.concat(F.lit("Order 8G"), (k % 10).cast("string"))))
                   .when(k % 19 == 0, F.lit(None).cast("string"))
                   .otherwise(F.concat(F.lit("Upper Deck, Table "), (k % 20 + 1).cast("string"))))
-        return o.select(
+        return self.stage("receipts", o.select(
             "o_orderkey",
             "business_location_id",
             k.cast("string").alias("account_reference"),
@@ -133,7 +136,7 @@ class Warehouse:
             F.concat(F.lit("Till "), (k % 3 + 1).cast("string")).alias("device_name"),
             F.to_json(F.struct(owner_id.alias("ownerId"))).alias("raw"),
             owner_id.alias("p_owner_id"),
-        )
+        ))
 
     @cached_property
     def sales_lines(self) -> DataFrame:
