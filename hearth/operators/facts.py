@@ -74,12 +74,14 @@ def check_rules_unique(rules: DataFrame) -> DataFrame:
                  .filter(F.col("count") > 1))
 
 
-def _category_lookups(lines: DataFrame, rules: DataFrame):
+def category_lookups(names_from: DataFrame, rules: DataFrame):
     """Three small lookups (group -> cats, sku -> cats, name -> cats).
 
     The ILIKE rules are evaluated once per *distinct item name* (a menu-sized
-    set), not once per line, and the result is folded into one array per name.
+    set, read from ``names_from`` -- the plain line table or the catalogue, one
+    column), not once per line, and the result is folded into one array per name.
     """
+    lines = names_from
     r = active_rules(rules, "item_category")
 
     def fold(df, key):
@@ -95,10 +97,11 @@ def _category_lookups(lines: DataFrame, rules: DataFrame):
     return broadcast_if_small(grp), broadcast_if_small(sku), broadcast_if_small(nm)
 
 
-def with_categories(lines: DataFrame, rules: DataFrame) -> DataFrame:
+def with_categories(lines: DataFrame, rules: DataFrame, lookups=None) -> DataFrame:
     """Adds ``categories``: the distinct item categories a line matches
-    (group OR sku OR name ILIKE), without shuffling the lines."""
-    grp, sku, nm = _category_lookups(lines, rules)
+    (group OR sku OR name ILIKE), without shuffling the lines. ``lookups`` from
+    ``category_lookups`` can be shared by several uses in one query."""
+    grp, sku, nm = lookups or category_lookups(lines, rules)
     empty = F.array().cast("array<string>")
     out = (lines.join(grp, lines["accounting_group_name"] == grp["_g"], "left")
                 .join(sku, lines["sku"] == sku["_s"], "left")
@@ -110,7 +113,8 @@ def with_categories(lines: DataFrame, rules: DataFrame) -> DataFrame:
 
 def line_item_category(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per (line, category) matched."""
-    lc = with_categories(lines.select(*LINE_KEY, "accounting_group_name", "sku", "name"), rules)
+    lc = with_categories(lines.select(*LINE_KEY, "accounting_group_name", "sku", "name"), rules,
+                         category_lookups(lines, rules))
     return lc.select(*LINE_KEY, F.explode("categories").alias("category"))
 
 
@@ -162,14 +166,14 @@ def fact_payments(payments: DataFrame, sales: DataFrame, sites: DataFrame) -> Da
     )
 
 
-def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame) -> DataFrame:
+def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame, lookups=None) -> DataFrame:
     """Fact line + first matching category alphabetically + who rang it.
 
     ``array_min`` over the line's category set replaces the correlated
     ORDER BY .. LIMIT 1: no sort and no second pass over the lines.
     """
     fl = fact_lines(lines, sales, sites, rules)
-    fl = with_categories(fl, rules)
+    fl = with_categories(fl, rules, lookups or category_lookups(lines, rules))
     return (fl.withColumn("_p", line_payload(fl))
               .withColumn("item_category", F.array_min("categories"))
               .withColumn("line_staff", F.col("_p.staffName"))

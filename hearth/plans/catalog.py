@@ -41,14 +41,18 @@ class Ctx:
         w = self.w
         return V.fact_lines(w.sales_lines, w.sales, w.sites, w.category_rules)
 
+    @cached_property
+    def cat_lookups(self):
+        return V.category_lookups(self.w.sales_lines, self.w.category_rules)
+
     @cached_property
     def lines_with_cats(self) -> DataFrame:
-        return V.with_categories(self.fact_lines, self.w.category_rules)
+        return V.with_categories(self.fact_lines, self.w.category_rules, self.cat_lookups)
 
     @cached_property
     def report_lines(self) -> DataFrame:
         w = self.w
-        return V.report_lines(w.sales_lines, w.sales, w.sites, w.category_rules)
+        return V.report_lines(w.sales_lines, w.sales, w.sites, w.category_rules, self.cat_lookups)
 
     @cached_property
     def line_staff(self) -> DataFrame:

@@ -319,7 +319,7 @@ TABLES["nory_labour_breakdown"] = """
 TABLES["market_lines_raw"] = """
   SELECT 'Market' AS site, CAST(l.l_orderkey AS VARCHAR) AS order_number,
          CASE WHEN l.l_partkey % 50 <> 0 THEN CAST(l.l_partkey % 50 AS INTEGER) END AS plu,
-         CAST(l.l_linenumber AS BIGINT) AS seq,
+         CAST(l.l_linenumber AS BIGINT) * 1000000000000000 + l.l_partkey * 10000000 + l.l_suppkey AS seq,
          r.time_closed AS order_time,
          CASE WHEN l.l_partkey % 50 = 2 THEN 'Tip' ELSE p.p_name END AS name,
          CASE WHEN l.l_linenumber <> 6 THEN CAST(l.l_quantity AS DECIMAL(14,3)) END AS quantity,

@@ -30,11 +30,19 @@ def _version_key(sf_dir: str) -> str:
         h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
     for mod in (testdata, reference_data):
         h.update(inspect.getsource(mod).encode())
+    h.update(repr(sorted(BUCKETED.items())).encode())   # storage layout is part of the version
     return h.hexdigest()[:16]
 
 
 ROW_GROUP_BYTES = 8 * 1024 * 1024
 
+# Tables stored bucketed (and sorted) on the receipt key: the lines x receipts
+# join and every per-receipt aggregation then read co-partitioned data and
+# need no shuffle. The bucket count comes from the session
+# (``hearth.receipt.buckets``), default the shuffle partition count.
+RECEIPT_KEY = ["business_location_id", "account_reference"]
+BUCKETED = {"sales": RECEIPT_KEY, "sales_lines": RECEIPT_KEY, "payments": RECEIPT_KEY}
+
 
 class StoredWarehouse:
     """Attribute access returns the stored copy of a warehouse table."""
@@ -78,9 +86,46 @@ class StoredWarehouse:
             return src
         return self._publish(name, src)
 
+    def _buckets(self) -> int:
+        n = self.spark.conf.get("hearth.receipt.buckets", None) or self.spark.conf.get("spark.sql.shuffle.partitions")
+        return int(n)
+
+    def _table_name(self, name: str, path: str) -> str:
+        return "hearth_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
+
+    def _publish_bucketed(self, name: str, src: DataFrame, keys: list[str]) -> DataFrame:
+        """Bucketed copy: written through the catalog under a temporary folder,
+        published by rename, then (re)registered over the final folder with
+        its bucket spec, so any later session reads it co-partitioned."""
+        n = self._buckets()
+        # the bucket count is part of the stored layout: a copy is only ever
+        # registered with the count it was written with
+        path = self._path(f"{name}.b{n}")
+        table = self._table_name(name, path)
+        if not self._exists(path):
+            tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
+            tmp_table = table + "_tmp"
+            self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")
+            (src.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+                .bucketBy(n, *keys).sortBy(*keys).option("path", tmp).saveAsTable(tmp_table))
+            self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")      # external: files stay
+            if not self._rename(tmp, path) and not self._exists(path):
+                raise RuntimeError(f"could not publish {path}")
+        if not self.spark.catalog.tableExists(table):
+            schema = self.spark.read.parquet(path).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys_sql = ", ".join(keys)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+                           f"CLUSTERED BY ({keys_sql}) SORTED BY ({keys_sql}) INTO {n} BUCKETS LOCATION '{path}'")
+        return self.spark.table(table)
+
     def _publish(self, name: str, src: DataFrame) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
+        if name in BUCKETED:
+            df = self._publish_bucketed(name, src, BUCKETED[name])
+            self._cache[name] = df
+            return df
         path = self._path(name)
         if not self._exists(path):
             tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"

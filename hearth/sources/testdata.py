@@ -445,7 +445,8 @@ class Warehouse:
             F.lit("Market").alias("site"),
             j.l_orderkey.cast("string").alias("order_number"),
             F.when(plu != 0, plu.cast("int")).alias("plu"),
-            j.l_linenumber.cast("long").alias("seq"),
+            # arrival order inside an order: line number, then part, then supplier
+            (j.l_linenumber.cast("long") * 10**15 + j.l_partkey * 10**7 + j.l_suppkey).alias("seq"),
             j.time_closed.alias("order_time"),
             F.when(plu == 2, F.lit("Tip")).otherwise(j.p_name).alias("name"),
             F.when(j.l_linenumber != 6, dec(j.l_quantity, 14, 3)).alias("quantity"),
