@@ -46,8 +46,11 @@ def _pair_stats(pairs: DataFrame, singles: DataFrame, tot: DataFrame, keys: list
     s1 = singles.select(*keys, F.col("item").alias("i1"), F.col("sc").alias("s1"))
     s2 = singles.select(*keys, F.col("item").alias("i2"), F.col("sc").alias("s2"))
     j = pairs.join(s1, keys + ["i1"]).join(s2, keys + ["i2"])
-    j = j.join(tot, keys) if keys else j.crossJoin(tot)  # tot: one row per key (or one row)
-    n = F.col("n").cast("double")
+    if keys:
+        j = j.join(tot, keys)
+        n = F.col("n").cast("double")
+    else:   # one overall basket count: an uncorrelated scalar subquery
+        n = tot.select(F.col("n").cast("double")).scalar()
     pc = F.col("pc").cast("double")
     return j.select(
         *keys,

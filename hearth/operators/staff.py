@@ -188,14 +188,15 @@ def staff_reviews_month(scorecard_day: DataFrame, reviews: DataFrame) -> DataFra
              .withColumn("nm", F.regexp_replace("staff", "[^a-zA-Z]", ""))
              .filter(F.length("nm") >= 3)
              .withColumn("tok", F.lower("nm")))
-    rev = (reviews.filter((F.col("rating") >= 5) & (F.coalesce(F.col("review_text"), F.lit("")) != ""))
-           .select("business_location_id", "review_month", "review_hash",
-                   F.explode(F.split(F.lower("review_text"), "[^a-z0-9_]+")).alias("tok"))
-           .filter(F.col("tok") != "")
-           .distinct())
-    return (staff.join(rev, ["business_location_id", "tok"])
-                 .groupBy("business_location_id", "site", "staff", F.col("review_month").alias("mth"))
-                 .agg(F.count(F.lit(1)).alias("reviews")))
+    tokens = (reviews.filter((F.col("rating") >= 5) & (F.coalesce(F.col("review_text"), F.lit("")) != ""))
+              .select("business_location_id", "review_month", "review_hash",
+                      F.explode(F.split(F.lower("review_text"), "[^a-z0-9_]+")).alias("tok")))
+    # the (small) name list is broadcast, so review tokens are matched map-side
+    # and common words never meet in one shuffle partition
+    hits = tokens.join(broadcast_if_small(staff), ["business_location_id", "tok"])
+    return (hits.select("business_location_id", "site", "staff", "review_month", "review_hash").distinct()
+                .groupBy("business_location_id", "site", "staff", F.col("review_month").alias("mth"))
+                .agg(F.count(F.lit(1)).alias("reviews")))
 
 
 def staff_eotw_day(line_staff: DataFrame, sales: DataFrame, payments: DataFrame, leakage: DataFrame,

@@ -176,7 +176,9 @@ TABLES["items"] = f"""
          CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) * CAST(0.35 AS DECIMAL(3,2)) AS DECIMAL(14,4)) AS cost_price,
          'ITEM' AS item_type,
          p.p_partkey % 13 <> 0 AS active
-  FROM part p CROSS JOIN sites s"""
+  FROM (SELECT DISTINCT r.business_location_id, l.l_partkey
+        FROM lineitem l JOIN receipts r ON r.o_orderkey = l.l_orderkey) s
+  JOIN part p ON p.p_partkey = s.l_partkey"""
 
 TABLES["staff_shifts"] = """
   SELECT CAST(1000 + user_id % 5 AS BIGINT) AS business_location_id,

@@ -225,23 +225,27 @@ class Warehouse:
 
     @cached_property
     def items(self) -> DataFrame:
+        """Catalogue per site: every part a site has rung up (distinct site x part
+        from the lines), with the part's menu attributes."""
         p = self.src("part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-        group = (F.when(p.p_type == "PROMO", F.lit("Misc"))
-                  .when(p.p_type.isin("LARGE", "MEDIUM"), F.lit("Alcoholic Drinks"))
-                  .when(p.p_type == "ECONOMY", F.lit("Non-Alcoholic Drinks"))
+        li = self.src("lineitem").select("l_orderkey", "l_partkey")
+        r = self._receipts.select("o_orderkey", "business_location_id")
+        sold = li.join(r, li.l_orderkey == r.o_orderkey).select("business_location_id", "l_partkey").distinct()
+        j = sold.join(p, sold.l_partkey == p.p_partkey)
+        group = (F.when(j.p_type == "PROMO", F.lit("Misc"))
+                  .when(j.p_type.isin("LARGE", "MEDIUM"), F.lit("Alcoholic Drinks"))
+                  .when(j.p_type == "ECONOMY", F.lit("Non-Alcoholic Drinks"))
                   .otherwise(F.lit("Food")))
-        s = self.sites.select("business_location_id")
-        # part x 5 sites: the site side is the fixed 5-row region table
-        return p.crossJoin(F.broadcast(s)).select(
+        return j.select(
             "business_location_id",
-            p.p_partkey.alias("item_id"),
-            p.p_partkey.cast("string").alias("sku"),
-            item_name(p.p_partkey, p.p_name, p.p_type).alias("name"),
-            p.p_name.alias("docket_name"),
+            j.p_partkey.alias("item_id"),
+            j.p_partkey.cast("string").alias("sku"),
+            item_name(j.p_partkey, j.p_name, j.p_type).alias("name"),
+            j.p_name.alias("docket_name"),
             group.alias("accounting_group_name"),
-            dec(dec(p.p_retailprice, 12, 2) * F.lit(0.35).cast("decimal(3,2)")).alias("cost_price"),
+            dec(dec(j.p_retailprice, 12, 2) * F.lit(0.35).cast("decimal(3,2)")).alias("cost_price"),
             F.lit("ITEM").alias("item_type"),
-            (p.p_partkey % 13 != 0).alias("active"),
+            (j.p_partkey % 13 != 0).alias("active"),
         )
 
     @cached_property
