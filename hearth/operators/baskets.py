@@ -33,7 +33,7 @@ def basket_base(lines: DataFrame, sales: DataFrame, sites: DataFrame, as_of, win
     since = F.date_sub(F.lit(as_of).cast("date"), window_days).cast("timestamp")
     s = sales.filter(not_cancelled() & (F.col("time_closed") >= since)).select(
         "business_location_id", "account_reference")
-    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")), basis=sites)
     l = lines.filter((F.col("quantity") > 0) & (F.substring("name", 1, 1) != ".")
                      & F.col("accounting_group_name").isin(*BASKET_GROUPS))
     return (l.join(s, ["business_location_id", "account_reference"]).join(st, "business_location_id")

@@ -96,7 +96,7 @@ def unified_site_day(bk_day: DataFrame, sales: DataFrame, lines: DataFrame, ft_s
     day = F.coalesce(F.col("bk.booking_date"), F.col("sd_date"))
     j = j.withColumn("_bl", bl).withColumn("_day", day)
     dim = broadcast_if_small(ft_site_map.filter(F.col("business_location_id").isNotNull())
-                             .select(F.col("business_location_id").alias("_dbl"), "site_name").distinct())
+                             .select(F.col("business_location_id").alias("_dbl"), "site_name").distinct(), basis=ft_site_map)
     sen = (sentiment_overview_v.filter(F.col("grain") == "day")
            .select(F.col("business_location_id").alias("_sbl"), F.col("period_start").alias("_sday"),
                    "rating", "nps", "reviews"))

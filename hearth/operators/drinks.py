@@ -34,7 +34,7 @@ def drinks_base(lines: DataFrame, sites: DataFrame, as_of, window_days: int = 7)
     days before ``as_of``, summed per (site, sku, name, group, price)."""
     end_day = F.lit(as_of).cast("date")
     lo, hi = _london_midnight(F.date_sub(end_day, window_days)), _london_midnight(end_day)
-    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")), basis=sites)
     l = lines.filter((F.col("quantity") > 0) & F.col("accounting_group_name").isin(*DRINK_GROUPS)
                      & (F.col("time_of_sale") >= lo) & (F.col("time_of_sale") < hi))
     return (l.join(st, "business_location_id")
@@ -91,7 +91,7 @@ def wine(base: DataFrame, wine_ref: DataFrame, cocktail_ref: DataFrame) -> DataF
     """Wine by the glass/bottle plus the prosecco that goes into spritzes."""
     by_glass = (base.join(broadcast_if_small(wine_ref), "sku")
                 .select("site", "wine_name", (F.col("qty") * F.col("ml")).alias("ml")))
-    spritz = broadcast_if_small(cocktail_ref.filter(F.col("is_spritz")).select("sku"))
+    spritz = broadcast_if_small(cocktail_ref.filter(F.col("is_spritz")).select("sku"), basis=cocktail_ref)
     pros = (base.join(spritz, "sku")
             .select("site", F.lit("Prosecco").alias("wine_name"), (F.col("qty") * PROSECCO_PER_SPRITZ_ML).alias("ml")))
     u = by_glass.unionByName(pros)
@@ -111,7 +111,7 @@ def _paid_split(df, key, prefix):
 
 def cocktails(base: DataFrame, cocktail_ref: DataFrame) -> DataFrame:
     """Paid vs bottomless (price 0) serves; a NULL price counts in neither."""
-    j = base.join(broadcast_if_small(cocktail_ref.select("sku", "cocktail_name")), "sku")
+    j = base.join(broadcast_if_small(cocktail_ref.select("sku", "cocktail_name"), basis=cocktail_ref), "sku")
     return _paid_split(j, "cocktail_name", "serves")
 
 
@@ -150,7 +150,7 @@ def order_report(k, p, s, w, c, sd) -> DataFrame:
 
 def drinks_intel(lines: DataFrame, sites: DataFrame) -> DataFrame:
     """Daily units and estimated revenue per drink, all time."""
-    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")), basis=sites)
     l = lines.filter((F.col("quantity") > 0) & F.col("accounting_group_name").isin(*DRINK_GROUPS)).join(st, "business_location_id")
     cat = (F.when(F.col("accounting_group_name") == "Alcoholic Drinks", F.lit("Alcoholic"))
             .when(F.col("accounting_group_name") == "Non-Alcoholic Drinks", F.lit("Non-Alcoholic"))

@@ -50,7 +50,7 @@ def wet_dry_rules(rules: DataFrame) -> DataFrame:
     return broadcast_if_small(
         active_rules(rules, "wet_dry")
         .filter(F.col("match_type") == "accounting_group")
-        .select(F.col("match_value").alias("_wd_group"), F.col("category").alias("_wd_cat")))
+        .select(F.col("match_value").alias("_wd_group"), F.col("category").alias("_wd_cat")), basis=rules)
 
 
 def with_wet_dry(lines: DataFrame, rules: DataFrame) -> DataFrame:
@@ -91,10 +91,12 @@ def category_lookups(names_from: DataFrame, rules: DataFrame):
                 .select(F.col("match_value").alias("_g"), "category"), "_g")
     sku = fold(r.filter(F.col("match_type") == "sku")
                 .select(F.col("match_value").alias("_s"), "category"), "_s")
-    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like").select("match_value", "category"))
+    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like").select("match_value", "category"),
+                              basis=rules)
     names = lines.select(F.col("name").alias("_n")).where(F.col("_n").isNotNull()).distinct()
     nm = fold(names.join(like, F.expr("_n ILIKE match_value")).select("_n", "category"), "_n")
-    return broadcast_if_small(grp), broadcast_if_small(sku), broadcast_if_small(nm)
+    # group and sku lookups are folds of the rule table (never more rows than it)
+    return broadcast_if_small(grp, basis=rules), broadcast_if_small(sku, basis=rules), broadcast_if_small(nm)
 
 
 def with_categories(lines: DataFrame, rules: DataFrame, lookups=None) -> DataFrame:
@@ -123,7 +125,7 @@ def fact_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: Data
     """Every line of a non-cancelled receipt with site, London date, shift, wet/dry."""
     sa = (sales.filter(not_cancelled("cancelled"))
                .select(*RECEIPT_KEY, "time_closed"))
-    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
     j = lines.join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
     j = with_wet_dry(j, rules)
     extra = [c for c in keep if c in lines.columns]
@@ -154,7 +156,7 @@ def fact_payments(payments: DataFrame, sales: DataFrame, sites: DataFrame) -> Da
     """Payments of non-cancelled receipts with site, date, shift (by close time)
     and tender bucket."""
     sa = sales.filter(not_cancelled("cancelled")).select(*RECEIPT_KEY, "time_closed")
-    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
     j = payments.join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
     return j.select(
         "business_location_id", "site", "account_reference", "payment_uuid",
@@ -186,7 +188,7 @@ def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: Da
 def void_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame) -> DataFrame:
     """Lines carrying a void reason, values negated to read positive."""
     sa = sales.filter(not_cancelled("cancelled")).select(*RECEIPT_KEY, "time_closed")
-    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
     l = lines.withColumn("_p", line_payload(lines)).filter(F.coalesce(F.col("_p.voidReason"), F.lit("")) != "")
     j = l.join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
     return j.select(

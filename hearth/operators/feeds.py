@@ -12,7 +12,7 @@ from hearth.plans.joins import broadcast_if_small
 # ------------------------------------------------------------------ reviews
 def sentiment_overview_view(overview: DataFrame, site_map: DataFrame) -> DataFrame:
     """Overview rows with site keys and positive / negative review %."""
-    m = broadcast_if_small(site_map.select("sentiment_label", F.col("nickname").alias("site"), "business_location_id"))
+    m = broadcast_if_small(site_map.select("sentiment_label", F.col("nickname").alias("site"), "business_location_id"), basis=site_map)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     pct = lambda a, b: F.when(F.col("reviews") > 0,
                               F.round(100.0 * (z(a) + z(b)) / F.col("reviews").cast("double"), 1))
@@ -24,7 +24,7 @@ def sentiment_overview_view(overview: DataFrame, site_map: DataFrame) -> DataFra
 
 def sentiment_reviews_view(reviews: DataFrame, site_map: DataFrame) -> DataFrame:
     """One row per review with site keys, month bucket and negative flag (<= 3)."""
-    m = broadcast_if_small(site_map.select("sentiment_label", F.col("nickname").alias("site"), "business_location_id"))
+    m = broadcast_if_small(site_map.select("sentiment_label", F.col("nickname").alias("site"), "business_location_id"), basis=site_map)
     return reviews.join(m, "sentiment_label", "left").select(
         "review_date", F.to_date(F.date_trunc("month", "review_date")).alias("review_month"),
         "site", "business_location_id", "sentiment_label", "source", "rating", "reviewer", "review_text",

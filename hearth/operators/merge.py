@@ -91,7 +91,7 @@ def fill_location_ids(site_map: DataFrame, sites: DataFrame, only_null: bool = T
     replaces the stored id (migration flavour). Both sides are site dimensions;
     the nested-loop join is over a size-checked broadcast of the site table.
     """
-    st = broadcast_if_small(sites.select(F.col("business_location_id").alias("_bl"), F.col("nickname").alias("_nn")))
+    st = broadcast_if_small(sites.select(F.col("business_location_id").alias("_bl"), F.col("nickname").alias("_nn")), basis=sites)
     keyed = site_map.withColumn("_rid", F.monotonically_increasing_id())
     hits = (keyed.select("_rid", name_col)
                  .join(st, F.expr(f"_nn ILIKE concat('%', {name_col}, '%')"))

@@ -26,7 +26,7 @@ def _pounds(c: str):
 def orders_view(orders: DataFrame, site_map: DataFrame) -> DataFrame:
     """Pounds, channel from the order type, validity, London date and week;
     the venue name stands in when the venue is not mapped to a site."""
-    m = broadcast_if_small(site_map.select("venue_id", "site_name", "business_location_id"))
+    m = broadcast_if_small(site_map.select("venue_id", "site_name", "business_location_id"), basis=site_map)
     t = F.col("order_type")
     channel = (F.when(t.ilike("%deliver%"), F.lit("Delivery"))
                 .when(t.ilike("%pickup%") | t.ilike("%collect%"), F.lit("Pickup"))
@@ -85,7 +85,7 @@ def pos_online_receipts(sales: DataFrame, payments: DataFrame, sites: DataFrame)
     ends in a UK postcode, gross without the excluded payment code."""
     s = sales.filter(not_cancelled() & F.col("owner_name").isin(*ONLINE_OWNERS)
                      & ~F.col("table_name").ilike("%Table%"))
-    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")), basis=sites)
     j = s.join(payments.select("business_location_id", "account_reference", "code", "net_with_tax"),
                ["business_location_id", "account_reference"]).join(st, "business_location_id")
     channel = F.when(F.col("table_name").rlike(POSTCODE_END), F.lit("Delivery")).otherwise(F.lit("Collection"))

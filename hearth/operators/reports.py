@@ -19,10 +19,11 @@ def rule_audit(items: DataFrame, rules: DataFrame) -> DataFrame:
     the ILIKE part runs on distinct item names only."""
     r = active_rules(rules, "item_category").select("category", "match_type", "match_value")
     it = items.select("business_location_id", "sku", "name", "accounting_group_name")
-    by_group = it.join(broadcast_if_small(r.filter(F.col("match_type") == "accounting_group")),
+    by_group = it.join(broadcast_if_small(r.filter(F.col("match_type") == "accounting_group"), basis=rules),
                        F.col("accounting_group_name") == F.col("match_value"))
-    by_sku = it.join(broadcast_if_small(r.filter(F.col("match_type") == "sku")), F.col("sku") == F.col("match_value"))
-    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like"))
+    by_sku = it.join(broadcast_if_small(r.filter(F.col("match_type") == "sku"), basis=rules),
+                     F.col("sku") == F.col("match_value"))
+    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like"), basis=rules)
     names = it.select(F.col("name").alias("_n")).where(F.col("_n").isNotNull()).distinct()
     hits = names.join(like, F.expr("_n ILIKE match_value"))
     by_name = it.join(broadcast_if_small(hits), F.col("name") == F.col("_n")).drop("_n")
@@ -121,14 +122,14 @@ def cash_reconciliation(fact_payments: DataFrame, cashoff: DataFrame, sites: Dat
         F.sum("net_with_tax").alias("pos_sales"),
         F.sum(F.when(F.col("tender_group") == "Cash", F.col("net_with_tax"))).alias("pos_cash"),
         F.sum("tip").alias("pos_tips"))
-    sk = broadcast_if_small(sites.select("business_location_id", "nickname", site_key(F.col("nickname")).alias("_k")))
+    sk = broadcast_if_small(sites.select("business_location_id", "nickname", site_key(F.col("nickname")).alias("_k")), basis=sites)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     co = (cashoff.join(sk, site_key(F.col("site")) == sk["_k"])
           .groupBy("business_location_id", "business_date")
           .agg(F.sum("total_sales").alias("declared_sales"), F.sum("actual_cash").alias("counted_cash"),
                F.sum(z("card_tips") + z("cash_tips") + z("service_charge")).alias("declared_tips")))
     j = pos.join(co, ["business_location_id", "business_date"], "full_outer")
-    j = j.join(broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site"))),
+    j = j.join(broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites),
                "business_location_id", "left")
     return j.select(
         "business_location_id", "site", "business_date", "declared_sales", "pos_sales",

@@ -56,13 +56,13 @@ def site_day(report_lines: DataFrame, sales: DataFrame, void_lines: DataFrame,
                   .groupBy("business_location_id", business_date("time_closed").alias("business_date"))
                   .agg(F.sum(F.coalesce(F.col("nb_covers"), F.lit(0))).cast("long").alias("covers")))
     void_agg = void_lines.groupBy(*DAY).agg(F.sum("voided_value").alias("void_value"))
-    sn = broadcast_if_small(sites.select("business_location_id", site_key(F.col("nickname")).alias("_k")))
+    sn = broadcast_if_small(sites.select("business_location_id", site_key(F.col("nickname")).alias("_k")), basis=sites)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     delivery_agg = (cashoff.join(sn, site_key(F.col("site")) == sn["_k"])
                     .groupBy("business_location_id", "business_date")
                     .agg(F.sum(z("uber_eats") + z("just_eat") + z("deliveroo")).alias("delivery_total")))
     d = _fold([lines_agg, covers_agg, void_agg, delivery_agg], DAY)
-    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
+    st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
     d = d.join(st, "business_location_id")
     traded = F.col("sales_exvat").isNotNull()
     when_traded = lambda c: F.when(traded, z(c))
@@ -145,7 +145,7 @@ def plates_per_cover_site(lines: DataFrame, sales: DataFrame, sites: DataFrame,
         F.sum(F.when(F.col("accounting_group_name") == "Food", F.col("quantity") * weight)
                .otherwise(F.lit(0))).alias("plates"))
     s = sales.filter(not_cancelled() & F.col("time_closed").isNotNull())
-    st = broadcast_if_small(sites.select("business_location_id", "nickname"))
+    st = broadcast_if_small(sites.select("business_location_id", "nickname"), basis=sites)
     j = s.join(recf, RECEIPT_KEY).join(st, "business_location_id", "left")
     g = j.groupBy(clean_site_label(F.col("nickname")).alias("site"), "business_location_id",
                   business_date("time_closed").alias("business_date")).agg(
@@ -164,7 +164,7 @@ def plates_per_cover_staff(line_staff: DataFrame, sales: DataFrame, sites: DataF
     recf = line_staff.groupBy(*RECEIPT_KEY).agg(
         F.sum(F.when(F.col("wet_dry") == "dry", F.col("quantity"))).alias("plates"))
     s = sales.filter(not_cancelled() & F.col("time_closed").isNotNull())
-    st = broadcast_if_small(sites.select("business_location_id", "nickname"))
+    st = broadcast_if_small(sites.select("business_location_id", "nickname"), basis=sites)
     j = (prim.filter(~F.col("ringer").isin(*NON_PERSON_LOGINS))
              .join(s, RECEIPT_KEY).join(recf, RECEIPT_KEY).join(st, "business_location_id", "left"))
     g = j.groupBy(F.col("ringer").alias("staff"), "business_location_id",

@@ -28,7 +28,7 @@ GENERIC_LOGINS = ["Manager", "Bar", "Floor", "Staff", "Team", "Host", "Server",
 
 
 def _site(sites):
-    return broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")))
+    return broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
 
 
 def _person_owner():

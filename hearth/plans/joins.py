@@ -24,8 +24,10 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return hit
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, basis: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only behind a row-count check; otherwise leave the choice to
     AQE (which still broadcasts at run time when the side is under the byte
-    threshold, and otherwise plans a sort-merge join)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    threshold, and otherwise plans a sort-merge join). ``basis`` is a table the
+    side is a projection/filter of (never fewer rows), checked instead -- one
+    count per dimension per session however many ways it is projected."""
+    return F.broadcast(df) if is_small(basis if basis is not None else df, max_rows) else df
