@@ -586,8 +586,11 @@ class Warehouse:
 
     @cached_property
     def storekit_orders(self) -> DataFrame:
-        from hearth.streaming.orders import orders_from_deliveries
-        return orders_from_deliveries(self.webhook_deliveries)
+        from hearth.sources.feeds import normalise_events
+        from hearth.streaming.orders import dedupe_deliveries, fold_orders, with_net_sales
+        # parse every delivery once; de-duplication reads the parsed copy twice
+        ev = self.stage("webhook_events", normalise_events(self.webhook_deliveries))
+        return with_net_sales(fold_orders(dedupe_deliveries(ev)))
 
     # ------------------------------------------------- drinks reference rows
     def _drink_parts(self, p_type: str, mod: int, rem: int) -> DataFrame:
