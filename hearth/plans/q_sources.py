@@ -91,3 +91,45 @@ def s21(c: Ctx):
 @register("s25_category_rules", "SELECT id, dimension, category, match_type, match_value, priority, active FROM category_rules")
 def s25(c: Ctx):
     return c.w.category_rules
+
+
+ITEM_COLS = ["business_location_id", "item_id", "sku", "name", "docket_name", "accounting_group_name", "item_type",
+             "active"]
+
+
+@register("s04_map_items", f"SELECT {', '.join(ITEM_COLS)}, CAST(cost_price AS DOUBLE) AS cost_price FROM items")
+def s04(c: Ctx):
+    """S04 + S07: catalogue pages in every wrapper shape -> item rows."""
+    return FE.map_items(c.w.item_pages).select(*ITEM_COLS, *dbl("cost_price"))
+
+
+@register("s06_flatten_locations", "SELECT business_location_id, nickname AS business_name, nickname FROM sites")
+def s06(c: Ctx):
+    return FE.flatten_locations(c.w.business_docs, ["1"]).select("business_location_id", "business_name", "nickname")
+
+
+CASHOFF_HEADER = ["Date", "Total Sales", "Card machine total", "Online Orders", "Uber Eats", "Just Eat", "Deliveroo",
+                  "Petty cash / expenses", "Expected cash", "Actual cash", "Card tips", "Cash tips", "Service charge",
+                  "Covers"]
+_CO_NUM = ["total_sales", "card_sales", "online_orders", "uber_eats", "just_eat", "deliveroo", "petty_cash",
+           "expected_cash", "actual_cash", "card_tips", "cash_tips", "service_charge", "covers"]
+
+
+@register("s16_parse_cashoff", f"SELECT site, business_date, {_num_sql(_CO_NUM)} FROM cashoff_daily")
+def s16(c: Ctx):
+    return FE.parse_cashoff(c.w.cashoff_sheet, CASHOFF_HEADER).select("site", "business_date", *dbl(*_CO_NUM))
+
+
+MANAGER_HEADER = ["Timestamp", "What site are you reporting on?", "Date of Shift", "Manager Name",
+                  "Highlights / achievements", "Any critical stockouts?", "Describe the equipment issue",
+                  "Any notable comments from customers?", "Number of incidents / accidents", "Any further comments?"]
+_MR_COLS = ["site", "business_date", "manager_name", "positive_highlights", "stockout_detail", "equipment_detail",
+            "customer_comments", "incidents", "further_comments"]
+
+
+@register("s17_parse_manager_report", f"""
+SELECT {', '.join(_MR_COLS)}, CAST(business_date AS TIMESTAMP) + INTERVAL 23 HOUR + INTERVAL 15 MINUTE AS submitted_at
+FROM manager_daily_report""")
+def s17(c: Ctx):
+    known = [r[0] for r in c.w.sites.select("business_name").collect()]   # the five site names (a dimension)
+    return FE.parse_manager_report(c.w.manager_sheet, MANAGER_HEADER, known).select(*_MR_COLS, "submitted_at")

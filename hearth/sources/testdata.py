@@ -739,6 +739,81 @@ class Warehouse:
         return b.select(F.col("ft_site_code").alias("site_code"), F.col("booking_date").alias("the_date"),
                         doc.alias("doc"))
 
+    @cached_property
+    def item_pages(self) -> DataFrame:
+        """Catalogue pages of ~50 items per site in every wrapper shape the item
+        endpoint uses (bare list, _embedded, content, data, results), plus the
+        first item of each page alone as a single-object page."""
+        it = self.items
+        page = F.floor(it.item_id / 50)
+        item = F.struct(it.item_id.alias("id"), it.sku.alias("sku"), it["name"].alias("name"),
+                        it.docket_name.alias("docketName"),
+                        F.struct(it.accounting_group_name.alias("name")).alias("accountingGroup"),
+                        it.cost_price.cast("string").alias("costPrice"), it.item_type.alias("itemType"),
+                        it.active.alias("active"))
+        g = (it.groupBy("business_location_id", page.alias("page"))
+               .agg(F.sort_array(F.collect_list(item)).alias("items")))
+        shape = g.page % 5
+        rest = F.slice("items", 2, 1000000)
+        doc = (F.when(shape == 0, F.to_json(rest))
+                .when(shape == 1, F.to_json(F.struct(F.struct(rest.alias("itemList")).alias("_embedded"))))
+                .when(shape == 2, F.to_json(F.struct(rest.alias("content"))))
+                .when(shape == 3, F.to_json(F.struct(rest.alias("data"))))
+                .otherwise(F.to_json(F.struct(rest.alias("results")))))
+        single = F.to_json(F.element_at("items", 1))
+        a = g.select("business_location_id", doc.alias("doc"))
+        b = g.select("business_location_id", single.alias("doc"))
+        return a.unionByName(b)
+
+    @cached_property
+    def business_docs(self) -> DataFrame:
+        """Business payloads: our business with every site as a location (the id
+        under a different key per site), and another business to be filtered."""
+        s = self.sites
+        bl = s.business_location_id
+        loc = F.struct(
+            F.when(bl % 3 == 0, bl.cast("string")).alias("blId"),
+            F.when(bl % 3 == 1, bl).alias("businessLocationId"),
+            F.when(bl % 3 == 2, bl.cast("string")).alias("id"),
+            s.nickname.alias("blName"))
+        locs = s.agg(F.sort_array(F.collect_list(loc)).alias("locs"))
+        ours = locs.select(F.to_json(F.struct(F.lit("1").alias("businessId"), F.lit("Group").alias("businessName"),
+                                              F.col("locs").alias("businessLocations"))).alias("doc"))
+        other = locs.select(F.to_json(F.struct(F.lit("2").alias("businessId"),
+                                               F.col("locs").alias("businessLocations"))).alias("doc"))
+        return ours.unionByName(other)
+
+    @cached_property
+    def cashoff_sheet(self) -> DataFrame:
+        """Cash-off form rows as sheet cells (text as typed: pound signs,
+        thousands commas, US dates), with an earlier, superseded row for some days."""
+        c = self.cashoff_daily
+        money = lambda x: F.when(x.isNotNull(), F.concat(F.lit("£"), F.format_number(x, 2)))
+        d = F.date_format(c.business_date, "M/d/yyyy")
+        cells = F.array(d, money(c.total_sales), money(c.card_sales), money(c.online_orders), money(c.uber_eats),
+                        money(c.just_eat), money(c.deliveroo), money(c.petty_cash), money(c.expected_cash),
+                        money(c.actual_cash), money(c.card_tips), money(c.cash_tips), money(c.service_charge),
+                        c.covers.cast("string"))
+        ordinal = F.datediff(c.business_date, F.lit("1990-01-01")) * 2 + 1
+        good = c.select("site", ordinal.alias("ordinal"), cells.alias("cells"))
+        stale = c.filter(F.dayofmonth(c.business_date) % 4 == 0).select(
+            "site", (ordinal - 1).alias("ordinal"), F.array(d, F.lit("£1.00")).alias("cells"))
+        return good.unionByName(stale)
+
+    @cached_property
+    def manager_sheet(self) -> DataFrame:
+        """Manager form rows as cells, plus rows for an unknown site."""
+        m = self.manager_daily_report
+        cells = F.array(F.date_format(m.business_date, "M/d/yyyy 23:15:00"), m.site,
+                        F.date_format(m.business_date, "M/d/yyyy"), m.manager_name, m.positive_highlights,
+                        m.stockout_detail, m.equipment_detail, m.customer_comments, m.incidents, m.further_comments)
+        ordinal = F.datediff(m.business_date, F.lit("1990-01-01")) * 10 + F.length(m.site)
+        good = m.select(ordinal.alias("ordinal"), cells.alias("cells"))
+        unknown = m.filter(F.dayofmonth(m.business_date) == 1).select(
+            (ordinal + 5).alias("ordinal"),
+            F.array(F.lit(""), F.lit("Nowhere"), F.date_format(m.business_date, "M/d/yyyy")).alias("cells"))
+        return good.unionByName(unknown)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
