@@ -133,3 +133,21 @@ FROM manager_daily_report""")
 def s17(c: Ctx):
     known = [r[0] for r in c.w.sites.select("business_name").collect()]   # the five site names (a dimension)
     return FE.parse_manager_report(c.w.manager_sheet, MANAGER_HEADER, known).select(*_MR_COLS, "submitted_at")
+
+
+@register("s21_parse_review_files", """
+SELECT review_hash, sentiment_label, source, review_date, CAST(rating AS DOUBLE) AS rating, reviewer,
+       length(review_text) AS text_len
+FROM sentiment_reviews""")
+def s21f(c: Ctx):
+    """S18 + S21: review rows landed as CSV files (Business, Source, Date, Rating,
+    Text, User), scanned recursively and parsed back into hashed reviews."""
+    r = c.w.sentiment_reviews
+    rows = r.select(F.col("sentiment_label").alias("Business"), F.col("source").alias("Source"),
+                    F.date_format("review_date", "yyyy-MM-dd").alias("Date"),
+                    F.col("rating").cast("string").alias("Rating"), F.col("review_text").alias("Text"),
+                    F.col("reviewer").alias("User"))
+    path = c.w.landed_csv("reviews", rows)
+    p = FE.parse_reviews(FE.scan_csv(c.spark, path))
+    return p.select("review_hash", "sentiment_label", "source", "review_date", *dbl("rating"), "reviewer",
+                    F.length("review_text").alias("text_len"))

@@ -119,6 +119,18 @@ class StoredWarehouse:
                            f"CLUSTERED BY ({keys_sql}) SORTED BY ({keys_sql}) INTO {n} BUCKETS LOCATION '{path}'")
         return self.spark.table(table)
 
+    def landed_csv(self, name: str, rows: DataFrame) -> str:
+        """A landing folder of CSV files (header row, quoted multi-line cells)
+        written once from ``rows``; returns its path."""
+        path = self._path(f"landing/{name}")
+        if not self._exists(path):
+            tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
+            (rows.write.mode("overwrite").option("header", True).option("escape", '"')
+                 .option("quoteAll", True).csv(tmp))
+            if not self._rename(tmp, path) and not self._exists(path):
+                raise RuntimeError(f"could not publish {path}")
+        return path
+
     def _publish(self, name: str, src: DataFrame) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
