@@ -87,8 +87,13 @@ class StoredWarehouse:
         return self._publish(name, src)
 
     def _buckets(self) -> int:
-        n = self.spark.conf.get("hearth.receipt.buckets", None) or self.spark.conf.get("spark.sql.shuffle.partitions")
-        return int(n)
+        """``hearth.receipt.buckets`` when set (size it to the data on a cluster:
+        a few hundred MB per bucket); otherwise the shuffle partition count,
+        capped so small test runs do not scatter tiny files."""
+        n = self.spark.conf.get("hearth.receipt.buckets", None)
+        if n:
+            return int(n)
+        return max(1, min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 64))
 
     def _table_name(self, name: str, path: str) -> str:
         return "hearth_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
@@ -106,7 +111,9 @@ class StoredWarehouse:
             tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
             tmp_table = table + "_tmp"
             self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")
-            (src.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+            # hash-partition on the bucket key first: each task then writes exactly
+            # one bucket, one file per bucket instead of one per task and bucket
+            (src.repartition(n, *keys).write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
                 .bucketBy(n, *keys).sortBy(*keys).option("path", tmp).saveAsTable(tmp_table))
             self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")      # external: files stay
             if not self._rename(tmp, path) and not self._exists(path):
