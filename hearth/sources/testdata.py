@@ -582,7 +582,7 @@ class Warehouse:
         again = base.filter(base._k % 10 == 0).select(
             (F.col("seq") + 1).alias("seq"), (F.col("received_at") + F.expr("INTERVAL 1 MINUTE")).alias("received_at"),
             "svix_id", "body", "_k")
-        return base.unionByName(again).drop("_k")
+        return self.stage("webhook_deliveries", base.unionByName(again).drop("_k"))
 
     @cached_property
     def storekit_orders(self) -> DataFrame:

@@ -123,3 +123,9 @@ def test_date_grid_and_steps(spark):
     names = INC.register_views(spark, [("v_one", lambda: spark.range(3)),
                                        ("v_two", lambda: spark.sql("SELECT id * 2 AS x FROM v_one"))])
     assert names == ["v_one", "v_two"] and spark.sql("SELECT sum(x) FROM v_two").first()[0] == 6
+
+
+def test_rolling_window(spark):
+    lo, hi = INC.rolling_window("2026-08-20", 14)
+    row = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    assert row.lo == dt.date(2026, 8, 6) and row.hi == dt.date(2026, 8, 20)
