@@ -38,9 +38,13 @@ def _fold(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     return u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in value_cols])
 
 
-def site_day(report_lines: DataFrame, sales: DataFrame, void_lines: DataFrame,
+def site_day(report_lines: DataFrame, sales: DataFrame, void_lines: DataFrame | None,
              cashoff: DataFrame, sites: DataFrame) -> DataFrame:
-    """One row per (site, trading day) present in any of four sources."""
+    """One row per (site, trading day) present in any of four sources.
+
+    Void lines are the report lines (live receipts) that carry a void reason, so
+    when ``void_lines`` is None their value is summed in the same pass over the
+    lines instead of a second lines x receipts join."""
     rl = report_lines
     lines_agg = rl.groupBy(*DAY).agg(
         F.sum("net_ex_vat").alias("sales_exvat"),
@@ -51,17 +55,20 @@ def site_day(report_lines: DataFrame, sales: DataFrame, void_lines: DataFrame,
         F.sum(F.when(F.col("wet_dry") == "dry", F.col("net_ex_vat"))).alias("dry_exvat"),
         _qty_if(F.col("wet_dry") == "wet").alias("drink_qty"),
         _qty_if(F.col("wet_dry") == "dry").alias("plate_qty"),
+        *([] if void_lines is not None else
+          [F.sum(F.when(F.coalesce(F.col("void_reason"), F.lit("")) != "", -F.col("net_ex_vat"))).alias("void_value")]),
     )
     covers_agg = (sales.filter(not_cancelled())
                   .groupBy("business_location_id", business_date("time_closed").alias("business_date"))
                   .agg(F.sum(F.coalesce(F.col("nb_covers"), F.lit(0))).cast("long").alias("covers")))
-    void_agg = void_lines.groupBy(*DAY).agg(F.sum("voided_value").alias("void_value"))
+    void_agg = (void_lines.groupBy(*DAY).agg(F.sum("voided_value").alias("void_value"))
+                if void_lines is not None else None)
     sn = broadcast_if_small(sites.select("business_location_id", site_key(F.col("nickname")).alias("_k")), basis=sites)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     delivery_agg = (cashoff.join(sn, site_key(F.col("site")) == sn["_k"])
                     .groupBy("business_location_id", "business_date")
                     .agg(F.sum(z("uber_eats") + z("just_eat") + z("deliveroo")).alias("delivery_total")))
-    d = _fold([lines_agg, covers_agg, void_agg, delivery_agg], DAY)
+    d = _fold([x for x in (lines_agg, covers_agg, void_agg, delivery_agg) if x is not None], DAY)
     st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
     d = d.join(st, "business_location_id")
     traded = F.col("sales_exvat").isNotNull()
