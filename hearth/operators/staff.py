@@ -94,14 +94,18 @@ def staff_day(sales: DataFrame, payments: DataFrame, sites: DataFrame, report_li
         q(ic == "desserts").alias("dessert_qty"),
         q(ic.isin("cocktails", "241 cocktails")).alias("cocktail_qty"),
         q(special).alias("special_qty"),
-        q(F.col("wet_dry") == "wet").alias("drink_qty"))
+        q(F.col("wet_dry") == "wet").alias("drink_qty"),
+        # for the scorecard (V25): same receipts, so no second pass over the lines
+        q(ic == "poppadoms").alias("poppadom_qty"),
+        q(ic == "241 cocktails").alias("c241_qty"))
     z = lambda c: F.sum(F.coalesce(F.col(c), F.lit(0)))
     return (rec.join(lines, RECEIPT_KEY, "left")
                .groupBy("business_location_id", "site", "staff", "business_date")
                .agg(F.count(F.lit(1)).alias("receipts"), F.sum("covers").cast("long").alias("covers"),
                     F.sum("tips").alias("tips"), z("sales_exvat").alias("sales_exvat"),
                     z("dessert_qty").alias("dessert_qty"), z("cocktail_qty").alias("cocktail_qty"),
-                    z("special_qty").alias("special_qty"), z("drink_qty").alias("drink_qty")))
+                    z("special_qty").alias("special_qty"), z("drink_qty").alias("drink_qty"),
+                    F.sum("poppadom_qty").alias("_poppadom_qty"), F.sum("c241_qty").alias("_c241_qty")))
 
 
 def staff_names(sales: DataFrame, lines: DataFrame) -> DataFrame:
@@ -136,11 +140,12 @@ def staff_scorecard_day(staff_day_df: DataFrame, report_lines: DataFrame, sales:
     Hours join on the staff *name*, as in the source: two ids sharing a name
     repeat the row."""
     person = sales.filter(not_cancelled() & _person_owner())
-    ic = F.col("item_category")
-    cat = (report_lines.join(person.select(*RECEIPT_KEY, F.col("owner_name").alias("staff")), RECEIPT_KEY)
-           .groupBy("business_location_id", "staff", "business_date")
-           .agg(F.sum(F.when(ic == "poppadoms", F.col("quantity"))).alias("poppadom_qty"),
-                F.sum(F.when(ic == "241 cocktails", F.col("quantity"))).alias("c241_qty")))
+    # poppadom / 2-4-1 counts come from the staff-day pass (same receipts); like
+    # the source's join on the owner name, a NULL owner gets none
+    known = F.col("staff").isNotNull()
+    d = (staff_day_df.withColumn("poppadom_qty", F.when(known, F.col("_poppadom_qty")))
+                     .withColumn("c241_qty", F.when(known, F.col("_c241_qty")))
+                     .drop("_poppadom_qty", "_c241_qty"))
     secs = (F.unix_micros("time_closed") - F.unix_micros("time_opening"))
     turn = (person.filter(F.col("time_opening").isNotNull() & F.col("time_closed").isNotNull())
             .join(_site(sites), "business_location_id")
@@ -150,7 +155,7 @@ def staff_scorecard_day(staff_day_df: DataFrame, report_lines: DataFrame, sales:
     hrs = hours_day.select("business_location_id", "staff", "business_date", "hours")
     k = ["business_location_id", "staff", "business_date"]
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return (staff_day_df.join(cat, k, "left").join(turn, k, "left").join(hrs, k, "left")
+    return (d.join(turn, k, "left").join(hrs, k, "left")
             .select("business_location_id", "site", "staff", "business_date", "covers", "receipts", "tips",
                     "sales_exvat", "dessert_qty", "special_qty",
                     z("poppadom_qty").alias("poppadom_qty"), z("c241_qty").alias("c241_qty"),
