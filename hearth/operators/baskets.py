@@ -66,6 +66,9 @@ def basket_pairs(base: DataFrame, min_count: int = 10, by_site: bool = False) ->
     """V29 (all sites) / V30 (``by_site``): item pairs with support, both
     confidences and lift, kept when at least ``min_count`` baskets share them."""
     keys = ["site"] if by_site else []
+    # five branches read the base: compute it once into the shared checkpoint
+    # folder (reliable checkpoint, survives executor loss) instead of five times
+    base = base.checkpoint(eager=True)
     singles = base.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc"))
     tot = base.select(*keys, "bl", "ar").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     frequent = singles.filter(F.col("sc") >= min_count).select(*keys, "item")

@@ -209,7 +209,12 @@ def staff_eotw_day(line_staff: DataFrame, sales: DataFrame, payments: DataFrame,
     """Employee-of-the-week day rows: what each server rang, plus covers,
     sales and tips of the receipts where they were the dominant ringer,
     attributed voids and clocked hours."""
-    ls_ = line_staff.filter(F.col("line_staff").isNotNull())
+    # two branches (per-server sums and the dominant ringer) read these lines:
+    # materialise the few columns they need once in the shared checkpoint folder
+    ls_ = (line_staff.filter(F.col("line_staff").isNotNull())
+           .select("business_location_id", "account_reference", "line_staff", "business_date", "net_ex_vat",
+                   "wet_dry", "item_category", "quantity")
+           .checkpoint(eager=True))
     ic = F.col("item_category")
     ls = ls_.groupBy("business_location_id", F.col("line_staff").alias("staff"), "business_date").agg(
         F.sum("net_ex_vat").alias("line_sales"),
