@@ -74,7 +74,19 @@ def check_rules_unique(rules: DataFrame) -> DataFrame:
                  .filter(F.col("count") > 1))
 
 
-def category_lookups(names_from: DataFrame, rules: DataFrame):
+def name_category_table(lines: DataFrame, rules: DataFrame) -> DataFrame:
+    """The ILIKE part of the rules folded per distinct item name: (name,
+    categories). A small dimension the nightly load can store, so reports do
+    not rescan the line table for its names."""
+    r = active_rules(rules, "item_category")
+    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like").select("match_value", "category"),
+                              basis=rules)
+    names = lines.select(F.col("name").alias("_n")).where(F.col("_n").isNotNull()).distinct()
+    return (names.join(like, F.expr("_n ILIKE match_value")).select("_n", "category")
+                 .groupBy("_n").agg(F.collect_set("category").alias("_c__n")))
+
+
+def category_lookups(names_from: DataFrame, rules: DataFrame, name_table: DataFrame | None = None):
     """Three small lookups (group -> cats, sku -> cats, name -> cats).
 
     The ILIKE rules are evaluated once per *distinct item name* (a menu-sized
@@ -91,10 +103,7 @@ def category_lookups(names_from: DataFrame, rules: DataFrame):
                 .select(F.col("match_value").alias("_g"), "category"), "_g")
     sku = fold(r.filter(F.col("match_type") == "sku")
                 .select(F.col("match_value").alias("_s"), "category"), "_s")
-    like = broadcast_if_small(r.filter(F.col("match_type") == "name_like").select("match_value", "category"),
-                              basis=rules)
-    names = lines.select(F.col("name").alias("_n")).where(F.col("_n").isNotNull()).distinct()
-    nm = fold(names.join(like, F.expr("_n ILIKE match_value")).select("_n", "category"), "_n")
+    nm = name_table if name_table is not None else name_category_table(lines, rules)
     # group and sku lookups are folds of the rule table (never more rows than it)
     return broadcast_if_small(grp, basis=rules), broadcast_if_small(sku, basis=rules), broadcast_if_small(nm)
 

@@ -43,7 +43,8 @@ class Ctx:
 
     @cached_property
     def cat_lookups(self):
-        return V.category_lookups(self.w.sales_lines, self.w.category_rules)
+        return V.category_lookups(self.w.sales_lines, self.w.category_rules,
+                                  name_table=self.w.item_name_categories)
 
     @cached_property
     def lines_with_cats(self) -> DataFrame:

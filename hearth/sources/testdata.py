@@ -814,6 +814,13 @@ class Warehouse:
             F.array(F.lit(""), F.lit("Nowhere"), F.date_format(m.business_date, "M/d/yyyy")).alias("cells"))
         return good.unionByName(unknown)
 
+    @cached_property
+    def item_name_categories(self) -> DataFrame:
+        """Name -> item categories (the ILIKE rules over every distinct line
+        name), maintained with the load so reports need not rescan the lines."""
+        from hearth.operators.facts import name_category_table
+        return name_category_table(self.sales_lines, self.category_rules)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
