@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.semantics import business_date, clean_site_label, iso_dow, local_time, not_cancelled
+from hearth.functions.semantics import business_date, clean_site_label, iso_dow, not_cancelled
 from hearth.plans.joins import broadcast_if_small
 
 BASKET_GROUPS = ["Food", "Alcoholic Drinks", "Non-Alcoholic Drinks"]

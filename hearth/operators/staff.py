@@ -133,8 +133,8 @@ def staff_hours_day(shifts: DataFrame, sites: DataFrame, names: DataFrame) -> Da
                   .agg((F.sum(F.when(F.col("clock_out").isNotNull(), micros)) / 3.6e9).alias("hours")))
 
 
-def staff_scorecard_day(staff_day_df: DataFrame, report_lines: DataFrame, sales: DataFrame,
-                        sites: DataFrame, hours_day: DataFrame) -> DataFrame:
+def staff_scorecard_day(staff_day_df: DataFrame, sales: DataFrame, sites: DataFrame,
+                        hours_day: DataFrame) -> DataFrame:
     """V22 + poppadom / 2-4-1 counts, dwell minutes, turns and hours.
 
     Hours join on the staff *name*, as in the source: two ids sharing a name

@@ -113,8 +113,7 @@ class Ctx:
 
     @cached_property
     def scorecard_day(self) -> DataFrame:
-        return ST.staff_scorecard_day(self.staff_day, self.report_lines, self.w.sales, self.w.sites,
-                                      self.hours_day)
+        return ST.staff_scorecard_day(self.staff_day, self.w.sales, self.w.sites, self.hours_day)
 
 
 def register(name: str, oracle: str | None = None):
