@@ -59,7 +59,7 @@ def not_cancelled(cancelled="cancelled") -> Column:
 
 
 def clean_site_label(x) -> Column:
-    """'Tap Bournemouth.' -> 'Bournemouth': strip trailing dots, then a leading 'Tap '."""
+    """'Tap Harbour.' -> 'Harbour': strip trailing dots, then a leading 'Tap '."""
     return F.regexp_replace(F.regexp_replace(_c(x), r"\.+$", ""), r"^Tap ", "")
 
 

@@ -104,7 +104,7 @@ def basket_attach(base: DataFrame) -> DataFrame:
 
 
 def kitchen_dish_day(report_lines: DataFrame, market_lines: DataFrame,
-                     market_channel: str = "Market (St Pauls)") -> DataFrame:
+                     market_channel: str = "Market stall") -> DataFrame:
     """Units and value per (channel, day, dish), restaurant food plus market
     stall lines (the tip pseudo-line excluded); only days with units > 0."""
     rest = (report_lines.filter(F.col("accounting_group_name") == "Food")

@@ -61,9 +61,9 @@ def test_watermark_ignores_nulls(spark):
 
 
 def test_fill_location_ids(spark):
-    sites = spark.createDataFrame([(10, "Tap Solihull"), (11, "Tap Bournemouth."), (12, "Bournemouth Darts")],
+    sites = spark.createDataFrame([(10, "Tap Harbour"), (11, "Tap Quay."), (12, "Quay Darts")],
                                   "business_location_id long, nickname string")
-    m = spark.createDataFrame([(1, "Solihull", None), (2, "bournemouth", 99), (3, "Nowhere", 5)],
+    m = spark.createDataFrame([(1, "Harbour", None), (2, "quay", 99), (3, "Nowhere", 5)],
                               "code int, site_name string, business_location_id long")
     only_null = {r.code: r.business_location_id for r in K.fill_location_ids(m, sites).collect()}
     assert only_null == {1: 10, 2: 99, 3: 5}

@@ -34,11 +34,11 @@ def test_shift_falls_back_to_second_time(spark):
 
 
 def test_site_label_and_key(spark):
-    df = spark.createDataFrame([("Tap Bournemouth.",), ("Solihull",), ("Tap  X..",)], "n string")
+    df = spark.createDataFrame([("Tap Harbour.",), ("Quay",), ("Tap  X..",)], "n string")
     labels = [r[0] for r in df.select(S.clean_site_label("n")).collect()]
-    assert labels == ["Bournemouth", "Solihull", " X"]
+    assert labels == ["Harbour", "Quay", " X"]
     keys = [r[0] for r in df.select(S.site_key("n")).collect()]
-    assert keys == ["bournemouth", "solihull", "x"]
+    assert keys == ["harbour", "quay", "x"]
 
 
 def test_not_cancelled_treats_null_as_live(spark):
