@@ -20,6 +20,8 @@ CORE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints that cut shared lineage inside a query are removed once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
