@@ -88,11 +88,6 @@ def s21(c: Ctx):
                     F.length("review_text").alias("text_len"))
 
 
-@register("s25_category_rules", "SELECT id, dimension, category, match_type, match_value, priority, active FROM category_rules")
-def s25(c: Ctx):
-    return c.w.category_rules
-
-
 ITEM_COLS = ["business_location_id", "item_id", "sku", "name", "docket_name", "accounting_group_name", "item_type",
              "active"]
 
