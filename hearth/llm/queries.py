@@ -32,10 +32,10 @@ WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
 b AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {SQL_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS gram FROM b),
 places AS (SELECT doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS gram,
-                  unnest(range(1, len(w) - k + 2)) AS at
+                  unnest(range(1, len(w) - k + 2)) AS p
            FROM d JOIN (SELECT DISTINCT k FROM windows) ON len(w) >= k),
-hits AS (SELECT doc_id, item_id, at, k FROM places JOIN windows USING (k, gram)),
-covered AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(at, at + k)) AS word FROM hits) GROUP BY 1),
+hits AS (SELECT doc_id, item_id, p, k FROM places JOIN windows USING (k, gram)),
+covered AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS word FROM hits) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
           FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY 1)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
