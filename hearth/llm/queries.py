@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, exact_dedup, language
+from hearth.llm import decontaminate, exact_dedup, language, ngram_join, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,17 @@ FROM t WINDOW same AS (PARTITION BY x)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.decide(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@register("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    vocabulary = token_counts.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return found.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+                        (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@register("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
