@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, exact_dedup, language, ngram_join, token_counts
+from hearth.llm import decontaminate, exact_dedup, language, ngram_join, quality, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@register("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = language.held_out(F.col("doc_id"), 5, 0)
+    weights = quality.train(quality.training_rows(docs, table(spark, sf_dir, "labels"), ~held))
+    found = quality.score(docs, weights)
+    return found.select("doc_id", held.alias("held_out"), F.col("quality_score").alias("score"),
+                        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
