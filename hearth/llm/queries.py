@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, exact_dedup, language, ngram_join, quality, token_counts
+from hearth.llm import decontaminate, exact_dedup, language, licenses, ngram_join, quality, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.score(docs, weights)
     return found.select("doc_id", held.alias("held_out"), F.col("quality_score").alias("score"),
                         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op2_license_scan", licenses.oracle_sql(SQL_WORDS))
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
