@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, exact_dedup, language, licenses, ngram_join, quality, token_counts
+from hearth.llm import decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_license_scan", licenses.oracle_sql(SQL_WORDS))
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op6_kd_tree_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), shards=16)
+    return found.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
