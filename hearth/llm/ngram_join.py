@@ -17,6 +17,7 @@ into all their pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -25,45 +26,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import Shipped, binaries, keyed, staged
+from hearth.llm.hashing import WordHasher, rolled
 
 WORDS = 4                   # words per shingle
 PERCENT = 85                # least Jaccard similarity
 REGION = 20                 # per cent of a set whose tokens are counted for the order
 SKETCH_CELLS = 1 << 22      # cells of the frequency sketch (one byte each)
 FILTER_BITS = 1 << 25       # bits of the shared-token filter
-MOST_MATCHES = 4            # largest l
-VERIFY_COST = 16.0          # cost of verifying a candidate, in posting entries
-MEMO_WORDS = 1_000_000      # word hashes a task keeps
+FREQUENT = 3                # log2 of the document frequency from which a token goes last
+MOST_MATCHES = 8            # largest l
+VERIFY_COST = 0.2           # cost of verifying a candidate, in posting entries per token of the set
+DECAY = 0.5                 # part of the candidates with l matches that has l + 1
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered; forgets everything when full."""
+#: ASCII blanks become spaces, A-Z lower case.
+FOLD = bytes(32 if 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return value
 
-
-def _avalanche(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingle_set(data: bytes | None, hashes: WordHashes, words: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text (words split at ASCII blanks,
+def shingle_sets(texts: list[bytes | None], hasher: WordHasher, words: int) -> Iterator[np.ndarray]:
+    """Per text, the sorted distinct shingle hashes (words split at ASCII blanks,
     A-Z lower-cased); a text of fewer words is one shingle, without words none."""
-    found = data.lower().split() if data else []
-    if not found:
-        return np.zeros(0, np.int64)
-    h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    k = min(words, len(h))
-    rolled = np.full(len(h) - k + 1, k, np.uint64)
-    for i in range(k):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - k + 1 + i]
-    return np.unique(_avalanche(rolled).view(np.int64))
+    for slab in hasher.slabs(texts):
+        grams = rolled(slab.hashes, words)
+        for start, end in zip(slab.offsets[:-1].tolist(), slab.offsets[1:].tolist()):
+            if end - start >= words:
+                tokens = np.sort(grams[start:end - words + 1])
+                fresh = np.empty(len(tokens), bool)
+                fresh[0] = True
+                np.not_equal(tokens[1:], tokens[:-1], out=fresh[1:])
+                yield tokens[fresh]
+            elif end > start:
+                yield rolled(slab.hashes[start:end], end - start)
+            else:
+                yield np.zeros(0, np.int64)
 
 
 def set_digest(tokens: np.ndarray) -> bytes:
@@ -79,6 +74,10 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def region_size(n: int) -> int:
+    return min(n, n * REGION // 100 + 8)
+
+
 def _bits(positions: np.ndarray, size: int) -> np.ndarray:
     table = np.zeros(size >> 3, np.uint8)
     np.bitwise_or.at(table, positions >> 3, (1 << (positions & 7)).astype(np.uint8))
@@ -96,24 +95,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-def frequency_sketch(texts: DataFrame, words: int) -> np.ndarray:
-    """log2 of the document frequency, per cell of hashed tokens (0: below 2). All
-    documents count, each with the lowest ``REGION`` per cent of its tokens, which
-    is where prefixes come from. The result has a fixed size."""
-
-    def run(batches):
-        hashes, seen = WordHashes(), set()
-        for batch in batches:
-            out = []
-            for data in binaries(batch.column(0)):
-                tokens = shingle_set(data, hashes, words)
-                digest = set_digest(tokens)
-                if digest not in seen:
-                    seen.add(digest)
-                    out.append(tokens[:len(tokens) * REGION // 100 + 4])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *out]))], names=["token"])
-
-    counted = texts.mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def _counted(tokens: DataFrame) -> np.ndarray:
+    """log2 of how often each token occurs (0: once), per cell; a cell keeps the most."""
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     cells = counted.select(F.col("token").bitwiseAND(SKETCH_CELLS - 1).cast("int").alias("cell"),
                            F.least(F.lit(15), F.floor(F.log2("n"))).cast("byte").alias("level"))
     got = cells.groupBy("cell").agg(F.max("level").alias("level")).toArrow()
@@ -122,22 +106,63 @@ def frequency_sketch(texts: DataFrame, words: int) -> np.ndarray:
     return sketch
 
 
+def frequency_sketch(texts: DataFrame, words: int, percent: int) -> np.ndarray:
+    """log2 of the document frequency, per cell of hashed tokens. First all documents
+    count the lowest ``REGION`` per cent of their tokens, which is where prefixes
+    come from; then those with too many frequent tokens there, whose prefixes must
+    reach further, count the rest of theirs. The result has a fixed size."""
+
+    def emit(part):
+        def run(batches):
+            hasher, seen = WordHasher(FOLD), set()
+            for batch in batches:
+                out = [np.zeros(0, np.int64)]
+                for tokens in shingle_sets(binaries(batch.column(0)), hasher, words):
+                    digest = set_digest(tokens)
+                    if digest not in seen:
+                        seen.add(digest)
+                        out.append(part(tokens))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["token"])
+        return texts.mapInArrow(run, "token long")
+
+    sketch = _counted(emit(lambda tokens: tokens[:region_size(len(tokens))]))
+    shipped = Shipped(texts.sparkSession, sketch)
+
+    def rest():
+        known = []
+
+        def part(tokens):
+            if not known:
+                known.append(shipped.get())
+            region = region_size(len(tokens))
+            rare = np.count_nonzero(known[0][tokens[:region] & (SKETCH_CELLS - 1)] < FREQUENT)
+            enough = rare >= len(tokens) - least_overlap(len(tokens), percent) + MOST_MATCHES
+            return tokens[:0] if enough else tokens[region:]
+        return part
+
+    return np.maximum(sketch, _counted(emit(rest())))
+
+
 def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """(prefix, l): the cheapest prefix length and the matches it requires."""
+    """(prefix, l): the cheapest prefix length and the matches it requires. The
+    order is by hash, with frequent tokens last, the most frequent at the end."""
     n = len(tokens)
     level = sketch[tokens & (len(sketch) - 1)]
-    order = np.argsort(level, kind="stable")
+    order = np.argsort(np.where(level < FREQUENT, 0, level), kind="stable")
     need = least_overlap(n, percent)
     most = min(MOST_MATCHES, need)
     first = order[:n - need + most]
-    others = np.exp2(level[first].astype(np.float64)) - 1
+    others = np.exp2(level.astype(np.float64)) - 1
+    region = region_size(n)     # beyond it counts may lack documents: take the mean at least
+    others[region:] = np.maximum(others[region:], others[:region].mean())
+    others = others[first]
     best, cost = 1, np.inf
     for l in range(1, most + 1):
         lists = others[:n - need + l]
         entries = float(lists.sum())
         # a candidate with l matches shows up outside the l - 1 longest lists
         rest = entries if l == 1 else float(np.sort(lists)[:-(l - 1)].sum())
-        c = entries + VERIFY_COST * min(entries / l, rest)
+        c = entries + VERIFY_COST * n * min(entries * DECAY ** (l - 1), rest)
         if c < cost:
             best, cost = l, c
     return tokens[first[:n - need + best]], best
@@ -152,12 +177,11 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
     shipped = Shipped(rows.sparkSession, sketch)
 
     def run(batches):
-        sketch, hashes, seen = shipped.get(), WordHashes(), set()
+        sketch, hasher, seen = shipped.get(), WordHasher(FOLD), set()
         none = np.zeros(0, np.int64)
         for batch in batches:
             n, cid, short, least, out = [], [], [], [], []
-            for data in binaries(batch.column(3)):
-                tokens = shingle_set(data, hashes, words)
+            for tokens in shingle_sets(binaries(batch.column(3)), hasher, words):
                 digest = set_digest(tokens)
                 prefix, l = none, 1
                 if len(tokens) and digest not in seen:
@@ -181,10 +205,13 @@ def _filter_table(values: DataFrame) -> np.ndarray:
     return _bits(cells["c"].to_numpy().astype(np.int64), FILTER_BITS)
 
 
-def shared_postings(rows: DataFrame) -> DataFrame:
-    """``token, short, cid, n, l, share`` for prefix tokens that occur in two
-    prefixes or more (a few others pass the filter). ``share``: part of the prefix
-    that is left, in thousandths."""
+def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
+    """One row per class and prefix token that occurs in two prefixes or more (a few
+    others pass the filter): ``token, short, cid, n, l``; ``at``, the token's place
+    in the class's order; ``met``, how many such tokens come before it; ``share``,
+    the part of the prefix that is left, in thousandths; and ``reach``, the largest
+    set this class can link with if this is their first common token or a later one:
+    the tokens before it that nobody shares are lost to any overlap."""
     tokens = rows.select(F.explode("prefix").alias("v"))
     bits = _filter_table(tokens.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shipped = Shipped(rows.sparkSession, bits)
@@ -193,47 +220,68 @@ def shared_postings(rows: DataFrame) -> DataFrame:
         bits = shipped.get()
         for batch in batches:
             lists = batch.column(4)
-            sizes = np.diff(lists.offsets.to_numpy())
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            sizes = np.diff(offsets)
             flat = lists.flatten().to_numpy()
             keep = _has(bits, flat)
-            row = np.repeat(np.arange(batch.num_rows), sizes)[keep]
-            left = np.bincount(row, minlength=batch.num_rows)
-            share = 1000 * left // np.maximum(sizes, 1)
-            short, cid, n, l = (batch.column(i).take(pa.array(row)) for i in range(4))
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            kept = np.concatenate([[0], np.cumsum(keep)])
+            at = (np.arange(len(flat)) - offsets[row])[keep]
+            met = (kept[:-1] - kept[offsets[row]])[keep]
+            row = row[keep]
+            n = batch.column(2).to_numpy()[row]
+            share = 1000 * np.bincount(row, minlength=batch.num_rows) // np.maximum(sizes, 1)
+            reach = (n - (at - met)) * (100 + percent) // percent - n
+            short, cid, _, l = (batch.column(i).take(pa.array(row)) for i in range(4))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), short, cid, n, l, pa.array(share[row].astype(np.int32))],
-                names=["token", "short", "cid", "n", "l", "share"])
+                [pa.array(flat[keep]), short, cid, pa.array(n), l, pa.array(at.astype(np.int32)), pa.array(met.astype(np.int32)),
+                 pa.array(share[row].astype(np.int32)), pa.array(reach)],
+                names=["token", "short", "cid", "n", "l", "at", "met", "share", "reach"])
 
     own = rows.filter(F.size("prefix") > 0).select("short", "cid", "n", "l", "prefix")
-    posted = own.mapInArrow(run, "token long, short long, cid binary, n long, l int, share int")
+    posted = own.mapInArrow(run, "token long, short long, cid binary, n long, l int, at int, met int, share int, reach long")
     return posted.dropDuplicates(["token", "cid"])
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that allow the similarity."""
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+def _may_link(x: str, y: str, percent: int):
+    """Whether two postings of one token leave room for the similarity: at most the
+    smaller ``met`` tokens match before, one here, and all that follow."""
+    most = F.least(f"{x}met", f"{y}met") + 1 + F.least(F.col(f"{x}n") - F.col(f"{x}at"), F.col(f"{y}n") - F.col(f"{y}at")) - 1
+    sizes = F.col(f"{x}n") + F.col(f"{y}n")
+    return (most * (100 + percent) >= sizes * percent) & (
+        F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * percent)
+
+
+def _open_lists(post: DataFrame, percent: int) -> DataFrame:
+    """Postings that may link with another component in their list, by the sizes
+    there, in lists that still hold two components."""
+    ends = post.groupBy("token").agg(F.min("n").alias("least_n"), F.max("reach").alias("most_n"),
+                                     F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").drop("lo", "hi")
+    some = staged(post.join(ends, "token").filter("reach >= least_n and n <= most_n").drop("least_n", "most_n"))
+    both = some.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    return some.join(both.select("token"), "token", "left_semi")
 
 
 def hub_pairs(post: DataFrame, percent: int) -> DataFrame:
     """Candidates between each list's hub (the class with most of its prefix shared)
     and the list's other classes; lists within one component give none."""
-    lists = post.groupBy("token").agg(F.max(F.struct("share", "short", "cid", "n", "l", "root")).alias("h"),
-                                      F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    met = post.join(lists.select("token", "h"), "token").filter(
-        (F.col("root") != F.col("h.root")) & _fits("n", "h.n", percent))
-    return _matched(met.select(F.col("short").alias("sa"), F.col("cid").alias("a"), F.col("h.short").alias("sb"),
-                               F.col("h.cid").alias("b"), F.least("l", "h.l").alias("l")))
+    post = staged(_open_lists(post, percent))
+    lists = post.groupBy("token").agg(F.max(F.struct("share", "short", "cid", "n", "l", "at", "met", "root")).alias("h"))
+    hubs = lists.select("token", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("short", "cid", "n", "l", "at", "met", "root")])
+    met = post.join(hubs, "token").filter((F.col("root") != F.col("h_root")) & _may_link("", "h_", percent))
+    return _matched(met.select(F.col("short").alias("sa"), F.col("cid").alias("a"), F.col("h_short").alias("sb"),
+                               F.col("h_cid").alias("b"), F.least("l", "h_l").alias("l")))
 
 
 def cross_pairs(post: DataFrame, percent: int) -> DataFrame:
     """All candidates whose two classes lie in different components."""
-    lists = post.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    left = staged(post.join(lists, "token", "left_semi"))
-    x = left.select("token", *[F.col(c).alias(f"{c}_x") for c in ("short", "cid", "n", "l", "root")])
-    y = left.select("token", *[F.col(c).alias(f"{c}_y") for c in ("short", "cid", "n", "l", "root")])
-    met = x.join(y, "token").filter((F.col("root_x") < F.col("root_y")) & _fits("n_x", "n_y", percent))
-    return _matched(met.select(F.col("short_x").alias("sa"), F.col("cid_x").alias("a"), F.col("short_y").alias("sb"),
-                               F.col("cid_y").alias("b"), F.least("l_x", "l_y").alias("l")))
+    post = staged(_open_lists(post, percent))
+    x, y = (post.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("short", "cid", "n", "l", "at", "met", "root")])
+            for side in "xy")
+    met = x.join(y, "token").filter((F.col("x_root") < F.col("y_root")) & _may_link("x_", "y_", percent))
+    return _matched(met.select(F.col("x_short").alias("sa"), F.col("x_cid").alias("a"), F.col("y_short").alias("sb"),
+                               F.col("y_cid").alias("b"), F.least("x_l", "y_l").alias("l")))
 
 
 def _matched(met: DataFrame) -> DataFrame:
@@ -246,11 +294,10 @@ def class_sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     shipped = Shipped(texts.sparkSession, _filter_table(wanted))
 
     def run(batches):
-        bits, hashes, seen = shipped.get(), WordHashes(), set()
+        bits, hasher, seen = shipped.get(), WordHasher(FOLD), set()
         for batch in batches:
             cid, out = [], []
-            for data in binaries(batch.column(0)):
-                tokens = shingle_set(data, hashes, words)
+            for tokens in shingle_sets(binaries(batch.column(0)), hasher, words):
                 digest = set_digest(tokens)
                 if len(tokens) and digest not in seen and _has(bits, np.array([short_id(digest)]))[0]:
                     seen.add(digest)
@@ -320,10 +367,10 @@ def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """(rows, roots): one row per document with its class ``cid`` (``n`` 0: empty
     set), and ``node, root`` of all linked classes."""
     texts = docs.select("text")
-    sketch = frequency_sketch(texts, words)
+    sketch = frequency_sketch(texts, words, percent)
     rows = staged(prefixes(keyed(docs).select(F.col("__k1"), F.col("__k2"), F.col("doc_id").cast("long"), "text"),
                            sketch, words, percent))
-    post = staged(shared_postings(rows))
+    post = staged(shared_postings(rows, percent))
     near = staged(verified(staged(hub_pairs(_rooted(post, None), percent)), texts, words, percent))
     roots = components(near)
     rest = staged(cross_pairs(_rooted(post, roots), percent))

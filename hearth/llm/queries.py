@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
+from hearth.llm import archives, decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), shards=16)
     return found.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op5_arc_to_warc", f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+m AS (SELECT *, n >= {archives.REVISIT_BYTES} AND page_id < max(page_id) OVER (PARTITION BY h) AS again,
+             max(page_id) OVER (PARTITION BY h) AS top FROM d)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN top END AS refers_to FROM m
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archives.convert_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
