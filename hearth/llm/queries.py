@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import archives, decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
+from hearth.llm import archives, byte_bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN again THEN 'r
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archives.convert_pages(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op8_byte_level_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.PATTERN, ranks)
