@@ -19,7 +19,7 @@ from hearth.llm.common import Shipped, append_columns, id_crc32
 
 PROFILE = 300           # n-grams per profile
 UNKNOWN = "und"
-MIN_SCORE = 0.05        # the filter rejects texts below it: no profile is near at all
+MIN_SCORE = 0.2         # the filter rejects texts below it: no profile is near at all
 
 
 def folding() -> np.ndarray:
