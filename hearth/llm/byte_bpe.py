@@ -1,17 +1,17 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-Texts are split by the tokenizer's pattern in the scan. Distinct words are encoded
-by folding the ranked merges over their byte pieces with higher-order functions;
-ranks come from a literal map. The most frequent words, up to a fixed number, are
-counted and folded once and shipped as a dictionary of bounded size. The others
-are folded where they stand: documents are packed into blocks inside their tasks,
-each with its distinct further words, so that no text and no word list is ever
-shuffled. Documents then gather their words' ids, and decoding concatenates the
-binary pieces of the ids.
-
-Pieces are folded in hexadecimal, two digits a byte, because Spark keys and joins
-strings faster than binaries. Words of more than ``FOLD_BYTES`` bytes (folding is
-quadratic) are merged with a heap in the packing step instead.
+Texts are split by the tokenizer's pattern in the scan. All words are counted; the
+most frequent ones, up to a fixed number, are encoded by folding the ranked merges
+over their byte pieces with higher-order functions, ranks coming from a literal
+map, and shipped as a dictionary of bounded size. Documents gather the ids of
+their words, and decoding concatenates the binary pieces of the ids. No text and
+no word list of a document is shuffled.
+
+Words outside the dictionary are merged with a heap where they stand: a fold costs
+some 100 microseconds a word, a heap some 10, and folding every rare word of every
+task would take more than all the rest (see the README). Pieces are folded in
+hexadecimal, two digits a byte, because Spark keys and joins strings faster than
+binaries.
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hearth.llm.common import Shipped, staged
 
-BLOCK_WORDS = 1_000_000     # words of a block, at least one document
-DICTIONARY_WORDS = 1 << 19  # words of the shipped dictionary at most (of FOLD_BYTES at most)
-FOLD_BYTES = 64
+CHUNK_WORDS = 1_000_000     # words gathered at a time, at least one document
+DICTIONARY_WORDS = 1 << 18  # words of the shipped dictionary at most
+FOLD_BYTES = 64             # longest word that is folded (folding is quadratic)
+MEMO_WORDS = 200_000        # merged words a task keeps
 BUCKETS = 1 << 14           # of the literal rank map
 #: Unicode white space, as ``\s`` of the tokenizer's pattern means it.
 SPACE = r"\t-\r \u0085   -     　"
@@ -50,7 +50,7 @@ def java_pattern(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
 
 
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a word: lowest rank first, of equals the leftmost, by a heap."""
     if word in ranks:
         return [ranks[word]]
@@ -100,59 +100,6 @@ def frequent_words(split: DataFrame, most: int = DICTIONARY_WORDS) -> DataFrame:
     return counted.filter(F.col("class") >= least if least is not None else F.lit(False)).select("word")
 
 
-BLOCK_SCHEMA = T.StructType([
-    T.StructField("docs", T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()),
-                                                    T.StructField("at", T.ArrayType(T.IntegerType()))]))),
-    T.StructField("words", T.ArrayType(T.StringType())),
-    T.StructField("given", T.ArrayType(T.StringType())),
-])
-
-
-def blocks(split: DataFrame, known: pa.Array, ranks: dict[bytes, int], block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Blocks of documents: ``docs`` (``doc_id``, and per word its number: in the
-    dictionary, or after it in the block's list), ``words`` (distinct words that the
-    dictionary lacks) and ``given`` (ids, as text, of those too long to fold)."""
-    shipped = Shipped(split.sparkSession, (known, ranks))
-
-    def packed(ids: pa.Array, lists: pa.ListArray, known: pa.Array, ranks: dict[bytes, int]) -> pa.RecordBatch:
-        offsets = lists.offsets.to_numpy()
-        flat = lists.flatten()
-        at = pc.index_in(flat, value_set=known)
-        rest = flat.filter(pc.is_null(at)).dictionary_encode()
-        numbers = at.to_numpy(zero_copy_only=False).astype(np.float64)
-        numbers[np.isnan(numbers)] = rest.indices.to_numpy() + len(known)
-        given = [" ".join(map(str, merge_long(w, ranks))) if len(w) > FOLD_BYTES else None
-                 for w in rest.dictionary.cast(pa.binary()).to_pylist()]
-        at = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(numbers.astype(np.int32)))
-        rows = pa.StructArray.from_arrays([ids, at], names=["doc_id", "at"])
-        whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-                 for x in (rows, rest.dictionary, pa.array(given, pa.string()))]
-        return pa.RecordBatch.from_arrays(whole, names=["docs", "words", "given"])
-
-    def run(batches):
-        known, ranks = shipped.get()
-        ids, words, size = [], [], 0
-        for batch in batches:
-            lists = batch.column(1)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            start = 0
-            while start < batch.num_rows:
-                room = ends[start] + block_words - size
-                end = int(np.searchsorted(ends, room, side="left"))
-                end = min(batch.num_rows, max(end, start + 1))
-                ids.append(batch.column(0).slice(start, end - start))
-                words.append(lists.slice(start, end - start))
-                size += int(ends[end] - ends[start])
-                start = end
-                if size >= block_words:
-                    yield packed(pa.concat_arrays(ids), pa.concat_arrays(words), known, ranks)
-                    ids, words, size = [], [], 0
-        if ids:
-            yield packed(pa.concat_arrays(ids), pa.concat_arrays(words), known, ranks)
-
-    return split.mapInArrow(run, BLOCK_SCHEMA)
-
-
 def rank_literal(ranks: dict[bytes, int]) -> Column:
     """The rank map as a constant: maps by hash bucket, since a lookup scans a map."""
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
@@ -173,7 +120,7 @@ def encode_word(word: Column, maps: Column) -> Column:
     def rank(piece: Column) -> Column:
         return F.element_at(F.element_at(maps, (F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)) + 1).cast("int")), piece)
 
-    def merge(pieces: Column, _: Column) -> Column:
+    def step(pieces: Column, _: Column) -> Column:
         near = F.when(F.size(pieces) > 1, F.transform(
             F.sequence(F.lit(1), F.size(pieces) - 1),
             lambda i: rank(F.concat(F.element_at(pieces, i), F.element_at(pieces, i + 1))))).otherwise(F.array().cast("array<int>"))
@@ -188,93 +135,125 @@ def encode_word(word: Column, maps: Column) -> Column:
     def fold(digits: Column) -> Column:
         pieces = F.regexp_extract_all(digits, F.lit(".."), F.lit(0))
         folded = F.when(F.length(digits) < 4, pieces).otherwise(F.aggregate(
-            F.sequence(F.lit(2), (F.length(digits) / 2).cast("int")), pieces, merge))
+            F.sequence(F.lit(2), (F.length(digits) / 2).cast("int")), pieces, step))
         return F.transform(folded, rank)
 
     whole = F.hex(word.cast("binary"))
     return _let(whole, lambda d: _let(rank(d), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(d))))
 
 
-def _ids_text(ids: Column) -> Column:
-    return F.array_join(ids.cast("array<string>"), " ")
-
-
 def dictionary(split: DataFrame, ranks: dict[bytes, int], most: int = DICTIONARY_WORDS) -> pa.Table:
-    """``word, ids`` (as text) of the frequent words: bounded by ``most`` words of
-    ``FOLD_BYTES`` bytes. Folded on the executors."""
-    maps = rank_literal(ranks)
+    """``word, ids`` (as text) ``, n, decoded`` of the frequent words: bounded by
+    ``most`` words of ``FOLD_BYTES`` bytes. Folded on the executors."""
     words = frequent_words(split, most).repartition(2 * split.sparkSession.sparkContext.defaultParallelism)
-    return words.select("word", _ids_text(encode_word(F.col("word"), maps)).alias("ids")).toArrow()
-
-
-class Assembly:
-    """Ids and decoded bytes of numbered words."""
-
-    def __init__(self, ids: list[str], ranks: dict[bytes, int]):
-        self.pieces = [b""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            self.pieces[rank] = piece
-        self.known = self.table(ids)
-
-    def table(self, ids: list[str]) -> tuple[pa.Array, pa.Array, np.ndarray]:
-        """(ids as text, decoded bytes, number of ids) per word."""
-        split = [[int(x) for x in i.split()] for i in ids]
-        return (pa.array(ids, pa.string()), pa.array([b"".join([self.pieces[x] for x in i]) for i in split], pa.binary()),
-                np.fromiter(map(len, split), np.int64, len(split)))
-
-    def documents(self, at: pa.ListArray, further: list[str]) -> tuple[np.ndarray, pa.Array, pa.Array]:
-        """(number of ids, ids as text, decoded bytes) per document."""
-        more = self.table(further)
-        texts, decoded = (pa.concat_arrays([a, b]) for a, b in zip(self.known[:2], more[:2]))
-        numbers = at.flatten()
-        offsets = at.offsets.to_numpy()
-        offsets = offsets - offsets[0]
-        counts = np.concatenate([self.known[2], more[2]])[numbers.to_numpy()]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        ends = pa.array(offsets.astype(np.int32))
-        return (total[offsets[1:]] - total[offsets[:-1]],
-                pc.binary_join(pa.ListArray.from_arrays(ends, texts.take(numbers)), " "),
-                pc.binary_join(pa.ListArray.from_arrays(ends, decoded.take(numbers)), b""))
-
-
-def _assembled(docs: DataFrame, pattern: str, ranks: dict[bytes, int], finish, schema: str,
-               block_words: int, most: int) -> DataFrame:
-    split = split_words(docs, pattern)
-    known = dictionary(split, ranks, most).combine_chunks()
-    words, ids = (known[c].combine_chunks() if known.num_rows else pa.array([], pa.string()) for c in ("word", "ids"))
-    packed = blocks(split, words, ranks, block_words)
-    maps = rank_literal(ranks)
-    folded = packed.select("docs", F.transform(F.arrays_zip("words", "given"), lambda p: F.coalesce(
-        p["given"], _ids_text(encode_word(p["words"], maps)))).alias("ids"))
-    shipped = Shipped(docs.sparkSession, (ids.to_pylist(), ranks))
+    folded = words.select("word", encode_word(F.col("word"), rank_literal(ranks)).alias("ids"))
+    shipped = Shipped(split.sparkSession, ranks)
 
     def run(batches):
-        assembly = Assembly(*shipped.get())
+        pieces = piece_list(shipped.get())
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows = batch.column(0)[i].values
-                n, texts, decoded = assembly.documents(rows.field(1), batch.column(1)[i].as_py())
-                yield pa.RecordBatch.from_arrays([rows.field(0), pa.array(n), *finish(texts, decoded)], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *coded(batch.column(1).to_pylist(), pieces)],
+                                             names=["word", "ids", "n", "decoded"])
+
+    return folded.mapInArrow(run, "word string, ids string, n int, decoded binary").toArrow()
+
+
+def piece_list(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
 
+
+def coded(words: list[list[int]], pieces: list[bytes]) -> list[pa.Array]:
+    """Ids as text, their number, and the decoded bytes, per word."""
+    return [pa.array([" ".join(map(str, ids)) for ids in words], pa.string()), pa.array(list(map(len, words)), pa.int32()),
+            pa.array([b"".join([pieces[i] for i in ids]) for ids in words], pa.binary())]
+
+
+class Merges(dict):
+    """Ids of words, remembered; forgets everything when full."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, word: bytes) -> list[int]:
+        ids = merge(word, self.ranks)
+        if len(word) <= FOLD_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class Assembler:
+    """Ids and decoded bytes of documents from their words."""
+
+    def __init__(self, known: bytes, ranks: dict[bytes, int]):
+        table = pa.ipc.open_stream(known).read_all().combine_chunks()
+        self.known, *self.columns = ((c.chunk(0) if c.num_chunks else pa.array([], c.type)) for c in table.columns)
+        self.merges = Merges(ranks)
+        self.pieces = piece_list(ranks)
+
+    def documents(self, lists: pa.ListArray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """(number of ids, ids as text, decoded bytes) per list of words."""
+        flat = lists.flatten()
+        numbers = pc.index_in(flat, value_set=self.known)
+        rest = flat.filter(pc.is_null(numbers)).dictionary_encode()
+        further = coded([self.merges[w] for w in rest.dictionary.cast(pa.binary()).to_pylist()], self.pieces)
+        texts, counts, decoded = (pa.concat_arrays(list(x)) for x in zip(self.columns, further))
+        numbers = numbers.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        numbers[numbers < 0] = rest.indices.to_numpy() + len(self.known)
+        total = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False)[numbers], dtype=np.int64)])
+        offsets = lists.offsets.to_numpy()
+        ends = pa.array((offsets - offsets[0]).astype(np.int32))
+        at, ends_np = pa.array(numbers), ends.to_numpy()
+        return (total[ends_np[1:]] - total[ends_np[:-1]],
+                pc.binary_join(pa.ListArray.from_arrays(ends, texts.take(at)), " "),
+                pc.binary_join(pa.ListArray.from_arrays(ends, decoded.take(at)), b""))
+
+
+def _assembled(docs: DataFrame, pattern: str, ranks: dict[bytes, int], finish, schema: str, chunk_words: int, most: int) -> DataFrame:
+    split = split_words(docs, pattern)
+    sink = pa.BufferOutputStream()
+    table = dictionary(split, ranks, most)
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    shipped = Shipped(docs.sparkSession, (sink.getvalue().to_pybytes(), ranks))
     names = [f.split()[0] for f in schema.split(", ")]
-    return folded.mapInArrow(run, schema)
+
+    def run(batches):
+        assembler = Assembler(*shipped.get())
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy().astype(np.int64)
+            start = 0
+            while start < batch.num_rows:
+                end = int(np.searchsorted(ends, ends[start] + chunk_words, side="right")) - 1
+                end = min(batch.num_rows, max(end, start + 1))
+                ids = batch.column(0).slice(start, end - start)
+                n, texts, decoded = assembler.documents(batch.column(1).slice(start, end - start))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n), *finish(texts, decoded)], names=names)
+                start = end
+
+    return split.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], block_words: int = BLOCK_WORDS,
+def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], chunk_words: int = CHUNK_WORDS,
            most: int = DICTIONARY_WORDS) -> DataFrame:
     """One row per document of ``docs`` (``doc_id, text``): ``doc_id, n_tokens, ids``
     (decimal, one space between) and ``decoded`` (binary, from the ids). Null texts
     count as empty and have no ids; repeated rows are encoded alike."""
     return _assembled(docs, pattern, ranks, lambda texts, decoded: [texts, decoded],
-                      "doc_id long, n_tokens long, ids string, decoded binary", block_words, most)
+                      "doc_id long, n_tokens long, ids string, decoded binary", chunk_words, most)
 
 
-def digests(docs: DataFrame, pattern: str, ranks: dict[bytes, int], block_words: int = BLOCK_WORDS,
+def digests(docs: DataFrame, pattern: str, ranks: dict[bytes, int], chunk_words: int = CHUNK_WORDS,
             most: int = DICTIONARY_WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``encode``'s results."""
 
     def finish(texts, decoded):
-        return [pa.array([sha256(x).hexdigest() for x in c.cast(pa.binary()).to_pylist()]) for c in (texts, decoded)]
+        return [pa.array([sha256(x).hexdigest() for x in c.cast(pa.binary()).to_pylist()], pa.string()) for c in (texts, decoded)]
 
     return _assembled(docs, pattern, ranks, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
-                      block_words, most)
+                      chunk_words, most)
