@@ -13,13 +13,14 @@ Semantics, per order in arrival order after de-duplication by delivery id:
 * a delivery id seen before is ignored; an empty delivery id never counts
   as seen.
 
-The batch fold is one aggregation keyed by order id; the stream applies the
-same rules incrementally with ``applyInPandasWithState`` keyed by order id.
+The batch fold is one aggregation keyed by order id; the stream stores typed
+events and folds the orders that each micro-batch touches with the same function.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import hashlib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,138 +99,76 @@ def orders_from_deliveries(deliveries: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming
 DELIVERY_SCHEMA = "seq long, received_at timestamp, svix_id string, body string"
-_EV_COLS = ["seq", "event", "svix_id", "venue_id", "venue_name", "refund_amount"] + ORDER_COLS
-STATE_SCHEMA = ("exists boolean, venue_id long, venue_name string, status string, is_refunded boolean, "
-                "refund_total_pence long, last_event string, last_svix_id string, order_json string")
-
-
-def _apply(row: dict, e: dict) -> dict:
-    """One event on one order row, exactly as the source's SQL does it."""
-    ev = e["event"]
-    if ev in FULL_EVENTS:
-        if not row["exists"]:
-            row.update(exists=True, status="created", is_refunded=False, refund_total_pence=None)
-        for c in ORDER_COLS:
-            row[c] = e[c]
-        row["venue_id"], row["venue_name"] = e["venue_id"], e["venue_name"]
-        row["last_event"], row["last_svix_id"] = ev, e["svix_id"]
-    if ev in EVENT_STATUS:
-        st = EVENT_STATUS[ev] or ""
-        refunded = ev == REFUND
-        amount = e["refund_amount"] if refunded else None
-        if not row["exists"]:
-            row.update(exists=True, status=st, is_refunded=refunded, refund_total_pence=amount,
-                       venue_id=e["venue_id"], venue_name=e["venue_name"])
-        else:
-            if st:
-                row["status"] = st
-            row["is_refunded"] = bool(row["is_refunded"]) or refunded
-            if amount is not None:
-                row["refund_total_pence"] = amount
-            if row["venue_id"] is None:
-                row["venue_id"] = e["venue_id"]
-            if row["venue_name"] is None:
-                row["venue_name"] = e["venue_name"]
-        row["last_event"], row["last_svix_id"] = ev, e["svix_id"]
-    return row
-
-
-def _fold_group(key, pdfs, state):
-    """applyInPandasWithState body: events of one order, oldest first, on top of
-    the stored row."""
-    import json
-
-    if state.exists:
-        s = state.get
-        row = dict(exists=s[0], venue_id=s[1], venue_name=s[2], status=s[3], is_refunded=s[4],
-                   refund_total_pence=s[5], last_event=s[6], last_svix_id=s[7])
-        row.update(json.loads(s[8]))
-    else:
-        row = dict(exists=False, venue_id=None, venue_name=None, status=None, is_refunded=None,
-                   refund_total_pence=None, last_event=None, last_svix_id=None, **{c: None for c in ORDER_COLS})
-    evs = pd.concat(list(pdfs)).sort_values("seq")
-    for e in evs.to_dict("records"):
-        e = {k: (None if (v is pd.NaT or (isinstance(v, float) and pd.isna(v))) else v) for k, v in e.items()}
-        row = _apply(row, e)
-    if not row["exists"]:
-        return
-    order_part = {c: row[c] for c in ORDER_COLS}
-    state.update((True, row["venue_id"], row["venue_name"], row["status"], row["is_refunded"],
-                  row["refund_total_pence"], row["last_event"], row["last_svix_id"],
-                  json.dumps(order_part, default=str)))
-    out = {c: row.get(c) for c in OUT_COLS if c != "order_id"}
-    out["order_id"] = key[0]
-    yield pd.DataFrame([out])[OUT_COLS]
-
-
-def _out_schema(ev_schema) -> str:
-    types = {f.name: f.dataType.simpleString() for f in ev_schema.fields}
-    extra = {"status": "string", "is_refunded": "boolean", "refund_total_pence": "bigint",
-             "last_event": "string", "last_svix_id": "string", "order_id": "string"}
-    return ", ".join(f"{c} {extra.get(c, types.get(c, 'string'))}" for c in OUT_COLS)
-
-
-def order_updates_stream(spark, landing_dir: str, dedupe_watermark: str = "7 days",
-                         files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of order rows changed by each micro-batch.
-
-    Deliveries land as JSON files (``DELIVERY_SCHEMA``). Keyed deliveries are
-    de-duplicated with ``dropDuplicatesWithinWatermark`` on the delivery id
-    (state bounded by the re-delivery horizon); empty ids bypass it.
-    """
-    r = spark.readStream.schema(DELIVERY_SCHEMA)
-    if files_per_trigger:
-        r = r.option("maxFilesPerTrigger", files_per_trigger)
-    ev = normalise_events(r.json(landing_dir))
-    keyed = (ev.filter(F.col("svix_id") != "").withWatermark("received_at", dedupe_watermark)
-               .dropDuplicatesWithinWatermark(["svix_id"]))
-    ev = keyed.unionByName(ev.filter(F.col("svix_id") == ""))
-    handled = FULL_EVENTS + [e for e in EVENT_STATUS if e not in FULL_EVENTS]
-    ev = ev.filter(F.col("event").isin(*handled) & F.col("order_id").isNotNull()).select("order_id", *_EV_COLS)
-    out_schema = _out_schema(ev.schema)
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    return ev.groupBy("order_id").applyInPandasWithState(
-        _fold_group, out_schema, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+
+def _subfolders(spark, root: str, committed: bool = True) -> list[str]:
+    """Folders ``root/<run>/batch=<n>``; with ``committed``, those whose write ended."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    out = []
+    for run in fs.listStatus(base):
+        for batch in fs.listStatus(run.getPath()):
+            path = batch.getPath()
+            if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+                out.append(path.toString())
+    return sorted(out)
+
+
+def _stored(spark, root: str, skip: str | None = None) -> DataFrame | None:
+    folders = [f for f in _subfolders(spark, root) if skip is None or not f.endswith(skip)]
+    return spark.read.parquet(*folders) if folders else None
+
+
+def merge_events(known: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """Current rows of every order that a batch of typed events touches, from all
+    its events: the same fold as in batch, so late deliveries and deliveries split
+    over batches end in the same row. A delivery id counts once over all time."""
+    events = batch if known is None else known.unionByName(batch)
+    ids = events.filter(F.col("svix_id") != "")
+    # orders of the batch, and orders that share a delivery id with it
+    again = ids.join(batch.select("svix_id").distinct(), "svix_id", "left_semi")
+    orders = batch.select("order_id").union(again.select("order_id")).filter("order_id is not null").distinct()
+    own = events.join(orders, "order_id", "left_semi")
+    # the first of each delivery id, wherever its other copies went
+    rivals = ids.join(own.select("svix_id").distinct(), "svix_id", "left_semi")
+    first = dedupe_deliveries(rivals.unionByName(own.filter(F.col("svix_id") == "")))
+    folded = fold_orders(first.join(orders, "order_id", "left_semi"))
+    known_events = own.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return folded.join(known_events, "order_id").select(*OUT_COLS, "n_events")
 
 
 def run_order_stream(spark, landing_dir: str, table_root: str, checkpoint: str, files_per_trigger=None):
-    """Drain the landing folder (``availableNow``) and merge every
-    micro-batch into the versioned orders table with a keyed upsert (K01).
-    Exactly-once: the streaming checkpoint records progress, and each batch
-    writes a new table version named after its batch id."""
-    from hearth.operators.merge import upsert
+    """Drain the landing folder (``availableNow``). Every micro-batch stores its
+    typed events and the new rows of the orders it touches, each in a folder named
+    after the run (its checkpoint) and the batch. A batch that is replayed after a
+    crash, at whatever point, leaves its own folders out of what it reads and writes
+    them anew, so it ends the same; nothing else is rewritten, and no delivery is
+    ever too late."""
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def merge_batch(batch: DataFrame, batch_id: int):
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(table_root)
-        fs = root.getFileSystem(conf)
-        versions = []
-        if fs.exists(root):
-            versions = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(root)
-                              if s.getPath().getName().startswith("v=")
-                              and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-        if batch_id in versions:      # replayed batch after a failure: already merged
-            return
-        prior = [v for v in versions if v < batch_id]
-        if prior:
-            cur = spark.read.parquet(f"{table_root}/v={prior[-1]}")
-            merged = upsert(cur, batch, ["order_id"])
-        else:
-            merged = batch
-        merged.select(*OUT_COLS).write.mode("overwrite").parquet(f"{table_root}/v={batch_id}")
-
-    q = (order_updates_stream(spark, landing_dir, files_per_trigger=files_per_trigger)
-         .writeStream.outputMode("update").foreachBatch(merge_batch)
+        own = f"run={run}/batch={batch_id:012d}"
+        events = f"{table_root}/events"
+        known = _stored(spark, events, skip=own)
+        normalise_events(batch).write.mode("overwrite").parquet(f"{events}/{own}")
+        fresh = spark.read.parquet(f"{events}/{own}")
+        merge_events(known, fresh).write.mode("overwrite").parquet(f"{table_root}/changes/{own}")
+
+    r = spark.readStream.schema(DELIVERY_SCHEMA)
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    q = (r.json(landing_dir).writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def latest_version(spark, table_root: str) -> DataFrame:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(conf)
-    vs = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v="))
-    return spark.read.parquet(f"{table_root}/v={vs[-1]}")
+def current_orders(spark, table_root: str) -> DataFrame:
+    """The newest row of every order: that folded from most of its events."""
+    changes = _stored(spark, f"{table_root}/changes")
+    newest = changes.groupBy("order_id").agg(F.max_by(
+        F.struct(*[c for c in OUT_COLS if c != "order_id"]), "n_events").alias("o"))
+    return newest.select("order_id", "o.*").select(*OUT_COLS)
