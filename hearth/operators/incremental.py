@@ -74,7 +74,7 @@ def run_steps(steps: list[tuple[str, Callable[[], object]]], spark: SparkSession
             fn()
             rows.append((name, "ok", None))
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            rows.append((name, "failed", f"{type(exc).__name__}: {exc}"[:500]))
+            rows.append((name, "failed", f"{type(exc).__name__}: {exc}"))
             traceback.print_exc()
     ok = all(r[1] == "ok" for r in rows)
     if spark is None:

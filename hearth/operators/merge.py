@@ -16,22 +16,23 @@ from pyspark.sql import functions as F
 from hearth.plans.joins import broadcast_if_small
 
 
-def _winner(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
+def _winner(df: DataFrame, keys: list[str], order: Column, last: bool = True) -> DataFrame:
     cols = [c for c in df.columns if c not in keys and not c.startswith("_m_")]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_w"))
+    pick = F.max_by if last else F.min_by
+    best = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in cols]), order).alias("_w"))
     return best.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], ordinal: str | None = None,
            keep_current: tuple[str, ...] = ()) -> DataFrame:
     """Full-row upsert, incoming wins; inside the incoming batch the row with
-    the highest ``ordinal`` (arrival order) wins. Columns in ``keep_current`` are
+    the highest ``ordinal`` (arrival order, any orderable type) wins. Columns in ``keep_current`` are
     never overwritten for a key that already exists (e.g. order status)."""
     inc = incoming.withColumn("_m_src", F.lit(1)).withColumn(
-        "_m_ord", F.col(ordinal).cast("long") if ordinal else F.lit(0).cast("long"))
+        "_m_ord", F.col(ordinal) if ordinal else F.lit(0).cast("long"))
     if ordinal and ordinal not in current.columns:
         inc = inc.drop(ordinal)
-    cur = current.withColumn("_m_src", F.lit(0)).withColumn("_m_ord", F.lit(0).cast("long"))
+    cur = current.withColumn("_m_src", F.lit(0)).withColumn("_m_ord", F.lit(None).cast(inc.schema["_m_ord"].dataType))
     u = cur.unionByName(inc, allowMissingColumns=True)
     if not keep_current:
         return _winner(u, keys, F.struct("_m_src", "_m_ord"))
@@ -47,8 +48,7 @@ def insert_new(current: DataFrame, incoming: DataFrame, keys: list[str], ordinal
     """Insert-if-absent; existing rows win, first arrival wins inside the batch."""
     fresh = incoming.join(current.select(*keys), keys, "left_anti")
     if ordinal:
-        fresh = _winner(fresh.withColumn("_m_o", -F.col(ordinal).cast("long")), keys,
-                        F.col("_m_o")).drop("_m_o")
+        fresh = _winner(fresh.withColumn("_m_o", F.col(ordinal)), keys, F.col("_m_o"), last=False)
         if ordinal not in current.columns:
             fresh = fresh.drop(ordinal)
     else:

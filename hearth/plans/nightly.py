@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators.incremental import run_steps
-from hearth.operators.merge import advance_watermark, insert_new, upsert, write_version
-from hearth.sources.feeds import parse_reviews, scan_csv, split_receipts
+from hearth.operators.merge import advance_watermark, insert_new, new_files, upsert, write_version
+from hearth.session import ensure_checkpoint_dir
+from hearth.sources.feeds import parse_receipts, parse_reviews, scan_csv, split_receipts
 from hearth.streaming.orders import orders_from_deliveries, DELIVERY_SCHEMA
 
 RECEIPT_KEY = ["business_location_id", "account_reference"]
@@ -32,39 +33,52 @@ class VersionedTables:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
-    def versions(self, name: str) -> list[int]:
+    def _folders(self, name: str, committed: bool) -> list[int]:
         p = self._Path(f"{self.root}/{name}")
         fs = p.getFileSystem(self._conf)
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("v=") and fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(n[2:]))
-        return sorted(out)
+        found = [st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("v=")]
+        return sorted(int(f.getName()[2:]) for f in found if not committed or fs.exists(self._Path(f, "_SUCCESS")))
+
+    def versions(self, name: str) -> list[int]:
+        """Committed versions."""
+        return self._folders(name, committed=True)
 
     def current(self, name: str) -> DataFrame | None:
         v = self.versions(name)
         return self.spark.read.parquet(f"{self.root}/{name}/v={v[-1]}") if v else None
 
     def commit(self, name: str, df: DataFrame) -> int:
-        v = self.versions(name)
-        nxt = (v[-1] + 1) if v else 1
+        # a killed run may have left a folder without its marker: its number is
+        # spent, the rerun takes the one after it
+        nxt = max(self._folders(name, committed=False), default=0) + 1
         write_version(df, f"{self.root}/{name}", nxt)
         return nxt
 
 
-def _merge(tables: VersionedTables, name: str, incoming: DataFrame, insert_only: bool = False) -> int:
-    """K01 (or K02) of a batch into the current version; the batch's arrival
-    order decides between duplicates inside it."""
+def arrived(landed: DataFrame) -> DataFrame:
+    """``landed`` (rows read from files) with ``_arrival``: the file's modification
+    time, its name, and the row's place in it. Spark packs files into tasks by
+    size, so a row number alone would not follow the order of arrival."""
+    m = "_metadata."
+    return landed.select("*", F.struct(
+        F.col(m + "file_modification_time").alias("t"), F.col(m + "file_path").alias("f"),
+        F.col(m + "file_block_start").alias("b"), F.monotonically_increasing_id().alias("r")).alias("_arrival"))
+
+
+def _merge(tables: VersionedTables, name: str, batch: DataFrame, insert_only: bool = False) -> int:
+    """K01 (or K02) of a batch into the current version; between duplicates inside
+    the batch its ``_arrival`` decides (of equal ones, such as the lines of one
+    receipt, the last or first row)."""
     cur = tables.current(name)
-    batch = incoming.withColumn("_arrival", F.monotonically_increasing_id())
+    columns = [c for c in batch.columns if c != "_arrival"]
     if cur is None:
-        cur = incoming.limit(0)
-    merged = (insert_new(cur, batch, KEYS[name], ordinal="_arrival") if insert_only
-              else upsert(cur, batch, KEYS[name], ordinal="_arrival"))
-    return tables.commit(name, merged.select(*incoming.columns))
+        cur = batch.select(*columns).limit(0)
+    ordinal = "_arrival" if "_arrival" in batch.columns else None
+    merged = (insert_new(cur, batch, KEYS[name], ordinal=ordinal) if insert_only
+              else upsert(cur, batch, KEYS[name], ordinal=ordinal))
+    return tables.commit(name, merged.select(*columns))
 
 
 def nightly(spark: SparkSession, landing: str, root: str):
@@ -72,8 +86,10 @@ def nightly(spark: SparkSession, landing: str, root: str):
     t = VersionedTables(spark, root)
 
     def receipts():
-        docs = spark.read.schema("business_location_id long, doc string").json(f"{landing}/receipts")
-        sales, lines, pays = split_receipts(docs)
+        docs = arrived(spark.read.schema("business_location_id long, doc string").json(f"{landing}/receipts"))
+        # four tables come from one parse, kept in the shared folder meanwhile
+        ensure_checkpoint_dir(spark)
+        sales, lines, pays = split_receipts(docs, parsed=parse_receipts(docs).checkpoint())
         _merge(t, "sales", sales)
         _merge(t, "sales_lines", lines)
         _merge(t, "payments", pays)
@@ -82,10 +98,23 @@ def nightly(spark: SparkSession, landing: str, root: str):
         state = t.current("ingest_state")
         if state is None:
             state = seen.limit(0)
-        t.commit("ingest_state", advance_watermark(state, seen).withColumn("resource", F.lit("sales")))
+        t.commit("ingest_state", advance_watermark(state, seen))
 
     def reviews():
-        _merge(t, "sentiment_reviews", parse_reviews(scan_csv(spark, f"{landing}/reviews")), insert_only=True)
+        ensure_checkpoint_dir(spark)
+        # Only files whose name and content the log does not have yet
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+                 .load(f"{landing}/reviews").select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
+                                                    F.sha2("content", 256).alias("sha256")))
+        log = t.current("file_log")
+        todo = files if log is None else new_files(files, log)
+        todo = todo.checkpoint()
+        paths = [r.path for r in todo.select("path").orderBy("path").collect()]
+        if not paths:
+            return
+        _merge(t, "sentiment_reviews", parse_reviews(scan_csv(spark, paths)), insert_only=True)
+        done = todo.select("filename", "sha256").distinct()
+        t.commit("file_log", done if log is None else log.unionByName(done))
 
     def online_orders():
         deliveries = spark.read.schema(DELIVERY_SCHEMA).json(f"{landing}/webhooks")

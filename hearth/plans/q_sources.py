@@ -126,8 +126,7 @@ _MR_COLS = ["site", "business_date", "manager_name", "positive_highlights", "sto
 SELECT {', '.join(_MR_COLS)}, CAST(business_date AS TIMESTAMP) + INTERVAL 23 HOUR + INTERVAL 15 MINUTE AS submitted_at
 FROM manager_daily_report""")
 def s17(c: Ctx):
-    known = [r[0] for r in c.w.sites.select("business_name").collect()]   # the five site names (a dimension)
-    return FE.parse_manager_report(c.w.manager_sheet, MANAGER_HEADER, known).select(*_MR_COLS, "submitted_at")
+    return FE.parse_manager_report(c.w.manager_sheet, MANAGER_HEADER, c.w.sites).select(*_MR_COLS, "submitted_at")
 
 
 @register("s21_parse_review_files", """
