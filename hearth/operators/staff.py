@@ -184,7 +184,8 @@ def staff_reviews_month(scorecard_day: DataFrame, reviews: DataFrame) -> DataFra
     """5-star reviews naming a server (whole word, any case), per month.
 
     Instead of testing every (server, review) pair of a site with a regex, the
-    review text is tokenised on non-word characters and the tokens are equi
+    review text is tokenised on non-word characters (letters of any script are
+    word characters, so "Jos" is not found in "José") and the tokens are equi
     joined with the server names -- the same word-boundary rule, linear in the
     text size, and no pair blow-up on a busy site.
     """
@@ -195,7 +196,7 @@ def staff_reviews_month(scorecard_day: DataFrame, reviews: DataFrame) -> DataFra
              .withColumn("tok", F.lower("nm")))
     tokens = (reviews.filter((F.col("rating") >= 5) & (F.coalesce(F.col("review_text"), F.lit("")) != ""))
               .select("business_location_id", "review_month", "review_hash",
-                      F.explode(F.split(F.lower("review_text"), "[^a-z0-9_]+")).alias("tok")))
+                      F.explode(F.split(F.lower("review_text"), r"[^\p{L}\p{N}_]+")).alias("tok")))
     # the (small) name list is broadcast, so review tokens are matched map-side
     # and common words never meet in one shuffle partition
     hits = tokens.join(broadcast_if_small(staff), ["business_location_id", "tok"])

@@ -5,29 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension with more rows than this is joined with a shuffle instead of being
-# shipped to every executor. Rule tables, site maps and menus sit far below it.
-BROADCAST_MAX_ROWS = 200_000
-
-_decisions: dict[tuple[int, int, int], bool] = {}
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded check: counts at most ``max_rows + 1`` rows, never the whole input.
-    The answer is remembered per logical plan (``semanticHash``), so the same
-    dimension joined in several places is counted once per session."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    hit = _decisions.get(key)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
-        _decisions[key] = hit
-    return hit
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, basis: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise leave the choice to
-    AQE (which still broadcasts at run time when the side is under the byte
-    threshold, and otherwise plans a sort-merge join). ``basis`` is a table the
-    side is a projection/filter of (never fewer rows), checked instead -- one
-    count per dimension per session however many ways it is projected."""
-    return F.broadcast(df) if is_small(basis if basis is not None else df, max_rows) else df
+# A side that the plan's statistics put above this many bytes is joined with a
+# shuffle instead of being shipped to every executor. Rule tables, site maps and
+# menus sit far below it.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by the optimizer's statistics: the bytes of the files it scans,
+    scaled by the columns kept; filters and aggregations do not make it smaller, so
+    it errs on the large side. Runs no job and is asked anew for every plan, so a
+    table that has grown is seen."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, basis: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint only behind a size check; otherwise leave the choice to AQE,
+    which still broadcasts a side whose measured size is under the session's
+    threshold and otherwise sorts and merges. ``basis`` is a table the side is a
+    projection or filter of, checked instead."""
+    return F.broadcast(df) if is_small(basis if basis is not None else df, max_bytes) else df
