@@ -22,12 +22,25 @@ from hearth.sources import testdata
 from hearth.sources import reference_data
 
 
-def _version_key(sf_dir: str) -> str:
+def _input_files(spark, sf_dir: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of every file under the input folder, on
+    whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    if fs.exists(top):
+        files = fs.listFiles(top, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def _version_key(spark, sf_dir: str) -> str:
     h = hashlib.sha1()
-    h.update(os.path.abspath(sf_dir).encode())
-    for name in sorted(os.listdir(sf_dir)) if os.path.isdir(sf_dir) else []:
-        st = os.stat(os.path.join(sf_dir, name))
-        h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    for path, size, changed in _input_files(spark, sf_dir):
+        h.update(f"{path}:{size}:{changed}\n".encode())
     for mod in (testdata, reference_data):
         h.update(inspect.getsource(mod).encode())
     h.update(repr(sorted(BUCKETED.items())).encode())   # storage layout is part of the version
@@ -38,8 +51,9 @@ ROW_GROUP_BYTES = 8 * 1024 * 1024
 
 # Tables stored bucketed (and sorted) on the receipt key: the lines x receipts
 # join and every per-receipt aggregation then read co-partitioned data and
-# need no shuffle. The bucket count comes from the session
-# (``hearth.receipt.buckets``), default the shuffle partition count.
+# need no shuffle. The bucket count follows the bytes of the input (or the
+# session's ``hearth.receipt.buckets``), without an upper bound.
+BUCKET_INPUT_BYTES = 256 * 1024 * 1024
 RECEIPT_KEY = ["business_location_id", "account_reference"]
 BUCKETED = {"sales": RECEIPT_KEY, "sales_lines": RECEIPT_KEY, "payments": RECEIPT_KEY}
 
@@ -61,7 +75,7 @@ class StoredWarehouse:
     def _path(self, name: str) -> str:
         if self._root is None:
             base = ensure_checkpoint_dir(self.spark)
-            self._root = f"{base.rstrip('/')}/hearth-warehouse/{_version_key(self._w.sf_dir)}"
+            self._root = f"{base.rstrip('/')}/hearth-warehouse/{_version_key(self.spark, self._w.sf_dir)}"
         return f"{self._root}/{name}"
 
     def _exists(self, path: str) -> bool:
@@ -87,13 +101,13 @@ class StoredWarehouse:
         return self._publish(name, src)
 
     def _buckets(self) -> int:
-        """``hearth.receipt.buckets`` when set (size it to the data on a cluster:
-        a few hundred MB per bucket); otherwise the shuffle partition count,
-        capped so small test runs do not scatter tiny files."""
+        """``hearth.receipt.buckets`` when set; otherwise one bucket per
+        ``BUCKET_INPUT_BYTES`` of input files, and at least one per core."""
         n = self.spark.conf.get("hearth.receipt.buckets", None)
         if n:
             return int(n)
-        return max(1, min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 64))
+        total = sum(size for _, size, _ in _input_files(self.spark, self._w.sf_dir))
+        return max(self.spark.sparkContext.defaultParallelism, -(-total // BUCKET_INPUT_BYTES))
 
     def _table_name(self, name: str, path: str) -> str:
         return "hearth_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
@@ -161,8 +175,8 @@ _stores: dict[tuple[int, str], StoredWarehouse] = {}
 
 
 def stored_warehouse(spark, sf_dir: str) -> StoredWarehouse:
-    """One stored warehouse per (session, folder) in this process."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    """One stored warehouse per session, folder and state of its files in this process."""
+    key = (id(spark), _version_key(spark, sf_dir))
     s = _stores.get(key)
     if s is None:
         s = StoredWarehouse(testdata.Warehouse(spark, sf_dir))

@@ -43,9 +43,39 @@ def test_nightly_is_idempotent(spark):
     assert wm == {r[0]: r[1] for r in w.sales.groupBy("business_location_id").agg(F.max("time_closed")).collect()}
     first = _content(t.current("payments"), ["account_reference", "payment_uuid", "tip"])
 
+    # a killed run left a folder without its marker: the next run goes past it
+    os.makedirs(f"{root}/sales/v=2")
     status, ok = nightly(spark, landing, root)
-    assert ok
-    assert t.versions("sales") == [1, 2]
+    assert ok, status.collect()
+    assert t.versions("sales") == [1, 3]
+    # no review file is new, so none is parsed again
+    assert t.versions("sentiment_reviews") == [1] and t.versions("file_log") == [1]
     assert _content(t.current("payments"), ["account_reference", "payment_uuid", "tip"]) == first
     assert _content(t.current("sales"), sales_cols) == _content(w.sales, sales_cols)
-    assert os.path.exists(f"{root}/sales/v=2/_SUCCESS")
+    assert os.path.exists(f"{root}/sales/v=3/_SUCCESS")
+
+
+def test_watermarks_of_other_resources_stay(spark):
+    root, landing = tempfile.mkdtemp(prefix="hearth-wh-"), tempfile.mkdtemp(prefix="hearth-landing-")
+    os.makedirs(f"{landing}/reviews")
+    os.makedirs(f"{landing}/webhooks")
+    spark.createDataFrame([(7, '{"accountReference": "a", "timeClosed": "2024-01-02T10:00:00Z"}')],
+                          "business_location_id long, doc string").write.json(f"{landing}/receipts")
+    t = VersionedTables(spark, root)
+    t.commit("ingest_state", spark.createDataFrame([(7, "items", "2024-01-01 00:00:00")], "business_location_id long, resource string, w string")
+             .select("business_location_id", "resource", F.col("w").cast("timestamp").alias("last_watermark")))
+    nightly(spark, landing, root)
+    assert {r.resource for r in t.current("ingest_state").collect()} == {"items", "sales"}
+
+
+def test_later_file_wins(spark):
+    from hearth.plans.nightly import _merge, arrived
+    root = tempfile.mkdtemp(prefix="hearth-wh-")
+    folder = tempfile.mkdtemp(prefix="hearth-files-")
+    for i, (name, big) in enumerate([("a", 1), ("b", 4000)]):     # the later file is the larger one, read first
+        with open(f"{folder}/{name}.json", "w") as f:
+            f.writelines('{"order_id": "x", "n": %d}\n' % (i * 100 + k) for k in range(big))
+        os.utime(f"{folder}/{name}.json", (1_700_000_000 - i * 1000, 1_700_000_000 - i * 1000))
+    t = VersionedTables(spark, root)
+    _merge(t, "storekit_orders", arrived(spark.read.schema("order_id string, n long").json(folder)))
+    assert t.current("storekit_orders").collect()[0].n == 0       # file a was modified last
