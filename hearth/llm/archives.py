@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ensure_checkpoints, keyed
+from hearth.llm.common import ensure_checkpoints, keyed, located, map_batches
 
 REVISIT_BYTES = 1000            # payloads from this size on are stored once
 SEGMENT_BYTES = 8 << 20         # of an archive, about
@@ -54,7 +54,7 @@ def render_arc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
     """``name, content``: ARC segments, by turns of version 1 and 2, that hold the
     rows of ``pages`` (``page_id, url, html``) as HTTP responses. A null html is an
     empty payload, a null url ``about:blank``; row key and id travel as HTTP fields."""
-    rows = keyed(pages).select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"),
+    rows = keyed(located(pages)).select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"),
                                F.col("__k1"), F.col("__k2"))
     date = "20240101000000"
 
@@ -83,7 +83,7 @@ def render_arc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([b"".join(held)], pa.binary())], names=["name", "content"])
                 number += 1
 
-    return rows.mapInArrow(run, "name string, content binary")
+    return map_batches(rows, run, "name string, content binary")
 
 
 def read_arc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -184,7 +184,7 @@ def convert_arc(archives: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 13, types)],
                                              names=[f.split()[0] for f in RECORD_SCHEMA.split(", ")])
 
-    return archives.select("name", "content").mapInArrow(run, RECORD_SCHEMA)
+    return map_batches(archives.select("name", "content"), run, RECORD_SCHEMA)
 
 
 # ----------------------------------------------------------------- WARC records
@@ -227,7 +227,7 @@ def warc_records(records: DataFrame) -> DataFrame:
                 out.append("\r\n".join(fields).encode() + b"\r\n\r\n" + body)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    return records.mapInArrow(run, "record binary")
+    return map_batches(records, run, "record binary")
 
 
 def write_warc(records: DataFrame, path: str, records_per_file: int) -> None:
@@ -259,7 +259,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
                                                  names=[f.split()[0] for f in schema.split(", ")])
 
-    return files.mapInArrow(run, schema)
+    return map_batches(files, run, schema)
 
 
 def iterate_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

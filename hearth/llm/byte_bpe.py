@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, staged
+from hearth.llm.common import Shipped, map_batches, staged
 
 CHUNK_WORDS = 1_000_000     # words gathered at a time, at least one document
 DICTIONARY_WORDS = 1 << 18  # words of the shipped dictionary at most
@@ -81,14 +81,24 @@ def split_words(docs: DataFrame, pattern: str) -> DataFrame:
 
 def frequent_words(split: DataFrame, most: int = DICTIONARY_WORDS) -> DataFrame:
     """``word``: the most frequent foldable words, at most ``most``. All words are
-    counted, first within each batch; whole classes of like frequency are taken."""
+    counted, first within each task's chunks; whole classes of like frequency are taken."""
+
+    def counts(held):
+        found = pc.value_counts(pa.chunked_array(held))
+        return pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
 
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            found = pc.value_counts(batch.column(0).flatten())
-            yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
-
-    counted = split.select("words").mapInArrow(run, "word string, n long").filter(
+            held.append(batch.column(0).flatten())
+            size += len(held[-1])
+            if size >= 4 * CHUNK_WORDS:
+                yield counts(held)
+                held, size = [], 0
+        if held:
+            yield counts(held)
+
+    counted = map_batches(split.select("words"), run, "word string, n long").filter(
         F.octet_length("word") <= FOLD_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
     counted = staged(counted.select("word", F.floor(F.log2("n") * 16).cast("int").alias("class")))
     least, total = None, 0
@@ -155,7 +165,7 @@ def dictionary(split: DataFrame, ranks: dict[bytes, int], most: int = DICTIONARY
             yield pa.RecordBatch.from_arrays([batch.column(0), *coded(batch.column(1).to_pylist(), pieces)],
                                              names=["word", "ids", "n", "decoded"])
 
-    return folded.mapInArrow(run, "word string, ids string, n int, decoded binary").toArrow()
+    return map_batches(folded, run, "word string, ids string, n int, decoded binary").toArrow()
 
 
 def piece_list(ranks: dict[bytes, int]) -> list[bytes]:
@@ -236,7 +246,7 @@ def _assembled(docs: DataFrame, pattern: str, ranks: dict[bytes, int], finish, s
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n), *finish(texts, decoded)], names=names)
                 start = end
 
-    return split.mapInArrow(run, schema)
+    return map_batches(split, run, schema)
 
 
 def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], chunk_words: int = CHUNK_WORDS,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import Shipped, append_columns, binaries, byte_words, staged
+from hearth.llm.common import Shipped, append_columns, binaries, byte_words, map_batches, staged
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -333,7 +333,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         pa.array((word - shard.starts[doc]).astype(np.int64))],
                         names=["item_row", "item_id", "item_word", "length", "doc_id", "doc_word"])
 
-        part = source.mapInArrow(run, schema)
+        part = map_batches(source, run, schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = source.sparkSession.createDataFrame([], schema)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ascii_lower, keyed, staged
+from hearth.llm.common import ascii_lower, keyed, located, staged
 
 BUCKET_KEYS = 2048
 GROUP_SIZE = 2      # mean number of keys that share a displacement
@@ -167,6 +167,7 @@ def decide(docs: DataFrame, history: Column | None = None) -> DataFrame:
     the input stays. A null id loses to any other; a group of null ids keeps one
     row and has a null ``keep_id``. ``history`` marks the historical rows.
     """
+    docs = located(docs)
     rows = digest_rows(docs, even_ids() if history is None else history)
     groups = equal_groups(rows)
     joined = rows.select("k1", "k2", "doc", "digest").join(groups, "digest")
@@ -177,6 +178,7 @@ def decide(docs: DataFrame, history: Column | None = None) -> DataFrame:
 
 def dedup(docs: DataFrame, history: Column | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = located(docs)
     dropped = staged(decide(docs, history).filter(~F.col("kept")).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
     return keyed(docs).join(dropped, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")

@@ -15,8 +15,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import Shipped, append_columns, id_crc32
+from hearth.llm.common import Shipped, append_columns, id_crc32, map_batches
 
+COUNT_GRAMS = 1_000_000 # n-grams of one language that a task gathers before it counts them
 PROFILE = 300           # n-grams per profile
 UNKNOWN = "und"
 MIN_SCORE = 0.2         # the filter rejects texts below it: no profile is near at all
@@ -75,20 +76,20 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         fold = shipped.get()
+        held: dict[str, list] = {}
+        sizes: dict[str, int] = {}
         for batch in batches:
-            held: dict[str, list] = {}
-            sizes: dict[str, int] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
                     held.setdefault(lang, []).append(grams(text, fold))
                     sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1])
-                    if sizes[lang] > 4_000_000:
+                    if sizes[lang] > COUNT_GRAMS:
                         yield _counted(lang, held.pop(lang))
                         sizes.pop(lang)
-            for lang, arrays in held.items():
-                yield _counted(lang, arrays)
+        for lang, arrays in held.items():
+            yield _counted(lang, arrays)
 
-    parts = docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    parts = map_batches(docs.select("lang", "text"), run, "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, binaries, byte_words
+from hearth.llm.common import Shipped, binaries, byte_words, map_batches
 
 #: Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -156,7 +156,7 @@ def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
         if found:
             yield flush(rows, ids, found)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, GRAM_SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, GRAM_SCHEMA)
 
 
 def _votes(docs: DataFrame) -> DataFrame:

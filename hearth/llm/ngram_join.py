@@ -25,16 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, binaries, keyed, staged
+from hearth.llm.common import Shipped, binaries, keyed, located, map_batches, staged
 from hearth.llm.hashing import WordHasher, rolled
 
 WORDS = 4                   # words per shingle
 PERCENT = 85                # least Jaccard similarity
 REGION = 20                 # per cent of a set whose tokens are counted for the order
-SKETCH_CELLS = 1 << 22      # cells of the frequency sketch (one byte each)
-FILTER_BITS = 1 << 25       # bits of the shared-token filter
+SKETCH_CELLS = 1 << 24      # cells of the frequency sketch (one byte each)
+FILTER_BITS = 1 << 27       # bits of the shared-token filter
 FREQUENT = 3                # log2 of the document frequency from which a token goes last
 MOST_MATCHES = 8            # largest l
+SHORT_LIST = 8              # postings of a list whose pairs are all formed
 VERIFY_COST = 0.2           # cost of verifying a candidate, in posting entries per token of the set
 DECAY = 0.5                 # part of the candidates with l matches that has l + 1
 
@@ -65,11 +66,6 @@ def set_digest(tokens: np.ndarray) -> bytes:
     return blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def short_id(digest: bytes) -> int:
-    """A blocking key for a class: postings carry it instead of the full digest."""
-    return int.from_bytes(digest[:8], "little", signed=True)
-
-
 def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
@@ -123,7 +119,7 @@ def frequency_sketch(texts: DataFrame, words: int, percent: int) -> np.ndarray:
                         seen.add(digest)
                         out.append(part(tokens))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["token"])
-        return texts.mapInArrow(run, "token long")
+        return map_batches(texts, run, "token long")
 
     sketch = _counted(emit(lambda tokens: tokens[:region_size(len(tokens))]))
     shipped = Shipped(texts.sparkSession, sketch)
@@ -168,7 +164,7 @@ def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tup
     return tokens[first[:n - need + best]], best
 
 
-PREFIX_SCHEMA = "k1 long, k2 long, doc long, n long, cid binary, short long, l int, prefix array<long>"
+PREFIX_SCHEMA = "k1 long, k2 long, doc long, n long, cid binary, l int, prefix array<long>"
 
 
 def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -180,7 +176,7 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
         sketch, hasher, seen = shipped.get(), WordHasher(FOLD), set()
         none = np.zeros(0, np.int64)
         for batch in batches:
-            n, cid, short, least, out = [], [], [], [], []
+            n, cid, least, out = [], [], [], []
             for tokens in shingle_sets(binaries(batch.column(3)), hasher, words):
                 digest = set_digest(tokens)
                 prefix, l = none, 1
@@ -189,14 +185,13 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
                     prefix, l = adaptive_prefix(tokens, sketch, percent)
                 n.append(len(tokens))
                 cid.append(digest)
-                short.append(short_id(digest))
                 least.append(l)
                 out.append(prefix)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(short, pa.int64()),
-                 pa.array(least, pa.int32()), _lists(out)], names=["k1", "k2", "doc", "n", "cid", "short", "l", "prefix"])
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(cid, pa.binary()),
+                 pa.array(least, pa.int32()), _lists(out)], names=["k1", "k2", "doc", "n", "cid", "l", "prefix"])
 
-    return rows.mapInArrow(run, PREFIX_SCHEMA)
+    return map_batches(rows, run, PREFIX_SCHEMA)
 
 
 def _filter_table(values: DataFrame) -> np.ndarray:
@@ -207,19 +202,33 @@ def _filter_table(values: DataFrame) -> np.ndarray:
 
 def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
     """One row per class and prefix token that occurs in two prefixes or more (a few
-    others pass the filter): ``token, short, cid, n, l``; ``at``, the token's place
+    others pass the filter): ``token, cid, n, l``; ``at``, the token's place
     in the class's order; ``met``, how many such tokens come before it; ``share``,
     the part of the prefix that is left, in thousandths; and ``reach``, the largest
     set this class can link with if this is their first common token or a later one:
     the tokens before it that nobody shares are lost to any overlap."""
-    tokens = rows.select(F.explode("prefix").alias("v"))
+    # one row speaks for its class; a few more than one pass the filter, which
+    # only adds candidates
+    spoken = rows.filter(F.size("prefix") > 0)
+    first = spoken.groupBy("cid").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    speakers = Shipped(rows.sparkSession, _filter_table(first.select(F.xxhash64("k.k1", "k.k2").alias("v"))))
+    spoken = spoken.select("cid", "n", "l", "prefix", F.xxhash64("k1", "k2").alias("row"))
+
+    def emit(batches):
+        speaks = speakers.get()
+        for batch in batches:
+            some = batch.filter(pa.array(_has(speaks, batch.column(4).to_numpy())))
+            yield pa.RecordBatch.from_arrays([some.column(3).flatten()], names=["v"])
+
+    tokens = map_batches(spoken, emit, "v long")
     bits = _filter_table(tokens.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shipped = Shipped(rows.sparkSession, bits)
 
     def run(batches):
-        bits = shipped.get()
+        bits, speaks = shipped.get(), speakers.get()
         for batch in batches:
-            lists = batch.column(4)
+            batch = batch.filter(pa.array(_has(speaks, batch.column(4).to_numpy())))
+            lists = batch.column(3)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             offsets -= offsets[0]
             sizes = np.diff(offsets)
@@ -230,18 +239,16 @@ def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
             at = (np.arange(len(flat)) - offsets[row])[keep]
             met = (kept[:-1] - kept[offsets[row]])[keep]
             row = row[keep]
-            n = batch.column(2).to_numpy()[row]
+            n = batch.column(1).to_numpy()[row]
             share = 1000 * np.bincount(row, minlength=batch.num_rows) // np.maximum(sizes, 1)
             reach = (n - (at - met)) * (100 + percent) // percent - n
-            short, cid, _, l = (batch.column(i).take(pa.array(row)) for i in range(4))
+            cid, l = (batch.column(i).take(pa.array(row)) for i in (0, 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), short, cid, pa.array(n), l, pa.array(at.astype(np.int32)), pa.array(met.astype(np.int32)),
+                [pa.array(flat[keep]), cid, pa.array(n), l, pa.array(at.astype(np.int32)), pa.array(met.astype(np.int32)),
                  pa.array(share[row].astype(np.int32)), pa.array(reach)],
-                names=["token", "short", "cid", "n", "l", "at", "met", "share", "reach"])
+                names=["token", "cid", "n", "l", "at", "met", "share", "reach"])
 
-    own = rows.filter(F.size("prefix") > 0).select("short", "cid", "n", "l", "prefix")
-    posted = own.mapInArrow(run, "token long, short long, cid binary, n long, l int, at int, met int, share int, reach long")
-    return posted.dropDuplicates(["token", "cid"])
+    return map_batches(spoken, run, "token long, cid binary, n long, l int, at int, met int, share int, reach long")
 
 
 def _may_link(x: str, y: str, percent: int):
@@ -255,69 +262,82 @@ def _may_link(x: str, y: str, percent: int):
 
 def _open_lists(post: DataFrame, percent: int) -> DataFrame:
     """Postings that may link with another component in their list, by the sizes
-    there, in lists that still hold two components."""
+    there, in lists that still hold two components; ``members``: the list's length."""
     ends = post.groupBy("token").agg(F.min("n").alias("least_n"), F.max("reach").alias("most_n"),
                                      F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").drop("lo", "hi")
     some = staged(post.join(ends, "token").filter("reach >= least_n and n <= most_n").drop("least_n", "most_n"))
-    both = some.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    return some.join(both.select("token"), "token", "left_semi")
+    both = some.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                     F.count(F.lit(1)).alias("members")).filter("lo != hi")
+    return staged(some.join(both.select("token", "members"), "token"))
 
 
 def hub_pairs(post: DataFrame, percent: int) -> DataFrame:
-    """Candidates between each list's hub (the class with most of its prefix shared)
-    and the list's other classes; lists within one component give none."""
-    post = staged(_open_lists(post, percent))
-    lists = post.groupBy("token").agg(F.max(F.struct("share", "short", "cid", "n", "l", "at", "met", "root")).alias("h"))
-    hubs = lists.select("token", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("short", "cid", "n", "l", "at", "met", "root")])
+    """Candidates between each open list's hub (the class with most of its prefix
+    shared) and the list's other classes."""
+    lists = post.groupBy("token").agg(F.max(F.struct("share", "cid", "n", "l", "at", "met", "root")).alias("h"))
+    hubs = lists.select("token", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("cid", "n", "l", "at", "met", "root")])
     met = post.join(hubs, "token").filter((F.col("root") != F.col("h_root")) & _may_link("", "h_", percent))
-    return _matched(met.select(F.col("short").alias("sa"), F.col("cid").alias("a"), F.col("h_short").alias("sb"),
-                               F.col("h_cid").alias("b"), F.least("l", "h_l").alias("l")))
+    return _matched(met.select(F.col("cid").alias("a"), F.col("h_cid").alias("b"), F.least("l", "h_l").alias("l")))
 
 
 def cross_pairs(post: DataFrame, percent: int) -> DataFrame:
-    """All candidates whose two classes lie in different components."""
-    post = staged(_open_lists(post, percent))
-    x, y = (post.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("short", "cid", "n", "l", "at", "met", "root")])
-            for side in "xy")
-    met = x.join(y, "token").filter((F.col("x_root") < F.col("y_root")) & _may_link("x_", "y_", percent))
-    return _matched(met.select(F.col("x_short").alias("sa"), F.col("x_cid").alias("a"), F.col("y_short").alias("sb"),
-                               F.col("y_cid").alias("b"), F.least("x_l", "y_l").alias("l")))
+    """All candidates whose two classes lie in different components. Short lists
+    give their pairs, which must match often enough. Of long lists, a pair comes
+    from one only, that of its first common token: there a posting carries the
+    tokens of its class that come before, and ``met`` counts only those in short
+    lists, as the others do not match. A pair without a token in a long list has all
+    its common tokens in short ones."""
+    own = ["cid", "n", "l", "root"]
+
+    def met(postings, columns, unless=None):
+        x, y = (postings.select("token", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "xy")
+        test = (F.col("x_root") < F.col("y_root")) & _may_link("x_", "y_", percent)
+        return x.join(y, "token").filter(test if unless is None else test & ~unless)
+
+    short = met(post.filter(F.col("members") <= SHORT_LIST), [*own, "at", "met"])
+    counted = _matched(short.select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b"), F.least("x_l", "y_l").alias("l")))
+    whole = post.filter(F.col("members") > SHORT_LIST).groupBy(*own).agg(
+        F.array_sort(F.collect_list(F.struct("at", "met", "token"))).alias("all"))
+    tokens = whole.select(*own, F.posexplode("all").alias("i", "p"), F.transform("all", lambda t: t["token"]).alias("tokens"))
+    long = tokens.select(*own, "p.at", (F.col("p.met") - F.col("i")).alias("met"), "p.token",
+                         F.slice("tokens", F.lit(1), F.col("i")).alias("before"))
+    once = met(long, [*own, "at", "met", "before"], F.arrays_overlap("x_before", "y_before"))
+    return counted.union(once.select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b"))).distinct()
 
 
 def _matched(met: DataFrame) -> DataFrame:
     """Pairs with enough shared prefix tokens."""
-    return met.groupBy("sa", "a", "sb", "b").agg(F.count(F.lit(1)).alias("m"), F.max("l").alias("l")).filter("m >= l").drop("m", "l")
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.max("l").alias("l")).filter("m >= l").drop("m", "l")
 
 
-def class_sets(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``short, cid, tokens`` of the classes whose ``v`` (short id) is wanted."""
-    shipped = Shipped(texts.sparkSession, _filter_table(wanted))
+def class_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``cid, tokens`` of the classes ``v`` that are wanted, each from one of its
+    documents (a few more pass the filter)."""
+    chosen = rows.filter(F.size("prefix") > 0).join(wanted.distinct(), F.col("cid") == F.col("v"), "left_semi").groupBy("cid").agg(
+        F.min(F.struct("k1", "k2")).alias("k"))
+    shipped = Shipped(docs.sparkSession, _filter_table(chosen.select(F.xxhash64("k.k1", "k.k2").alias("v"))))
+    texts = keyed(docs).select(F.xxhash64("__k1", "__k2").alias("row"), "text")
 
     def run(batches):
-        bits, hasher, seen = shipped.get(), WordHasher(FOLD), set()
+        bits, hasher = shipped.get(), WordHasher(FOLD)
         for batch in batches:
-            cid, out = [], []
-            for tokens in shingle_sets(binaries(batch.column(0)), hasher, words):
-                digest = set_digest(tokens)
-                if len(tokens) and digest not in seen and _has(bits, np.array([short_id(digest)]))[0]:
-                    seen.add(digest)
-                    cid.append(digest)
-                    out.append(tokens)
-            yield pa.RecordBatch.from_arrays([pa.array([short_id(c) for c in cid], pa.int64()), pa.array(cid, pa.binary()),
-                                              _lists(out)], names=["short", "cid", "tokens"])
+            some = batch.filter(pa.array(_has(bits, batch.column(0).to_numpy())))
+            sets = [x for x in shingle_sets(binaries(some.column(1)), hasher, words) if len(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_digest(x) for x in sets], pa.binary()), _lists(sets)],
+                                             names=["cid", "tokens"])
 
-    return texts.mapInArrow(run, "short long, cid binary, tokens array<long>").dropDuplicates(["cid"])
+    return map_batches(texts, run, "cid binary, tokens array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    wanted = pairs.select(F.col("sa").alias("v")).union(pairs.select(F.col("sb").alias("v")))
-    sets = staged(class_sets(texts, wanted, words))
+    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v")))
+    sets = staged(class_sets(docs, rows, wanted, words))
     a = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.select("a", "b").join(b, "b").join(a, "a")
     shared = F.size(F.array_intersect("ta", "tb"))
-    return both.filter(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
+    return both.filter(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b").distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -366,16 +386,18 @@ def _rooted(post: DataFrame, roots: DataFrame | None) -> DataFrame:
 def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): one row per document with its class ``cid`` (``n`` 0: empty
     set), and ``node, root`` of all linked classes."""
+    docs = located(docs)
     texts = docs.select("text")
     sketch = frequency_sketch(texts, words, percent)
     rows = staged(prefixes(keyed(docs).select(F.col("__k1"), F.col("__k2"), F.col("doc_id").cast("long"), "text"),
                            sketch, words, percent))
-    post = staged(shared_postings(rows, percent))
-    near = staged(verified(staged(hub_pairs(_rooted(post, None), percent)), texts, words, percent))
+    post = _open_lists(_rooted(staged(shared_postings(rows, percent)), None), percent)
+    near = staged(verified(staged(hub_pairs(post, percent)), docs, rows, words, percent))
     roots = components(near)
-    rest = staged(cross_pairs(_rooted(post, roots), percent))
+    # components only grow together: what was closed stays closed
+    rest = staged(cross_pairs(_open_lists(_rooted(post.drop("members", "root"), roots), percent), percent))
     if not rest.isEmpty():
-        far = verified(rest, texts, words, percent)
+        far = verified(rest, docs, rows, words, percent)
         roots = components(near.union(far))
     return rows.select("k1", "k2", "doc", "n", "cid"), roots
 
@@ -401,6 +423,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (of equal
     ids, the first in the input). Rows without shingles all stay."""
+    docs = located(docs)
     found = staged(join(docs, words, percent))
     # a component is known by its least id, which a second component cannot have
     # unless ids repeat; its own empty-set rows never compete

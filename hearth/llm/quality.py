@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import Shipped, append_columns, binaries, staged
+from hearth.llm.common import Shipped, append_columns, binaries, map_batches, staged
 
 DIMENSIONS = 1 << 20
 TRAIN_ROWS = 20_000         # bound of the training sample (labelled rows)
@@ -103,7 +103,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, rows:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sets, pa.list_(pa.int32()))],
                                              names=["doc_id", "y", "features"])
 
-    sets = found.select(F.col("doc_id").cast("long"), "text", "y").mapInArrow(run, "doc_id long, y int, features array<int>")
+    sets = map_batches(found.select(F.col("doc_id").cast("long"), "text", "y"), run, "doc_id long, y int, features array<int>")
     return sets.dropDuplicates(["doc_id"]).withColumn("shard", F.pmod(F.hash("doc_id"), F.lit(SHARDS)))
 
 
