@@ -66,19 +66,15 @@ def basket_pairs(base: DataFrame, min_count: int = 10, by_site: bool = False) ->
     """V29 (all sites) / V30 (``by_site``): item pairs with support, both
     confidences and lift, kept when at least ``min_count`` baskets share them."""
     keys = ["site"] if by_site else []
-    # five branches read the base: compute it once into the shared checkpoint
-    # folder (reliable checkpoint, survives executor loss) instead of five times
-    base = base.checkpoint(eager=True)
-    singles = base.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc"))
-    tot = base.select(*keys, "bl", "ar").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    frequent = singles.filter(F.col("sc") >= min_count).select(*keys, "item")
-    b = base.join(broadcast_if_small(frequent), keys + ["item"], "left_semi") \
-            .select(*keys, "bl", "ar", "item")
-    a = b.select(*keys, "bl", "ar", F.col("item").alias("i1"))
-    c = b.select(*keys, "bl", "ar", F.col("item").alias("i2"))
-    pairs = (a.join(c, keys + ["bl", "ar"]).filter(F.col("i1") < F.col("i2"))
-              .groupBy(*keys, "i1", "i2").agg(F.count(F.lit(1)).alias("pc"))
-              .filter(F.col("pc") >= min_count))
+    # one shuffle brings a receipt's items together; single counts, basket counts and
+    # pairs all come from the same lists (a receipt's pairs are bounded by its lines)
+    baskets = base.groupBy(*keys, "bl", "ar").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    singles = baskets.select(*keys, F.explode("items").alias("item")).groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc"))
+    tot = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    later = F.transform("items", lambda x, i: F.transform(
+        F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x.alias("i1"), y.alias("i2"))))
+    pairs = (baskets.select(*keys, F.inline(F.flatten(later))).filter(F.col("i1") < F.col("i2"))
+             .groupBy(*keys, "i1", "i2").agg(F.count(F.lit(1)).alias("pc")).filter(F.col("pc") >= min_count))
     return _pair_stats(pairs, singles, tot, keys)
 
 

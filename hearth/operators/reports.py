@@ -80,12 +80,11 @@ def shift_report(fact_lines: DataFrame, as_of, top_n: int = 10) -> DataFrame:
     """yesterday's net sales per shift and its top ``top_n`` items by units
     (one pass with a row number per shift instead of a query per shift)."""
     f = fact_lines.filter((F.col("business_date") == _yesterday(as_of)) & F.col("shift").isin(*SHIFTS))
-    items = f.groupBy("shift", "name").agg(F.sum("quantity").alias("units"),
-                                           F.round(F.sum("net_ex_vat"), 2).alias("net"))
+    items = f.groupBy("shift", "name").agg(F.sum("quantity").alias("units"), F.sum("net_ex_vat").alias("sold"))
     w = Window.partitionBy("shift").orderBy(F.col("units").desc_nulls_first(), F.col("name").asc_nulls_last())
-    top = items.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
-    totals = f.groupBy("shift").agg(F.coalesce(F.sum("net_ex_vat"), F.lit(0)).alias("shift_net"))
-    return top.join(totals, "shift")
+    ranked = items.select("shift", "name", "units", F.round("sold", 2).alias("net"), F.row_number().over(w).alias("rank"),
+                          F.coalesce(F.sum("sold").over(Window.partitionBy("shift")), F.lit(0)).alias("shift_net"))
+    return ranked.filter(F.col("rank") <= top_n)
 
 
 def shift_compare(fact_lines: DataFrame, as_of) -> DataFrame:

@@ -210,18 +210,16 @@ def staff_eotw_day(line_staff: DataFrame, sales: DataFrame, payments: DataFrame,
     """Employee-of-the-week day rows: what each server rang, plus covers,
     sales and tips of the receipts where they were the dominant ringer,
     attributed voids and clocked hours."""
-    # two branches (per-server sums and the dominant ringer) read these lines:
-    # materialise the few columns they need once in the shared checkpoint folder
-    ls_ = (line_staff.filter(F.col("line_staff").isNotNull())
-           .select("business_location_id", "account_reference", "line_staff", "business_date", "net_ex_vat",
-                   "wet_dry", "item_category", "quantity")
-           .checkpoint(eager=True))
+    # one aggregate per receipt and server feeds both the server's sums and the
+    # receipt's dominant ringer
     ic = F.col("item_category")
-    ls = ls_.groupBy("business_location_id", F.col("line_staff").alias("staff"), "business_date").agg(
-        F.sum("net_ex_vat").alias("line_sales"),
+    rung = line_staff.filter(F.col("line_staff").isNotNull()).groupBy(*RECEIPT_KEY, "line_staff", "business_date").agg(
+        F.sum("net_ex_vat").alias("net_ex_vat"),
         F.sum(F.when(F.col("wet_dry") == "wet", F.col("net_ex_vat"))).alias("wet_sales"),
         F.sum(F.when(ic.isin(*UPSELL_CATEGORIES), F.col("quantity"))).alias("upsell_items"))
-    prim = dominant_ringer(ls_, "line_staff", "net_ex_vat")
+    ls = rung.groupBy("business_location_id", F.col("line_staff").alias("staff"), "business_date").agg(
+        F.sum("net_ex_vat").alias("line_sales"), F.sum("wet_sales").alias("wet_sales"), F.sum("upsell_items").alias("upsell_items"))
+    prim = dominant_ringer(rung, "line_staff", "net_ex_vat")
     pday = (prim.join(sales.select(*RECEIPT_KEY, "time_closed", "nb_covers"), RECEIPT_KEY)
                 .join(receipt_tips(payments), RECEIPT_KEY, "left")
                 .groupBy("business_location_id", F.col("ringer").alias("staff"),
