@@ -119,3 +119,10 @@ def feed_reconciliation(webhook_daily: DataFrame, pos_daily: DataFrame, toleranc
     diff = F.col("pos_gross") - F.col("webhook_gross")
     return j.select("business_location_id", F.col("d").alias("order_date"), "pos_gross", "webhook_gross",
                     diff.alias("diff"), F.coalesce(F.abs(diff) < tolerance, F.lit(False)).alias("matched"))
+
+
+def feed_match_rate(reconciliation: DataFrame) -> DataFrame:
+    """Per site, the days of either feed and the share that agrees."""
+    hit = F.count(F.when(F.col("matched"), 1))
+    return reconciliation.groupBy("business_location_id").agg(
+        F.count(F.lit(1)).alias("days"), hit.alias("days_matched"), F.round(100.0 * hit / F.count(F.lit(1)), 1).alias("match_pct"))

@@ -145,3 +145,38 @@ def s21f(c: Ctx):
     p = FE.parse_reviews(FE.scan_csv(c.spark, path))
     return p.select("review_hash", "sentiment_label", "source", "review_date", *dbl("rating"), "reviewer",
                     F.length("review_text").alias("text_len"))
+
+
+@register("s18_csv_mixed_headers", """
+SELECT review_hash, sentiment_label, source, review_date, CAST(rating AS DOUBLE) AS rating, reviewer,
+       length(review_text) AS text_len
+FROM sentiment_reviews""")
+def s18(c: Ctx):
+    """Review files whose columns stand in two different orders, one of them
+    with a column more, read by their own headers."""
+    r = c.w.sentiment_reviews
+    rows = r.select(F.col("sentiment_label").alias("Business"), F.col("source").alias("Source"),
+                    F.date_format("review_date", "yyyy-MM-dd").alias("Date"),
+                    F.col("rating").cast("string").alias("Rating"), F.col("review_text").alias("Text"),
+                    F.col("reviewer").alias("User"))
+    later = F.col("Date") >= "2024-02-01"
+    c.w.landed_csv("reviews_mixed/early", rows.filter(~later))
+    path = c.w.landed_csv("reviews_mixed/late", rows.filter(later).select("Text", "User", F.lit("x").alias("Extra"), "Date", "Rating",
+                                                                         "Business", "Source"))
+    p = FE.parse_reviews(FE.scan_csv(c.spark, path.rsplit("/", 1)[0]))
+    return p.select("review_hash", "sentiment_label", "source", "review_date", *dbl("rating"), "reviewer",
+                    F.length("review_text").alias("text_len"))
+
+
+@register("s09_labour_breakdown", """
+SELECT branch_id, biz_date, category, CAST(value AS DOUBLE) AS value, CAST(planned_value AS DOUBLE) AS planned_value
+FROM nory_labour_breakdown""")
+def s09(c: Ctx):
+    """Daily labour records with both breakdown arrays, every planned name
+    given twice (the last one counts)."""
+    entry = lambda v: F.struct(F.col("category").alias("name"), F.col(v).cast("string").alias("value"))
+    rec = c.w.nory_labour_breakdown.groupBy("branch_id", F.col("biz_date").cast("string").alias("date")).agg(
+        F.collect_list(entry("value")).alias("breakdown"), F.collect_list(entry("planned_value")).alias("planned"))
+    stale = F.transform("planned", lambda p: F.struct(p["name"].alias("name"), F.lit("-1").alias("value")))
+    rec = rec.select("branch_id", "date", "breakdown", F.concat(stale, "planned").alias("planned_breakdown"))
+    return FE.labour_breakdown(rec).select("branch_id", "biz_date", "category", *dbl("value", "planned_value"))
