@@ -125,8 +125,12 @@ def _let(value: Column, body) -> Column:
 
 
 def encode_word(word: Column, maps: Column) -> Column:
-    """Ids of a word (array of int): merges folded over its bytes."""
+    """Ids of a word (array of int): merges folded over its bytes. ``maps`` is bound
+    once, so that a plan holds its literal once."""
+    return _let(maps, lambda m: _encoded(word, m))
 
+
+def _encoded(word: Column, maps: Column) -> Column:
     def rank(piece: Column) -> Column:
         return F.element_at(F.element_at(maps, (F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)) + 1).cast("int")), piece)
 

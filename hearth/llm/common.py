@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 import zlib
@@ -54,6 +55,13 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of finished shuffles: Spark deletes their files once the driver's JVM
+    has collected what refers to them, which may otherwise take many stages."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder now and go on from
     there: the lineage is cut, a lost executor loses nothing, and a compressed
@@ -62,6 +70,7 @@ def staged(df: DataFrame) -> DataFrame:
     ensure_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

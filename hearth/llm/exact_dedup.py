@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import ascii_lower, keyed, located, staged
+from hearth.plans.joins import broadcast_if_small
 
 BUCKET_KEYS = 2048
 GROUP_SIZE = 2      # mean number of keys that share a displacement
@@ -181,4 +182,4 @@ def dedup(docs: DataFrame, history: Column | None = None) -> DataFrame:
     docs = located(docs)
     dropped = staged(decide(docs, history).filter(~F.col("kept")).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
-    return keyed(docs).join(dropped, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    return keyed(docs).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")

@@ -25,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, binaries, keyed, located, map_batches, staged
+from hearth.llm.common import Shipped, binaries, keyed, located, map_batches, release, staged
 from hearth.llm.hashing import WordHasher, rolled
+from hearth.plans.joins import broadcast_if_small
 
 WORDS = 4                   # words per shingle
 PERCENT = 85                # least Jaccard similarity
-REGION = 20                 # per cent of a set whose tokens are counted for the order
-SKETCH_CELLS = 1 << 24      # cells of the frequency sketch (one byte each)
-FILTER_BITS = 1 << 27       # bits of the shared-token filter
+REGION = 5                  # per cent of a set counted for the order beyond the shortest prefix
+SKETCH_CELLS = 1 << 23      # cells of the frequency sketch (one byte each)
+FILTER_BITS = 1 << 26       # bits of the shared-token filter
 FREQUENT = 3                # log2 of the document frequency from which a token goes last
 MOST_MATCHES = 8            # largest l
 SHORT_LIST = 8              # postings of a list whose pairs are all formed
@@ -70,8 +71,9 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def region_size(n: int) -> int:
-    return min(n, n * REGION // 100 + 8)
+def region_size(n: int, percent: int) -> int:
+    """Tokens of a set that are counted: its prefix mostly lies among them."""
+    return min(n, n * (100 - percent + REGION) // 100 + MOST_MATCHES)
 
 
 def _bits(positions: np.ndarray, size: int) -> np.ndarray:
@@ -97,6 +99,7 @@ def _counted(tokens: DataFrame) -> np.ndarray:
     cells = counted.select(F.col("token").bitwiseAND(SKETCH_CELLS - 1).cast("int").alias("cell"),
                            F.least(F.lit(15), F.floor(F.log2("n"))).cast("byte").alias("level"))
     got = cells.groupBy("cell").agg(F.max("level").alias("level")).toArrow()
+    release(tokens.sparkSession)
     sketch = np.zeros(SKETCH_CELLS, np.uint8)
     sketch[got["cell"].to_numpy()] = got["level"].to_numpy().astype(np.uint8)
     return sketch
@@ -104,8 +107,8 @@ def _counted(tokens: DataFrame) -> np.ndarray:
 
 def frequency_sketch(texts: DataFrame, words: int, percent: int) -> np.ndarray:
     """log2 of the document frequency, per cell of hashed tokens. First all documents
-    count the lowest ``REGION`` per cent of their tokens, which is where prefixes
-    come from; then those with too many frequent tokens there, whose prefixes must
+    count the lowest tokens of their sets (``region_size``), where prefixes come
+    from; then those with too many frequent tokens there, whose prefixes must
     reach further, count the rest of theirs. The result has a fixed size."""
 
     def emit(part):
@@ -121,7 +124,7 @@ def frequency_sketch(texts: DataFrame, words: int, percent: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["token"])
         return map_batches(texts, run, "token long")
 
-    sketch = _counted(emit(lambda tokens: tokens[:region_size(len(tokens))]))
+    sketch = _counted(emit(lambda tokens: tokens[:region_size(len(tokens), percent)]))
     shipped = Shipped(texts.sparkSession, sketch)
 
     def rest():
@@ -130,7 +133,7 @@ def frequency_sketch(texts: DataFrame, words: int, percent: int) -> np.ndarray:
         def part(tokens):
             if not known:
                 known.append(shipped.get())
-            region = region_size(len(tokens))
+            region = region_size(len(tokens), percent)
             rare = np.count_nonzero(known[0][tokens[:region] & (SKETCH_CELLS - 1)] < FREQUENT)
             enough = rare >= len(tokens) - least_overlap(len(tokens), percent) + MOST_MATCHES
             return tokens[:0] if enough else tokens[region:]
@@ -149,7 +152,7 @@ def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tup
     most = min(MOST_MATCHES, need)
     first = order[:n - need + most]
     others = np.exp2(level.astype(np.float64)) - 1
-    region = region_size(n)     # beyond it counts may lack documents: take the mean at least
+    region = region_size(n, percent)     # beyond it counts may lack documents: take the mean at least
     others[region:] = np.maximum(others[region:], others[:region].mean())
     others = others[first]
     best, cost = 1, np.inf
@@ -197,6 +200,7 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
 def _filter_table(values: DataFrame) -> np.ndarray:
     """Bit table over the long column ``v``: fixed size, may hold more, never less."""
     cells = values.select(F.col("v").bitwiseAND(FILTER_BITS - 1).cast("int").alias("c")).distinct().toArrow()
+    release(values.sparkSession)
     return _bits(cells["c"].to_numpy().astype(np.int64), FILTER_BITS)
 
 
@@ -433,4 +437,4 @@ def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFr
                                                   F.col("component_id").eqNullSafe(F.col("c")))
     dropped = staged(dropped.filter((F.col("k1") != F.col("f.k1")) | (F.col("k2") != F.col("f.k2"))).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
-    return keyed(docs).join(dropped, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    return keyed(docs).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
