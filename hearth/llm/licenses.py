@@ -9,8 +9,6 @@ once the matched words, compared as words, cover enough of its template.
 
 from __future__ import annotations
 
-from hashlib import blake2b
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -18,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, binaries, byte_words, map_batches
+from hearth.llm.common import WORD_TABLE, Shipped, binaries, map_batches
+from hearth.llm.hashing import WordHasher, rolled
 
 #: Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -44,7 +43,6 @@ NOTICES = [
 
 COVER = 0.75        # least part of a template that a span must match
 GAP = 3             # diagonals at most so far apart belong together
-MEMO_WORDS = 1_000_000
 
 
 class Grams:
@@ -52,44 +50,23 @@ class Grams:
 
     def __init__(self):
         self.rows = []      # hash, template, place, gram, k, length, label, base
+        hasher = WordHasher(WORD_TABLE)
+        parts: dict[int, set[int]] = {2: set(), 3: set()}
         for number, (label, text, base) in enumerate([(l, t, True) for t, l in BASE] + [(l, t, False) for l, t in NOTICES]):
             words = text.split()
             k = min(3, len(words))
-            for place in range(len(words) - k + 1):
-                gram = words[place:place + k]
-                h = np.array([_word_hash(w.encode()) for w in gram], np.uint64)
-                self.rows.append((int(_rolled(h, k)[0]), number, place, " ".join(gram), k, len(words), label, base))
-        self.short = {w.encode() for r in self.rows if r[4] == 2 for w in r[3].split()}
-        self.long = {w.encode() for r in self.rows if r[4] == 3 for w in r[3].split()}
+            hashes = next(hasher.slabs([text.encode()])).hashes
+            parts[k].update(hashes.tolist())
+            for place, gram in enumerate(rolled(hashes, k).tolist()):
+                self.rows.append((gram, number, place, " ".join(words[place:place + k]), k, len(words), label, base))
+        #: Hashes of the words that 2-word and 3-word grams are made of.
+        self.parts = {k: np.array(sorted(v), np.uint64) for k, v in parts.items()}
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "hash long, template int, place int, gram string, k int, length int, "
                                                 "label string, base boolean")
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = _word_hash(word)
-        return value
-
-
-def _rolled(h: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all k words in a row."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[i:n + i]
-    return out.view(np.int64)
-
-
 GRAM_SCHEMA = "row long, doc long, at int, h2 long, h3 long, words string, n_words long"
 
 
@@ -98,63 +75,53 @@ def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
     (null at the end of the text), and the words themselves where all are words of
     templates. A further row per document (``at`` -1) carries its number of words.
     ``row`` numbers documents; all rows of one come from the same task attempt."""
-    shipped = Shipped(docs.sparkSession, (grams.short, grams.long))
-    slab = 4096     # documents at most in one output batch
-
-    def one(data, hashes, short, long):
-        words = byte_words(data) if data else []
-        n = len(words)
-        h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-        two, three = _rolled(h, 2), _rolled(h, 3)
-        s = np.fromiter(map(short.__contains__, words), bool, n)
-        l = np.fromiter(map(long.__contains__, words), bool, n)
+    shipped = Shipped(docs.sparkSession, grams.parts)
+
+    def ahead(values: np.ndarray, n: int, left: np.ndarray, k: int, none):
+        """``values`` of each k words in a row, per word; none where the text ends before."""
+        full = np.full(n, none, values.dtype)
+        full[:len(values)] = values
+        return np.where(left >= k, full, none)
+
+    def rows_of(slab, ids, first, parts):
+        n = len(slab.hashes)
+        count = np.diff(slab.offsets)
+        doc = np.repeat(np.arange(len(count)), count)
+        at = np.arange(n) - np.repeat(slab.offsets[:-1], count)
+        left = np.repeat(count, count) - at             # words from here to the end of the text
         held = np.zeros(n, bool)
-        held[:len(two)] |= s[:-1] & s[1:] if n > 1 else False
-        held[:len(three)] |= l[:-2] & l[1:-1] & l[2:] if n > 2 else False
-        return n, two, three, [(int(i), b" ".join(words[i:i + 3]).decode()) for i in np.flatnonzero(held)]
-
-    def flush(rows, ids, found):
-        count = np.array([f[0] + 1 for f in found])
-        total = int(count.sum())
-        starts = np.cumsum(count) - count
-        at = np.arange(total) - np.repeat(starts, count) - 1
-        n_words = np.full(total, 0, np.int64)
-        n_words[starts] = count - 1
-        columns = []
-        for which, k in ((1, 2), (2, 3)):
-            values, empty = np.zeros(total, np.int64), np.ones(total, bool)
-            for start, f in zip(starts, found):
-                m = len(f[which])
-                values[start + 1:start + 1 + m] = f[which]
-                empty[start + 1:start + 1 + m] = False
-            columns.append(pa.array(values, mask=empty))
-        words = np.full(total, None, object)
-        for start, f in zip(starts, found):
-            for i, text in f[3]:
-                words[start + 1 + i] = text
-        which = pa.array(np.repeat(np.arange(len(found)), count))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()).take(which), pa.array(ids, pa.int64()).take(which), pa.array(at.astype(np.int32)),
-             *columns, pa.array(words, pa.string()), pa.array(n_words)],
+        hashes = []
+        for k in (2, 3):
+            hashes.append(pa.array(ahead(rolled(slab.hashes, k), n, left, k, 0), mask=left < k))
+            known = np.isin(slab.hashes, parts[k])
+            run = known[:max(0, n - k + 1)].copy()
+            for i in range(1, k):
+                run &= known[i:len(run) + i]
+            held |= ahead(run, n, left, k, False)
+        words = np.full(n, None, object)
+        for i in np.flatnonzero(held).tolist():
+            words[i] = b" ".join(slab.word(j) for j in range(i, i + min(3, int(left[i])))).decode()
+        docs_of = pa.array(doc)
+        none = pa.nulls(len(count), pa.int64())
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([first + doc, first + np.arange(len(count))])),
+            pa.concat_arrays([ids.take(docs_of), ids]),
+            pa.array(np.concatenate([at, np.full(len(count), -1)]).astype(np.int32)),
+            pa.concat_arrays([hashes[0], none]), pa.concat_arrays([hashes[1], none]),
+            pa.concat_arrays([pa.array(words, pa.string()), pa.nulls(len(count), pa.string())]),
+            pa.array(np.concatenate([np.zeros(n, np.int64), count.astype(np.int64)]))],
             names=["row", "doc", "at", "h2", "h3", "words", "n_words"])
 
     def run(batches):
-        short, long = shipped.get()
-        hashes = WordHashes()
+        parts, hasher = shipped.get(), WordHasher(WORD_TABLE)
         number = TaskContext.get().partitionId() << 33
-        rows, ids, found, size = [], [], [], 0
         for batch in batches:
-            for doc, data in zip(batch.column(0).to_pylist(), binaries(batch.column(1))):
-                rows.append(number)
-                ids.append(doc)
-                found.append(one(data, hashes, short, long))
-                number += 1
-                size += found[-1][0]
-                if size > 200_000 or len(found) >= slab:
-                    yield flush(rows, ids, found)
-                    rows, ids, found, size = [], [], [], 0
-        if found:
-            yield flush(rows, ids, found)
+            done = 0
+            for slab in hasher.slabs(binaries(batch.column(1))):
+                size = len(slab.offsets) - 1
+                yield rows_of(slab, batch.column(0).slice(done, size), number, parts)
+                done += size
+                number += size
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, GRAM_SCHEMA)
 

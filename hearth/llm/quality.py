@@ -9,8 +9,7 @@ A score is one sparse dot product with a weight vector of fixed size.
 
 from __future__ import annotations
 
-import re
-from hashlib import blake2b
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.llm.common import Shipped, append_columns, binaries, map_batches, staged
+from hearth.llm.hashing import WordHasher, rolled
 
 DIMENSIONS = 1 << 20
 TRAIN_ROWS = 20_000         # bound of the training sample (labelled rows)
@@ -27,30 +27,24 @@ SHARDS = 8
 ROUNDS = 2
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 20.0, 1.0, 0.1, 0.01
-MEMO_WORDS = 1_000_000
-#: Words, and runs of other visible characters.
-TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
+#: Tokens are words (digits, letters, every byte of a non-ASCII character) and runs
+#: of other visible characters; blanks part them.
+FOLD = bytes(32 if 9 <= c <= 13 else c for c in range(256))
+CLASSES = bytes(0 if c == 32 else 1 if c >= 128 or chr(c).isalnum() else 2 for c in range(256))
 
 
-class TokenHashes(dict):
-    """64-bit hash of a token, remembered; forgets everything when full."""
+def hasher() -> WordHasher:
+    return WordHasher(FOLD, CLASSES)
 
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[token] = int.from_bytes(blake2b(token, digest_size=8).digest(), "little")
-        return value
 
-
-def features(data: bytes | None, hashes: TokenHashes) -> np.ndarray:
-    """Sorted distinct feature numbers of a whole text (none for null or empty)."""
-    tokens = TOKEN.findall(data) if data else []
-    if not tokens:
-        return np.zeros(0, np.int32)
-    h = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    two = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
-    two = (two ^ (two >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique((np.concatenate([h, two]) >> np.uint64(44)).astype(np.int32))
+def features(texts: list[bytes | None], hashes: WordHasher) -> Iterator[np.ndarray]:
+    """Per text, sorted distinct feature numbers of its tokens and pairs of tokens
+    (none for null or empty)."""
+    for slab in hashes.slabs(texts):
+        one = (slab.hashes >> np.uint64(44)).astype(np.int32)
+        two = (rolled(slab.hashes, 2).view(np.uint64) >> np.uint64(44)).astype(np.int32)
+        for start, end in zip(slab.offsets[:-1].tolist(), slab.offsets[1:].tolist()):
+            yield np.unique(np.concatenate([one[start:end], two[start:max(start, end - 1)]]))
 
 
 class Ftrl:
@@ -97,9 +91,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, rows:
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def run(batches):
-        hashes = TokenHashes()
+        hashes = hasher()
         for batch in batches:
-            sets = [features(x, hashes) for x in binaries(batch.column(1))]
+            sets = list(features(binaries(batch.column(1)), hashes))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sets, pa.list_(pa.int32()))],
                                              names=["doc_id", "y", "features"])
 
@@ -145,11 +139,10 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     shipped = Shipped(docs.sparkSession, weights.astype(np.float32))
 
     def run(batches):
-        w, hashes = shipped.get().astype(np.float64), TokenHashes()
+        w, hashes = shipped.get().astype(np.float64), hasher()
         for batch in batches:
             sums = []
-            for data in binaries(batch.column(column)):
-                at = features(data, hashes)
+            for at in features(binaries(batch.column(column)), hashes):
                 sums.append(w[at].sum() / np.sqrt(max(1, len(at))) + w[-1])
             yield batch, [pa.array(1.0 / (1.0 + np.exp(-np.clip(np.array(sums, np.float64), -35, 35))), pa.float64())]
 

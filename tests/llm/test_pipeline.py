@@ -1,7 +1,6 @@
 import hashlib
 
 import public_tokenizers
-import pytest
 import tiktoken
 
 import corpus_pipeline as P
@@ -39,7 +38,6 @@ def test_whole_run_against_brute_force(spark):
 
 
 def test_each_stage_decides(spark, tmp_path):
-    from test_ngram_join import near_copies
     filler = " ".join(f"word{i} stays" for i in range(40))
     clean = [(1000 + i, f"{filler} number{i} and {' '.join(f'own{i}x{j}' for j in range(40))}") for i in range(20)]
     rows = clean + [(1, None), (2, "123 ..."), (3, clean[0][1].upper()), (4, clean[1][1] + " more"), (5, "a secret test passage of exactly ten plain words here " * 2)]

@@ -10,11 +10,13 @@ from conftest import SF_SMALL
 
 
 def test_features_are_sets_of_one_and_two_grams():
-    h = Q.TokenHashes()
-    assert len(Q.features(b"a b", h)) == 3 and len(Q.features(b"a b a b", h)) == 4
-    assert list(Q.features(b"a b", h)) == list(Q.features(b"  a\nb ", h))
-    assert len(Q.features(b"", h)) == len(Q.features(None, h)) == 0
-    assert set(Q.features(b"a", h)) < set(Q.features(b"a!!", h))
+    def one(text):
+        return next(Q.features([text], Q.hasher()))
+    assert len(one(b"a b")) == 3 and len(one(b"a b a b")) == 4
+    assert list(one(b"a b")) == list(one(b"  a\nb "))
+    assert len(one(b"")) == len(one(None)) == 0
+    assert set(one(b"a")) < set(one(b"a!!"))
+    assert [len(x) for x in Q.features([b"a b", None, b"", b"c", b"a b"], Q.hasher())] == [3, 0, 0, 1, 3]
 
 
 def test_ftrl_step_by_hand():
