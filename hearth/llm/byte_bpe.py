@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import Shipped, map_batches, staged
 
-CHUNK_WORDS = 1_000_000     # words gathered at a time, at least one document
+CHUNK_WORDS = 250_000     # words gathered at a time, at least one document
 DICTIONARY_WORDS = 1 << 18  # words of the shipped dictionary at most
 FOLD_BYTES = 64             # longest word that is folded (folding is quadratic)
 MEMO_WORDS = 200_000        # merged words a task keeps

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from hearth.llm.common import Shipped, append_columns, binaries, byte_words, map_batches, staged
 
 WINDOW = 10
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 250_000
 BLOCK_BYTES = 16 * 1024 * 1024
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLAB = 1 << 20      # bytes hashed at a time
+SLAB = 1 << 18      # bytes hashed at a time
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
 

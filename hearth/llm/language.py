@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from hearth.llm.common import Shipped, append_columns, id_crc32, map_batches
 
-COUNT_GRAMS = 1_000_000 # n-grams of one language that a task gathers before it counts them
+COUNT_GRAMS = 500_000 # n-grams of one language that a task gathers before it counts them
 PROFILE = 300           # n-grams per profile
 UNKNOWN = "und"
 MIN_SCORE = 0.2         # the filter rejects texts below it: no profile is near at all
