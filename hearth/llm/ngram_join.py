@@ -204,6 +204,16 @@ def _filter_table(values: DataFrame) -> np.ndarray:
     return _bits(cells["c"].to_numpy().astype(np.int64), FILTER_BITS)
 
 
+def speakers(rows: DataFrame) -> DataFrame:
+    """``cid, n, l, prefix``, one row per class: of the rows of several tasks that
+    carry a class's prefix the first stays. Only classes with several are listed."""
+    spoken = rows.filter(F.size("prefix") > 0)
+    several = staged(spoken.groupBy("cid").agg(F.min(F.struct("k1", "k2")).alias("k"), F.count(F.lit(1)).alias("m")).filter(
+        "m > 1").select("cid", "k"))
+    return spoken.join(broadcast_if_small(several), "cid", "left").filter(
+        F.col("k").isNull() | (F.col("k") == F.struct("k1", "k2"))).select("cid", "n", "l", "prefix")
+
+
 def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
     """One row per class and prefix token that occurs in two prefixes or more (a few
     others pass the filter): ``token, cid, n, l``; ``at``, the token's place
@@ -211,27 +221,20 @@ def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
     the part of the prefix that is left, in thousandths; and ``reach``, the largest
     set this class can link with if this is their first common token or a later one:
     the tokens before it that nobody shares are lost to any overlap."""
-    # one row speaks for its class; a few more than one pass the filter, which
-    # only adds candidates
-    spoken = rows.filter(F.size("prefix") > 0)
-    first = spoken.groupBy("cid").agg(F.min(F.struct("k1", "k2")).alias("k"))
-    speakers = Shipped(rows.sparkSession, _filter_table(first.select(F.xxhash64("k.k1", "k.k2").alias("v"))))
-    spoken = spoken.select("cid", "n", "l", "prefix", F.xxhash64("k1", "k2").alias("row"))
+    # a class must not come twice: ``cross_pairs`` counts its postings against ``met``
+    spoken = speakers(rows)
 
     def emit(batches):
-        speaks = speakers.get()
         for batch in batches:
-            some = batch.filter(pa.array(_has(speaks, batch.column(4).to_numpy())))
-            yield pa.RecordBatch.from_arrays([some.column(3).flatten()], names=["v"])
+            yield pa.RecordBatch.from_arrays([batch.column(3).flatten()], names=["v"])
 
     tokens = map_batches(spoken, emit, "v long")
     bits = _filter_table(tokens.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shipped = Shipped(rows.sparkSession, bits)
 
     def run(batches):
-        bits, speaks = shipped.get(), speakers.get()
+        bits = shipped.get()
         for batch in batches:
-            batch = batch.filter(pa.array(_has(speaks, batch.column(4).to_numpy())))
             lists = batch.column(3)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             offsets -= offsets[0]

@@ -77,6 +77,18 @@ def test_components_against_brute_force(spark, seed):
     assert result(J.join(docs)) == brute(rows)
 
 
+def test_a_class_speaks_once_whatever_the_filter_holds(spark, monkeypatch):
+    monkeypatch.setattr(J, "FILTER_BITS", 8)        # full: everything passes
+    rows = [(i + 100_003 * c, t) for i, t in near_copies(4, 60) for c in range(3)]
+    random.Random(4).shuffle(rows)
+    docs = J.located(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    sketch = J.frequency_sketch(docs.select("text"), 4, 85)
+    spread = J.prefixes(J.keyed(docs).select("__k1", "__k2", "doc_id", "text"), sketch, 4, 85)
+    post = J.shared_postings(J.staged(spread), 85).cache()
+    assert post.count() == post.select("cid", "token").distinct().count() > 0
+    assert result(J.join(docs)) == brute(rows)
+
+
 def test_large_family_whose_links_run_over_one_text(spark):
     random.seed(9)
     base = [f"b{i}" for i in range(300)]
