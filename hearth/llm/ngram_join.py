@@ -411,7 +411,8 @@ def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document of ``docs`` (``doc_id, text``): ``doc_id, n_shingles,
-    component_id`` and the row key ``k1, k2``.
+    component_id``, the row key ``k1, k2``, and ``root``, a component's own class
+    (null without shingles), which tells components apart whatever their ids are.
 
     Null and wordless texts have no shingles and link with nothing, so their
     component is their own id. Repeated rows share a component. A null id counts
@@ -421,23 +422,20 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     classes = rows.filter("n > 0").groupBy("cid").agg(F.min("doc").alias("doc")).join(
         roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", F.coalesce("root", "cid").alias("root"), "doc")
     least = classes.groupBy("root").agg(F.min("doc").alias("component"))
-    named = classes.join(least, "root").select("cid", "component")
+    named = classes.join(least, "root").select("cid", "component", "root")
     return rows.join(named, "cid", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"), "k1", "k2")
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"), "k1", "k2", "root")
 
 
 def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (of equal
     ids, the first in the input). Rows without shingles all stay."""
     docs = located(docs)
-    found = staged(join(docs, words, percent))
-    # a component is known by its least id, which a second component cannot have
-    # unless ids repeat; its own empty-set rows never compete
-    first = found.filter("n_shingles > 0").groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("o"), "doc_id", "k1", "k2")).alias("f"))
-    dropped = found.filter("n_shingles > 0").join(first.withColumnRenamed("component_id", "c"),
-                                                  F.col("component_id").eqNullSafe(F.col("c")))
+    found = staged(join(docs, words, percent).filter("n_shingles > 0").select("doc_id", "k1", "k2", "root"))
+    # ids may be null or repeat: only the root tells components apart
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("o"), "doc_id", "k1", "k2")).alias("f"))
+    dropped = found.join(first, "root")
     dropped = staged(dropped.filter((F.col("k1") != F.col("f.k1")) | (F.col("k2") != F.col("f.k2"))).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
     return keyed(docs).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")

@@ -137,6 +137,13 @@ def test_odd_rows_and_dedup(spark, odd_docs, no_docs):
     assert J.join(no_docs).count() == 0 and J.dedup(no_docs).count() == 0
 
 
+def test_dedup_keeps_unrelated_texts_whose_ids_are_null_or_repeat(spark):
+    rows = [(None, "one two three four five six"), (None, "red green blue black white grey"), (None, "ONE two three four five six"),
+            (5, "north east south west up down"), (5, "iron gold tin lead zinc silver"), (5, "iron gold tin lead ZINC silver")]
+    kept = J.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((str(r.doc_id), r.text.lower()) for r in kept.collect()) == sorted({(str(d), t.lower()) for d, t in rows})
+
+
 def test_query_over_whole_table(spark):
     from hearth.llm.queries import QUERIES
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
