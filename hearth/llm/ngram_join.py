@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from hearth.llm.common import Shipped, binaries, keyed, located, map_batches, release, staged
 from hearth.llm.hashing import WordHasher, rolled
@@ -33,7 +34,7 @@ WORDS = 4                   # words per shingle
 PERCENT = 85                # least Jaccard similarity
 REGION = 5                  # per cent of a set counted for the order beyond the shortest prefix
 SKETCH_CELLS = 1 << 23      # cells of the frequency sketch (one byte each)
-FILTER_BITS = 1 << 26       # bits of the shared-token filter
+FILTER_BITS = 1 << 26       # bits of the filter of rows whose sets are verified
 FREQUENT = 3                # log2 of the document frequency from which a token goes last
 MOST_MATCHES = 8            # largest l
 SHORT_LIST = 8              # postings of a list whose pairs are all formed
@@ -76,12 +77,6 @@ def region_size(n: int, percent: int) -> int:
     return min(n, n * (100 - percent + REGION) // 100 + MOST_MATCHES)
 
 
-def _bits(positions: np.ndarray, size: int) -> np.ndarray:
-    table = np.zeros(size >> 3, np.uint8)
-    np.bitwise_or.at(table, positions >> 3, (1 << (positions & 7)).astype(np.uint8))
-    return table
-
-
 def _has(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = values & (len(table) * 8 - 1)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
@@ -198,10 +193,15 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
 
 
 def _filter_table(values: DataFrame) -> np.ndarray:
-    """Bit table over the long column ``v``: fixed size, may hold more, never less."""
-    cells = values.select(F.col("v").bitwiseAND(FILTER_BITS - 1).cast("int").alias("c")).distinct().toArrow()
+    """Bit table over the long column ``v``: fixed size, may hold more, never less.
+    Its 64-bit words are put together on the executors."""
+    cell = F.col("v").bitwiseAND(FILTER_BITS - 1)
+    words = values.groupBy(F.shiftright(cell, 6).cast("int").alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))).alias("b")).toArrow()
     release(values.sparkSession)
-    return _bits(cells["c"].to_numpy().astype(np.int64), FILTER_BITS)
+    table = np.zeros(FILTER_BITS >> 6, np.int64)
+    table[words["w"].to_numpy()] = words["b"].to_numpy()
+    return table.view(np.uint8)
 
 
 def speakers(rows: DataFrame) -> DataFrame:
@@ -215,47 +215,20 @@ def speakers(rows: DataFrame) -> DataFrame:
 
 
 def shared_postings(rows: DataFrame, percent: int) -> DataFrame:
-    """One row per class and prefix token that occurs in two prefixes or more (a few
-    others pass the filter): ``token, cid, n, l``; ``at``, the token's place
-    in the class's order; ``met``, how many such tokens come before it; ``share``,
-    the part of the prefix that is left, in thousandths; and ``reach``, the largest
-    set this class can link with if this is their first common token or a later one:
-    the tokens before it that nobody shares are lost to any overlap."""
+    """One row per class and prefix token that occurs in two prefixes or more:
+    ``token, cid, n, l``; ``at``, the token's place in the class's order; ``met``,
+    how many such tokens come before it; ``share``, the part of the prefix that is
+    left, in thousandths; and ``reach``, the largest set this class can link with if
+    this is their first common token or a later one: the tokens before it that
+    nobody shares are lost to any overlap."""
     # a class must not come twice: ``cross_pairs`` counts its postings against ``met``
-    spoken = speakers(rows)
-
-    def emit(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(3).flatten()], names=["v"])
-
-    tokens = map_batches(spoken, emit, "v long")
-    bits = _filter_table(tokens.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    shipped = Shipped(rows.sparkSession, bits)
-
-    def run(batches):
-        bits = shipped.get()
-        for batch in batches:
-            lists = batch.column(3)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            offsets -= offsets[0]
-            sizes = np.diff(offsets)
-            flat = lists.flatten().to_numpy()
-            keep = _has(bits, flat)
-            row = np.repeat(np.arange(batch.num_rows), sizes)
-            kept = np.concatenate([[0], np.cumsum(keep)])
-            at = (np.arange(len(flat)) - offsets[row])[keep]
-            met = (kept[:-1] - kept[offsets[row]])[keep]
-            row = row[keep]
-            n = batch.column(1).to_numpy()[row]
-            share = 1000 * np.bincount(row, minlength=batch.num_rows) // np.maximum(sizes, 1)
-            reach = (n - (at - met)) * (100 + percent) // percent - n
-            cid, l = (batch.column(i).take(pa.array(row)) for i in (0, 2))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), cid, pa.array(n), l, pa.array(at.astype(np.int32)), pa.array(met.astype(np.int32)),
-                 pa.array(share[row].astype(np.int32)), pa.array(reach)],
-                names=["token", "cid", "n", "l", "at", "met", "share", "reach"])
-
-    return map_batches(spoken, run, "token long, cid binary, n long, l int, at int, met int, share int, reach long")
+    each = speakers(rows).select("cid", "n", "l", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "token"))
+    shared = staged(each.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("token"))
+    own = W.partitionBy("cid")
+    kept = each.join(shared, "token", "left_semi").select(
+        "token", "cid", "n", "l", "at", (F.row_number().over(own.orderBy("at")) - 1).alias("met"),
+        F.expr("cast(1000 * count(1) over (partition by cid) div size as int)").alias("share"))
+    return kept.withColumn("reach", F.expr(f"(n - (at - met)) * {100 + percent} div {percent} - n"))
 
 
 def _may_link(x: str, y: str, percent: int):

@@ -78,7 +78,7 @@ def test_components_against_brute_force(spark, seed):
 
 
 def test_a_class_speaks_once_whatever_the_filter_holds(spark, monkeypatch):
-    monkeypatch.setattr(J, "FILTER_BITS", 8)        # full: everything passes
+    monkeypatch.setattr(J, "FILTER_BITS", 64)       # near full: much that is not wanted passes
     rows = [(i + 100_003 * c, t) for i, t in near_copies(4, 60) for c in range(3)]
     random.Random(4).shuffle(rows)
     docs = J.located(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
@@ -86,9 +86,22 @@ def test_a_class_speaks_once_whatever_the_filter_holds(spark, monkeypatch):
     spread = J.prefixes(J.keyed(docs).select("__k1", "__k2", "doc_id", "text"), sketch, 4, 85)
     post = J.shared_postings(J.staged(spread), 85).cache()
     assert post.count() == post.select("cid", "token").distinct().count() > 0
+    # only tokens of two prefixes or more are postings, and ``met`` counts those before
+    assert post.groupBy("token").count().filter("count < 2").isEmpty()
+    places = defaultdict(list)
+    for r in post.collect():
+        places[bytes(r.cid)].append((r.at, r.met))
+    assert all([m for _, m in sorted(p)] == list(range(len(p))) for p in places.values())
     assert result(J.join(docs)) == brute(rows)
 
 
+def test_filter_table_holds_all_its_values(spark):
+    values = np.random.default_rng(5).integers(-2**62, 2**62, 500)
+    table = J._filter_table(spark.createDataFrame([(int(v),) for v in values], "v long"))
+    assert len(table) * 8 == J.FILTER_BITS and J._has(table, values).all()
+    assert np.unpackbits(table).sum() == len(np.unique(values & (J.FILTER_BITS - 1)))
+
+
 def test_large_family_whose_links_run_over_one_text(spark):
     random.seed(9)
     base = [f"b{i}" for i in range(300)]
