@@ -167,10 +167,29 @@ def held_out(doc_id: Column, mod: int, remainder: int) -> Column:
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows of ``docs`` in a language that can be told; profiles come from the
-    labelled rows of ``docs`` itself. Rejected: ``und`` and scores below ``min_score``."""
+    labelled rows of ``docs`` itself. Rejected: ``und`` and scores below
+    ``min_score``, so texts in a script of which no row is labelled go. Where no
+    profile was learned (``lang`` all null) nothing can be told apart, and every text
+    with a letter stays."""
     names = docs.columns
-    found = identify(docs, train(docs))
+    profiles = train(docs)
+    if not profiles:
+        return with_letters(docs)
+    found = identify(docs, profiles)
     plain = found.toDF(*[f"c{i}" for i in range(len(found.columns))])
     n = len(names)
     return plain.filter((F.col(f"c{n}") != UNKNOWN) & (F.col(f"c{n + 1}") >= min_score)).select(
         *[f"c{i}" for i in range(n)]).toDF(*names)
+
+
+def with_letters(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose text has a letter."""
+    column = docs.columns.index("text")
+    shipped = Shipped(docs.sparkSession, folding())
+
+    def run(batches):
+        fold = shipped.get()
+        for batch in batches:
+            yield batch.filter(pa.array([bool(t) and len(grams(t, fold)) > 0 for t in batch.column(column).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)

@@ -82,3 +82,11 @@ def test_query_columns(spark):
     from hearth.llm.queries import QUERIES
     df = QUERIES["op4_language_id"](spark, SF_SMALL)
     assert df.columns == ["doc_id", "held_out", "lang_pred", "score"] and df.count() == 200
+
+
+def test_no_labelled_row_keeps_every_text_with_a_letter(spark, odd_docs, no_docs):
+    docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = L.keep_identified(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(map(str, [5, 6, 7, 7, 8, None, 10, 11, 12, 13]))
+    assert L.keep_identified(no_docs).count() == 0
