@@ -87,10 +87,10 @@ def _bound(text, sa, lo, hi, word, depth, after):
 
 
 def _search(block: TestBlock, text: np.ndarray, sa: np.ndarray):
-    """Longest match length and one place per test suffix, and the occurrence
-    ranges of the windows as (suffix, lo, hi)."""
+    """Longest match length and the range [lo, hi) of its places per test suffix, and
+    the occurrence ranges of the windows as (suffix, lo, hi)."""
     n = len(block.item_of)
-    length, place = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    length, place = np.zeros(n, np.int64), np.zeros((n, 2), np.int64)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     q = np.arange(n)
     lo, hi = np.zeros(n, np.int64), np.full(n, len(sa), np.int64)
@@ -101,7 +101,7 @@ def _search(block: TestBlock, text: np.ndarray, sa: np.ndarray):
         some = lo < hi
         q, lo, hi = q[some], lo[some], hi[some]
         depth += 1
-        length[q], place[q] = depth, sa[lo]
+        length[q], place[q, 0], place[q, 1] = depth, lo, hi
         full = block.width[q] == depth
         if full.any():
             found.append((q[full], lo[full], hi[full]))
@@ -133,6 +133,18 @@ class Shard:
         return np.searchsorted(self.starts, word, side="right") - 1
 
 
+def _largest(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Largest key of each range [lo, hi), none of them empty."""
+    out, level = np.zeros(len(lo), np.int64), 0
+    while len(lo) and 1 << level <= len(keys):
+        size = 1 << level
+        q = np.flatnonzero((hi - lo >= size) & (hi - lo < 2 * size))
+        out[q] = np.maximum(keys[lo[q]], keys[hi[q] - size])
+        keys = np.concatenate([np.maximum(keys[:-size], keys[size:]), keys[-size:]])   # of ``2 * size`` from each place on
+        level += 1
+    return out
+
+
 def _ids(block: TestBlock, data: bytes | None) -> np.ndarray:
     words = byte_words(data) if data else []
     return np.fromiter(map(block.vocab.get, words, repeat(0)), np.int32, len(words))
@@ -322,15 +334,21 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     shard = Shard(block, docs[a:b])
                     length, place, _ = _search(block, shard.text, shard.sa)
                     q = np.flatnonzero(length >= block.shortest)
-                    word = shard.origin[place[q]]
-                    doc = shard.doc_of(word)
+                    # words in the order of their documents' ids (null least)
+                    known = [(x is not None, x or 0) for x in doc_ids[a:b]]
+                    rank = {x: i for i, x in enumerate(sorted(set(known)))}
+                    words = shard.origin[shard.sa]
+                    docs_of = shard.doc_of(words)
+                    keys = np.array([rank[x] for x in known], np.int64)[docs_of] * shard.n + words - shard.starts[docs_of]
+                    best = _largest(keys, place[q, 0], place[q, 1])
+                    ids = np.array([x for x in sorted(rank, key=rank.get)], object).reshape(-1, 2)[best // shard.n]
                     item = block.item_of[q]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(item.astype(np.int64) + (number << 40)),
                         pa.array([block.item_ids[i] for i in item], pa.string()),
                         pa.array(block.position[q].astype(np.int64)), pa.array(length[q]),
-                        pa.array([doc_ids[a + d] for d in doc], pa.int64()),
-                        pa.array((word - shard.starts[doc]).astype(np.int64))],
+                        pa.array([x if some else None for some, x in ids], pa.int64()),
+                        pa.array(best % shard.n)],
                         names=["item_row", "item_id", "item_word", "length", "doc_id", "doc_word"])
 
         part = map_batches(source, run, schema)

@@ -89,6 +89,16 @@ def test_longest_matches(spark):
     assert got == {0: (5, 1, 1), 1: (4, 1, 2), 2: (3, 1, 3), 3: (2, 1, 4)}
 
 
+def test_longest_match_lies_at_the_largest_place_however_documents_are_cut(spark):
+    docs = spark.createDataFrame([(9, "a b c z a b c"), (2, "a b c d"), (5, "b c d a b"), (None, "a b c d"), (7, "a b c d z b c d"), (7, "z a b c d")],
+                                 "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "a b c"), (2, "a b c d")], "item_id long, text string")
+    want = {("1", 0): (3, 9, 4), ("1", 1): (2, 9, 5), ("2", 0): (4, 7, 1), ("2", 1): (3, 7, 5), ("2", 2): (2, 7, 6)}
+    for shard_words in (1, 10, 1000):
+        found = D.longest_matches(docs, items, window=2, shard_words=shard_words).collect()
+        assert {(r.item_id, r.item_word): (r.length, r.doc_id, r.doc_word) for r in found} == want, shard_words
+
+
 def test_query_over_whole_table(spark):
     from hearth.llm.queries import QUERIES
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
