@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import archives, byte_bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, sharding, token_counts
+from hearth.llm import (archives, byte_bpe, decontaminate, exact_dedup, filter_audit, hard_negatives, language, licenses, ngram_join,
+                        packing, quality, sharding, token_counts)
 from hearth.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +122,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.PATTERN, ranks)
+
+
+@register("op11_filter_interaction_audit", filter_audit.oracle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op12_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        placed, _ = packing.pack(table(spark, sf_dir, "documents"), f.read())
+    return placed.select("doc_id", "start", F.col("length").cast("long"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@register("op13_hard_negatives", hard_negatives.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
