@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import gc
 import pickle
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from hashlib import sha256
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -122,13 +125,24 @@ def append_columns(df: DataFrame, fields: list[T.StructField],
     return map_batches(inner, run, schema).toDF(*df.columns, *[f.name for f in fields])
 
 
+def in_worker(key: str, make: Callable[[], object]) -> object:
+    """``make()``, kept by the Python worker from task to task; a worker holds the
+    latest one only. For memos of bounded size that are no part of the result."""
+    held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__
+    if held.get("key") != key:
+        held.update(key=key, value=make())
+    return held["value"]
+
+
 class Shipped:
     """An object of bounded size sent to the executors once, compressed (tables of
     fixed size are mostly empty on small inputs). Its class travels by value too,
-    which a plain broadcast would not do."""
+    which a plain broadcast would not do. ``key`` names the value."""
 
     def __init__(self, spark: SparkSession, value: object):
-        self._sent = spark.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(value), 1))
+        data = cloudpickle.dumps(value)
+        self.key = sha256(data).hexdigest()
+        self._sent = spark.sparkContext.broadcast(zlib.compress(data, 1))
 
     def get(self):
         return pickle.loads(zlib.decompress(self._sent.value))

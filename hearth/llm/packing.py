@@ -12,105 +12,135 @@ parallel, find their range by rank.
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import Shipped, binaries, ensure_checkpoints, keyed, map_batches, staged
+from hearth.llm.common import Shipped, ensure_checkpoints, in_worker, keyed, map_batches, staged
 from hearth.plans.joins import broadcast_if_small
 
 SIZE = 4096
 END_ID = 2                  # closes every document
 CLASS_ROWS = 50_000         # rows of one numbering group
-MEMO = 400_000              # chunks a task remembers
+MEMO = 1_000_000            # words a task remembers, at most a batch's beyond that
+TEXT_BYTES = 10 * 1024 * 1024   # texts tokenized at a time, at least a batch
 JOINED = 200                # chunks tokenized in one call
-BATCH_DOCS = 256            # documents tokenized at a time
 
-#: Chunks that are one word, or one word and ASCII punctuation, to this kind of
-#: tokenizer (an apostrophe may begin a suffix of its own).
-PUNCTUATED = re.compile(r"(\w+?)([!-&(-/:-@\[-`{-~]+)\Z")
+#: Chunks that are one word and maybe ASCII punctuation (but no apostrophe, which may
+#: begin a suffix of its own). Their letters have no other normal form, and one lower
+#: case whatever stands beside them.
+WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[!-&(-/:-@\[-`{-~]*)$"
+
+
+@dataclass
+class Lists:
+    """Lists of ids, one after the other."""
+
+    offsets: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, lists: list[list[int]]) -> Lists:
+        return cls(np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int32),
+                   np.fromiter(chain.from_iterable(lists), dtype=np.uint32))
+
+    def array(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.array(self.ids, pa.uint32()))
+
+    @classmethod
+    def taken(cls, lists: pa.ListArray, at: np.ndarray) -> Lists:
+        found = lists.take(pa.array(at))
+        offsets = found.offsets.to_numpy()
+        return cls(offsets - offsets[0], found.flatten().to_numpy())
 
 
 class ChunkIds:
-    """Token ids of a text by a ``tokenizers`` model whose words never cross ASCII
-    white space. A text is cut there and at special strings, and every distinct
-    chunk is tokenized once while it is remembered; ids are little-endian unsigned
-    32-bit numbers."""
+    """Token ids of texts by a ``tokenizers`` model of byte-level words with ends, which
+    normalises to NFC and lower case and whose words never cross white space. Texts
+    are cut at ASCII white space and at special strings; the distinct chunks of a
+    batch are told apart into words and marks, and a word that the task remembers is
+    not tokenized again. Ids of chunks are gathered into ids of texts."""
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(model)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.special = {t.content.encode(): np.uint32(i).tobytes() for i, t in special.items()}
-        self.cut = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.tokenizer, self.plain = Tokenizer.from_str(model), Tokenizer.from_str(model)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         ends = [i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if w.endswith("</w>")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True) + 1, dtype=bool)
         self.ends[ends] = True
-        self.memo: dict[bytes, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, text: str) -> int:
-        """Words of a chunk, if they can be told without the tokenizer; else 0."""
-        if text.isalpha():
-            return 1
-        m = PUNCTUATED.match(text)
-        return 2 if m and m[1].isalpha() else 0
-
-    def learn(self, chunks: list[bytes]) -> None:
-        """Tokenize chunks, many in a call. Each word ends in an end-of-word id, which
-        tells the chunks of a call apart; where their number is not the expected one
-        (a letter that lower-cases to a letter and a mark), chunk by chunk."""
-        plain, counts, single = [], [], []
-        for c in chunks:
-            text = c.decode("utf-8")
-            n = self._words(text)
-            (plain if n else single).append(text)
-            if n:
-                counts.append(n)
-        for i in range(0, len(plain), JOINED):
-            part, n = plain[i:i + JOINED], np.cumsum(counts[i:i + JOINED])
-            ids = np.frombuffer(self._ids([" ".join(part)])[0], dtype="<u4")
-            at = np.flatnonzero(self.ends[ids]) + 1
-            if len(at) != n[-1]:
-                single += part
-                continue
-            cuts = [0, *at[n - 1].tolist()]
-            for text, a, b in zip(part, cuts, cuts[1:]):
-                self.memo[text.encode()] = ids[a:b].tobytes()
-        for text, ids in zip(single, self._ids(single)):
-            self.memo[text.encode()] = ids
-
-    def _segments(self, text: bytes) -> list[bytes | list[bytes]]:
-        """Chunks of each stretch between special strings, which stand as ids."""
-        if self.cut is None or not self.cut.search(text):
-            return [text.split()]
-        out: list[bytes | list[bytes]] = []
-        last = 0
-        for m in self.cut.finditer(text):
-            out += [text[last:m.start()].split(), self.special[m[0]]]
-            last = m.end()
-        return [*out, text[last:].split()]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [self._segments(t) for t in texts]
-        words = set(chain.from_iterable(s for segments in split for s in segments if isinstance(s, list)))
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(words)
-        self.learn(new)
-        get = self.memo.__getitem__
-        return [b"".join(s if isinstance(s, bytes) else b"".join(map(get, s)) for s in segments) for segments in split]
+        self.words, self.known = pa.array([], pa.string()), Lists.of([])
+
+    def _ids(self, texts: list[str], tokenizer=None) -> list[list[int]]:
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: pa.Array) -> None:
+        """Remember lower-case words. Many are tokenized in a call; each ends in an
+        end-of-word id, which tells them apart."""
+        new = words.filter(pc.is_null(pc.index_in(words, value_set=self.words))) if len(self.words) else words
+        if len(self.words) + len(new) > MEMO:
+            self.words, self.known, new = self.words[:0], Lists.of([]), words
+        text = new.to_pylist()
+        found = Lists.of(self._ids([" ".join(text[i:i + JOINED]) for i in range(0, len(text), JOINED)], self.plain)).ids
+        ends = np.flatnonzero(self.ends[found]) + 1
+        if len(ends) != len(new):
+            raise ValueError("the model does not close each word with one end-of-word id")
+        before = len(self.known.ids)
+        self.words = pa.concat_arrays([self.words, new])
+        self.known = Lists(np.concatenate([self.known.offsets, (ends + before).astype(np.int32)]),
+                           np.concatenate([self.known.ids, found]))
+
+    def _chunk_ids(self, chunks: pa.Array) -> pa.ListArray:
+        """Ids of distinct chunks: a word's and a mark's, or a chunk's as it is."""
+        parts = pc.extract_regex(chunks, pattern=WORD)
+        words, marks = pc.utf8_lower(pc.struct_field(parts, "word")), pc.struct_field(parts, "mark")
+        whole = pc.is_null(words)
+        self._learn(words.drop_null().unique())
+        rest = pa.concat_arrays([marks.drop_null(), chunks.filter(whole)]).unique()
+        table = pa.concat_arrays([self.known.array(), Lists.of(self._ids(rest.to_pylist())).array()])
+        first = pc.index_in(words, value_set=self.words).fill_null(0).to_numpy(zero_copy_only=False)
+        second = pc.index_in(pc.coalesce(marks, chunks), value_set=rest).to_numpy(zero_copy_only=False) + len(self.words)
+        both = np.stack([np.where(whole.to_numpy(zero_copy_only=False), second, first), second], axis=1)
+        keep = np.ones(both.shape, dtype=bool)
+        keep[:, 0] = ~whole.to_numpy(zero_copy_only=False)
+        found = Lists.taken(table, both[keep])
+        return Lists(found.offsets[np.concatenate([[0], np.cumsum(keep.sum(axis=1))])], found.ids).array()
+
+    def encode(self, texts: pa.Array, end: list[int]) -> Lists:
+        """Ids of each text, closed by ``end``."""
+        texts = texts.fill_null("")
+        for s in self.special:
+            texts = pc.replace_substring(texts, s, f" {s} ")
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        table = pa.concat_arrays([self._chunk_ids(coded.dictionary), Lists.of([end]).array()])
+        ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
+        at = np.insert(coded.indices.to_numpy(), ends, len(table) - 1)
+        found = Lists.taken(table, at)
+        return Lists(found.offsets[np.concatenate([[0], ends + 1 + np.arange(len(ends))])], found.ids)
+
+
+def gathered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``size`` bytes."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def tokenized(docs: DataFrame, model: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
@@ -119,19 +149,18 @@ def tokenized(docs: DataFrame, model: str, size: int = SIZE, end_id: int = END_I
     ``end_id``, and the crc32 of each piece of ``size`` ids. A null or empty text is
     ``end_id`` alone; a repeated row is a document of its own."""
     shipped = Shipped(docs.sparkSession, model)
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        chunks = ChunkIds(shipped.get())
-        for batch in batches:
-            texts = binaries(batch.column(1))
-            for i in range(0, len(texts), BATCH_DOCS):
-                ids = [x + end for x in chunks.encode([t or b"" for t in texts[i:i + BATCH_DOCS]])]
-                crcs = [[crc32(memoryview(x)[j:j + 4 * size]) for j in range(0, len(x), 4 * size)] for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, BATCH_DOCS), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(crcs, pa.list_(pa.int64())), pa.array(ids, pa.binary())],
-                    names=["doc_id", "doc_tokens", "crcs", "ids"])
+        chunks = in_worker(shipped.key, lambda: ChunkIds(shipped.get()))
+        for batch in gathered(batches, TEXT_BYTES):
+            found = chunks.encode(batch.column(1), [end_id])
+            data = found.ids.astype("<u4").tobytes()
+            ends = found.offsets.tolist()
+            crcs = [[crc32(data[4 * i:4 * min(b, i + size)]) for i in range(a, b, size)] for a, b in zip(ends, ends[1:])]
+            ids = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((found.offsets * 4).astype(np.int32)), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(found.offsets), pa.int64()), pa.array(crcs, pa.list_(pa.int64())), ids],
+                names=["doc_id", "doc_tokens", "crcs", "ids"])
 
     return staged(map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
                               "doc_id long, doc_tokens long, crcs array<long>, ids binary"))

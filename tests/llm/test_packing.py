@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 from tokenizers import Tokenizer
@@ -27,6 +28,10 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
+def lists(found):
+    return [found.ids[a:b].tolist() for a, b in zip(found.offsets, found.offsets[1:])]
+
+
 def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids + [2]
 
@@ -40,18 +45,20 @@ def test_chunks_give_the_librarys_ids(model, library):
     rnd = random.Random(7)
     alphabet = "abz ABZ'.,!é́İßΣςİ\n\t  1²-—<|>_日̈"
     texts = ODD + ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(3000)]
-    found = P.ChunkIds(model).encode([t.encode() for t in texts])
-    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    chunks = P.ChunkIds(model)
+    for part in (texts, texts[5:], texts[:0], [""], texts[:1] * 3):
+        assert lists(chunks.encode(pa.array(part, pa.string()), [2])) == [ids_of(library, t) for t in part]
+    assert lists(chunks.encode(pa.array([None, "a", None], pa.string())[1:], [])) == [library.encode("a").ids, []]
 
 
 def test_forgetting_changes_nothing(model, monkeypatch):
-    monkeypatch.setattr(P, "MEMO", 50)
+    monkeypatch.setattr(P, "MEMO", 60)
     rnd = random.Random(1)
-    texts = [" ".join(rnd.choice(["alpha", "beta.", "Gamma", "it's", "x" * 50]) + str(rnd.randint(0, 40)) for _ in range(20)).encode() for _ in range(60)]
+    texts = [" ".join(rnd.choice(["alpha", "beta.", "Gamma", "it's", "x" * 50]) + str(rnd.randint(0, 40)) for _ in range(20)) for _ in range(60)]
     small = P.ChunkIds(model)
-    out = [x for i in range(0, 60, 4) for x in small.encode(texts[i:i + 4])]
+    out = [x for i in range(0, 60, 4) for x in lists(small.encode(pa.array(texts[i:i + 4]), [2]))]
     monkeypatch.setattr(P, "MEMO", 10 ** 6)
-    assert out == P.ChunkIds(model).encode(texts)
+    assert out == lists(P.ChunkIds(model).encode(pa.array(texts), [2]))
 
 
 def one_by_one(lengths, size):
