@@ -54,7 +54,7 @@ def render_arc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
     """``name, content``: ARC segments, by turns of version 1 and 2, that hold the
     rows of ``pages`` (``page_id, url, html``) as HTTP responses. A null html is an
     empty payload, a null url ``about:blank``; row key and id travel as HTTP fields."""
-    rows = keyed(located(pages)).select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"),
+    rows = keyed(located(pages.select("page_id", "url", "html"))).select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"),
                                F.col("__k1"), F.col("__k2"))
     date = "20240101000000"
 

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Shipped, map_batches, staged
+from hearth.llm.common import Shipped, map_batches, release, staged
 
 CHUNK_WORDS = 250_000     # words gathered at a time, at least one document
 DICTIONARY_WORDS = 1 << 18  # words of the shipped dictionary at most
@@ -158,7 +158,8 @@ def _encoded(word: Column, maps: Column) -> Column:
 
 def dictionary(split: DataFrame, ranks: dict[bytes, int], most: int = DICTIONARY_WORDS) -> pa.Table:
     """``word, ids`` (as text) ``, n, decoded`` of the frequent words: bounded by
-    ``most`` words of ``FOLD_BYTES`` bytes. Folded on the executors."""
+    ``most`` words of ``FOLD_BYTES`` bytes. Folded on the executors and staged, so
+    that the job which brings them to the driver knows nothing of the literal map."""
     words = frequent_words(split, most).repartition(2 * split.sparkSession.sparkContext.defaultParallelism)
     folded = words.select("word", encode_word(F.col("word"), rank_literal(ranks)).alias("ids"))
     shipped = Shipped(split.sparkSession, ranks)
@@ -169,7 +170,7 @@ def dictionary(split: DataFrame, ranks: dict[bytes, int], most: int = DICTIONARY
             yield pa.RecordBatch.from_arrays([batch.column(0), *coded(batch.column(1).to_pylist(), pieces)],
                                              names=["word", "ids", "n", "decoded"])
 
-    return map_batches(folded, run, "word string, ids string, n int, decoded binary").toArrow()
+    return staged(map_batches(folded, run, "word string, ids string, n int, decoded binary")).toArrow()
 
 
 def piece_list(ranks: dict[bytes, int]) -> list[bytes]:
@@ -234,7 +235,10 @@ def _assembled(docs: DataFrame, pattern: str, ranks: dict[bytes, int], finish, s
     table = dictionary(split, ranks, most)
     with pa.ipc.new_stream(sink, table.schema) as stream:
         stream.write_table(table)
+    del table
     shipped = Shipped(docs.sparkSession, (sink.getvalue().to_pybytes(), ranks))
+    del sink
+    release(docs.sparkSession)
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches):

@@ -16,7 +16,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -56,6 +55,8 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     ``spark.checkpoint.dir`` (a scratch folder only where that is unset)."""
     from hearth.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
+    # plans that hold a literal map or many joins would fill the driver with their texts
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
 
 
 def release(spark: SparkSession) -> None:
@@ -77,14 +78,41 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether a row of ``docs`` is one row of one Parquet file, so that file and number
+    tell it from all others: a file relation under projections and filters only (no
+    generator, union, join or sample), without a file read twice or a column of the
+    files that hides their metadata."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    roots = plan.relation().location().rootPaths()
+    paths = [roots.apply(i).toString().rstrip("/") + "/" for i in range(roots.size())]
+    if any(a != b and a.startswith(b) for a in paths for b in paths) or len(set(paths)) < len(paths):
+        return False
+    return "_metadata" not in {n.lower() for n in plan.relation().dataSchema().names()}
+
+
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` if its rows have a place in Parquet files, else a staged copy. An
-    operator that keys its rows more than once takes this first, once."""
-    try:
-        docs.select("_metadata.row_index")
-    except AnalysisException:
-        return staged(docs)
-    return docs
+    """``docs`` if its rows have a place of their own in Parquet files, else a staged
+    copy (a column then must not be named ``_metadata``: take the needed columns or
+    ``renamed`` ones first). An operator that keys its rows more than once takes this
+    first, once."""
+    return docs if _is_scan(docs) else staged(docs)
+
+
+def renamed(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns ``c0, c1, ...``, which clash with nothing."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def column(docs: DataFrame, name: str) -> str:
+    """The name that column ``name`` of ``docs`` has in ``renamed(docs)``."""
+    return f"c{[c.lower() for c in docs.columns].index(name)}"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -95,6 +123,8 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.col("_metadata.row_index").alias("__k2"))
 
 
+#: Longest text of a plan that the driver makes for its listeners.
+PLAN_CHARS = 8192
 #: Rows of one Arrow batch. Whole texts are wide rows: the default of 10,000 would
 #: hold tens of megabytes of text at a time in every Python worker.
 BATCH_ROWS = 1000
@@ -114,7 +144,7 @@ def append_columns(df: DataFrame, fields: list[T.StructField],
     """``df`` plus ``fields`` computed by ``fn`` over Arrow batches. ``fn`` yields
     each input batch once, in order, with the new arrays. Input columns pass
     through untouched under internal names, so clashing names are no matter."""
-    inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    inner = renamed(df)
     names = inner.columns + [f"r{i}" for i in range(len(fields))]
     schema = T.StructType([*inner.schema.fields, *(T.StructField(f"r{i}", f.dataType, True) for i, f in enumerate(fields))])
 

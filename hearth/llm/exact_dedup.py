@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import ascii_lower, keyed, located, staged
+from hearth.llm.common import ascii_lower, column, keyed, located, renamed, staged
 from hearth.plans.joins import broadcast_if_small
 
 BUCKET_KEYS = 2048
@@ -168,8 +168,9 @@ def decide(docs: DataFrame, history: Column | None = None) -> DataFrame:
     the input stays. A null id loses to any other; a group of null ids keeps one
     row and has a null ``keep_id``. ``history`` marks the historical rows.
     """
-    docs = located(docs)
-    rows = digest_rows(docs, even_ids() if history is None else history)
+    # the needed columns only: others may have any names
+    docs = docs.select("doc_id", "text", (even_ids() if history is None else history).alias("history"))
+    rows = digest_rows(located(docs), F.col("history"))
     groups = equal_groups(rows)
     joined = rows.select("k1", "k2", "doc", "digest").join(groups, "digest")
     return joined.select(F.col("doc").alias("doc_id"), F.col("keep_doc").alias("keep_id"), F.col("size").alias("group_size"),
@@ -178,8 +179,13 @@ def decide(docs: DataFrame, history: Column | None = None) -> DataFrame:
 
 
 def dedup(docs: DataFrame, history: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    docs = located(docs)
-    dropped = staged(decide(docs, history).filter(~F.col("kept")).select(
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
+    ``docs`` may be any table, a derived one too; null texts count as empty, repeated
+    rows leave one, and an empty table stays empty."""
+    inner = located(renamed(docs if history is None else docs.select("*", history)))
+    told = inner.select(F.col(column(docs, "doc_id")).alias("doc_id"), F.col(column(docs, "text")).alias("text"),
+                        *([] if history is None else [F.col(f"c{len(docs.columns)}").alias("history")]))
+    dropped = staged(decide(told, None if history is None else F.col("history")).filter(~F.col("kept")).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
-    return keyed(docs).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    kept = keyed(inner).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti")
+    return kept.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.common import Shipped, binaries, keyed, located, map_batches, release, staged
+from hearth.llm.common import Shipped, binaries, column, keyed, located, map_batches, release, renamed, staged
 from hearth.llm.hashing import WordHasher, rolled
 from hearth.plans.joins import broadcast_if_small
 
@@ -39,6 +39,7 @@ FREQUENT = 3                # log2 of the document frequency from which a token
 MOST_MATCHES = 8            # largest l
 SHORT_LIST = 8              # postings of a list whose pairs are all formed
 VERIFY_COST = 0.2           # cost of verifying a candidate, in posting entries per token of the set
+CLASS_ROWS = 10_000         # rows of a class that meet its component in one task
 DECAY = 0.5                 # part of the candidates with l matches that has l + 1
 
 
@@ -366,7 +367,7 @@ def _rooted(post: DataFrame, roots: DataFrame | None) -> DataFrame:
 def similar_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): one row per document with its class ``cid`` (``n`` 0: empty
     set), and ``node, root`` of all linked classes."""
-    docs = located(docs)
+    docs = located(docs.select("doc_id", "text"))
     texts = docs.select("text")
     sketch = frequency_sketch(texts, words, percent)
     rows = staged(prefixes(keyed(docs).select(F.col("__k1"), F.col("__k2"), F.col("doc_id").cast("long"), "text"),
@@ -396,19 +397,32 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", F.coalesce("root", "cid").alias("root"), "doc")
     least = classes.groupBy("root").agg(F.min("doc").alias("component"))
     named = classes.join(least, "root").select("cid", "component", "root")
-    return rows.join(named, "cid", "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"), "k1", "k2", "root")
+    # a class of many copies is dealt over parts, and rows without shingles, which
+    # share one class, meet nothing
+    large = staged(rows.filter("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > CLASS_ROWS).select(
+        "cid", F.ceil(F.col("m") / CLASS_ROWS).cast("int").alias("parts")))
+    large = broadcast_if_small(large)
+    one = F.coalesce("parts", F.lit(1))
+    dealt = rows.filter("n > 0").join(large, "cid", "left").withColumn("part", F.pmod(F.xxhash64("k1", "k2"), one).cast("int")).drop("parts")
+    spread = named.join(large, "cid", "left").withColumn("part", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+    linked = dealt.join(spread, ["cid", "part"]).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "k1", "k2", "root")
+    return linked.unionByName(rows.filter("n = 0").select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"), "k1", "k2",
+        F.lit(None).cast("binary").alias("root")))
 
 
 def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (of equal
-    ids, the first in the input). Rows without shingles all stay."""
-    docs = located(docs)
-    found = staged(join(docs, words, percent).filter("n_shingles > 0").select("doc_id", "k1", "k2", "root"))
+    ids, the first in the input). Rows without shingles all stay. ``docs`` may be any
+    table, a derived one too, and its other columns may have any names."""
+    inner = located(renamed(docs))
+    told = inner.select(F.col(column(docs, "doc_id")).alias("doc_id"), F.col(column(docs, "text")).alias("text"))
+    found = staged(join(told, words, percent).filter("n_shingles > 0").select("doc_id", "k1", "k2", "root"))
     # ids may be null or repeat: only the root tells components apart
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("o"), "doc_id", "k1", "k2")).alias("f"))
-    dropped = found.join(first, "root")
-    dropped = staged(dropped.filter((F.col("k1") != F.col("f.k1")) | (F.col("k2") != F.col("f.k2"))).select(
+    kept_rows = first.select(F.col("f.k1").alias("k1"), F.col("f.k2").alias("k2"))
+    dropped = staged(found.select("k1", "k2").join(kept_rows, ["k1", "k2"], "left_anti").select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
-    return keyed(docs).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    kept = keyed(inner).join(broadcast_if_small(dropped), ["__k1", "__k2"], "left_anti")
+    return kept.select(*inner.columns).toDF(*docs.columns)

@@ -29,7 +29,7 @@ from hearth.plans.joins import broadcast_if_small
 
 SIZE = 4096
 END_ID = 2                  # closes every document
-CLASS_ROWS = 50_000         # rows of one numbering group
+CLASS_ROWS = 500            # rows of one numbering group, about
 MEMO = 1_000_000            # words a task remembers, at most a batch's beyond that
 TEXT_BYTES = 10 * 1024 * 1024   # texts tokenized at a time, at least a batch
 JOINED = 200                # chunks tokenized in one call

@@ -41,7 +41,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         return F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(0)).bitwiseAND((1 << 31) - 1)
 
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    return staged(keyed(located(docs)).select(
+    return staged(keyed(located(docs.select("doc_id", "text", "lang", "source"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).alias("crc"),
         F.least(size, F.lit((1 << 31) - 1)).alias("d0"), hashed("lang").alias("d1"), hashed("source").alias("d2"),
