@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.semantics import business_date, clean_site_label, iso_dow, not_cancelled
 from hearth.plans.joins import broadcast_if_small
+from hearth.sources.periods import within
 
 BASKET_GROUPS = ["Food", "Alcoholic Drinks", "Non-Alcoholic Drinks"]
 DRINK_GROUPS = ["Alcoholic Drinks", "Non-Alcoholic Drinks"]
@@ -30,7 +31,10 @@ ATTACH = {"rice": "rice", "naan": "naan", "pop": "poppadom|papad|pappad"}
 def basket_base(lines: DataFrame, sales: DataFrame, sites: DataFrame, as_of, window_days: int = 60) -> DataFrame:
     """Distinct (receipt, item) over the last ``window_days`` before ``as_of``;
     no modifiers ('.' prefix), three groups, positive quantity, live receipts."""
-    since = F.date_sub(F.lit(as_of).cast("date"), window_days).cast("timestamp")
+    first = F.date_sub(F.lit(as_of).cast("date"), window_days)
+    since = first.cast("timestamp")
+    # a London date may be a day off the clock's: the stored dates prune, the time decides
+    lines, sales = within(lines, F.date_sub(first, 1)), within(sales, F.date_sub(first, 1))
     s = sales.filter(not_cancelled() & (F.col("time_closed") >= since)).select(
         "business_location_id", "account_reference")
     st = broadcast_if_small(sites.select("business_location_id", clean_site_label(F.col("nickname")).alias("site")), basis=sites)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.semantics import business_date, nonempty, not_cancelled, shift_of
 from hearth.plans.joins import broadcast_if_small
+from hearth.sources.periods import DATE, PERIOD, within
 
 LINE_KEY = ["business_location_id", "account_reference", "line_id"]
 RECEIPT_KEY = ["business_location_id", "account_reference"]
@@ -130,12 +131,17 @@ def line_item_category(lines: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def fact_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame,
-               keep=("raw", "time_of_sale") + PROMOTED) -> DataFrame:
-    """Every line of a non-cancelled receipt with site, London date, shift, wet/dry."""
+               keep=("raw", "time_of_sale") + PROMOTED, dates=None, receipt_cols=()) -> DataFrame:
+    """Every line of a non-cancelled receipt with site, London date, shift, wet/dry.
+
+    ``dates`` (first, last or None) reads only the stored partitions of these business
+    dates on both sides of the join; ``receipt_cols`` are receipt columns to carry along."""
+    if dates is not None:
+        lines, sales = within(lines, *dates), within(sales, *dates)
     sa = (sales.filter(not_cancelled("cancelled"))
-               .select(*RECEIPT_KEY, "time_closed"))
+               .select(*RECEIPT_KEY, "time_closed", *receipt_cols))
     st = broadcast_if_small(sites.select("business_location_id", F.col("nickname").alias("site")), basis=sites)
-    j = lines.join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
+    j = lines.drop(DATE, PERIOD).join(sa, RECEIPT_KEY).join(st, "business_location_id", "left")
     j = with_wet_dry(j, rules)
     extra = [c for c in keep if c in lines.columns]
     return j.select(
@@ -147,7 +153,7 @@ def fact_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: Data
         business_date("time_closed").alias("business_date"),
         shift_of("time_of_sale", "time_closed").alias("shift"),
         "discount_amount", "menu_list_price",
-        *extra,
+        *extra, *receipt_cols,
     )
 
 
@@ -177,13 +183,14 @@ def fact_payments(payments: DataFrame, sales: DataFrame, sites: DataFrame) -> Da
     )
 
 
-def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame, lookups=None) -> DataFrame:
+def report_lines(lines: DataFrame, sales: DataFrame, sites: DataFrame, rules: DataFrame, lookups=None,
+                 dates=None, receipt_cols=()) -> DataFrame:
     """Fact line + first matching category alphabetically + who rang it.
 
     ``array_min`` over the line's category set replaces the correlated
     ORDER BY .. LIMIT 1: no sort and no second pass over the lines.
     """
-    fl = fact_lines(lines, sales, sites, rules)
+    fl = fact_lines(lines, sales, sites, rules, dates=dates, receipt_cols=receipt_cols)
     fl = with_categories(fl, rules, lookups or category_lookups(lines, rules))
     return (fl.withColumn("_p", line_payload(fl))
               .withColumn("item_category", F.array_min("categories"))

@@ -52,6 +52,17 @@ def _yesterday(as_of):
     return F.date_sub(F.lit(as_of).cast("date"), 1)
 
 
+def yesterday_dates(as_of, days_before: int = 0):
+    """(first, last) business date that a report on yesterday reads."""
+    return F.date_sub(_yesterday(as_of), days_before), _yesterday(as_of)
+
+
+def window_dates(as_of, days: int):
+    """(first, None): business dates of receipts closed at or after ``as_of - days`` (a
+    London date may be a day off the clock's)."""
+    return F.date_sub(F.lit(as_of).cast("date"), days + 1), None
+
+
 def category_day(lines_with_cats: DataFrame, as_of, categories) -> DataFrame:
     """Lines of ``as_of - 1`` in the given categories, one row per (line, category)."""
     f = lines_with_cats.filter(F.col("business_date") == _yesterday(as_of))

@@ -36,7 +36,8 @@ FROM (SELECT accounting_group_name, name, sum(net_ex_vat) AS worth, sum(quantity
       WHERE time_closed >= CAST(DATE '{AS_OF_ORDERS}' - {WHOLE_WINDOW_DAYS} AS TIMESTAMP) GROUP BY ALL)
 ORDER BY worth DESC NULLS FIRST, accounting_group_name, name LIMIT 100""")
 def v63(c: Ctx):
-    return RP.uncategorised_best_sellers(c.lines_with_cats, AS_OF_ORDERS, WHOLE_WINDOW_DAYS).select(
+    lines = c.lines_with_cats_on(*RP.window_dates(AS_OF_ORDERS, WHOLE_WINDOW_DAYS))
+    return RP.uncategorised_best_sellers(lines, AS_OF_ORDERS, WHOLE_WINDOW_DAYS).select(
         "accounting_group_name", "name", *dbl("net_sales", "qty"))
 
 
@@ -46,7 +47,7 @@ O.TABLES["v_category_day"] = f"""
 
 
 def _day(c: Ctx):
-    return RP.category_day(c.lines_with_cats, AS_OF_ORDERS, CATEGORIES)
+    return RP.category_day(c.lines_with_cats_on(*RP.yesterday_dates(AS_OF_ORDERS)), AS_OF_ORDERS, CATEGORIES)
 
 
 @register("v64_category_report_total", f"""
@@ -78,7 +79,7 @@ SELECT r.shift, r.name, CAST(r.units AS DOUBLE) AS units, CAST(r.net AS DOUBLE)
        CAST(t.shift_net AS DOUBLE) AS shift_net
 FROM ranked r JOIN tot t ON t.shift = r.shift WHERE r.rank <= 10""")
 def v65(c: Ctx):
-    r = RP.shift_report(c.fact_lines, AS_OF_ORDERS, 10)
+    r = RP.shift_report(c.fact_lines_on(*RP.yesterday_dates(AS_OF_ORDERS)), AS_OF_ORDERS, 10)
     return r.select("shift", "name", *dbl("units", "net"), F.col("rank").cast("long").alias("rank"), *dbl("shift_net"))
 
 
@@ -105,7 +106,7 @@ SELECT view, site, CAST(this_net AS DOUBLE) AS this_net, CAST(last_net AS DOUBLE
        CASE WHEN last_net <> 0 THEN round_even(CAST(this_net - last_net AS DOUBLE) / CAST(last_net AS DOUBLE) * 100, 0) END AS delta_pct
 FROM r""")
 def v66(c: Ctx):
-    r = RP.shift_compare(c.fact_lines, AS_OF_ORDERS)
+    r = RP.shift_compare(c.fact_lines_on(*RP.yesterday_dates(AS_OF_ORDERS, 7)), AS_OF_ORDERS)
     return r.select("view", "site", *dbl("this_net", "last_net", "this_units", "delta"), "delta_pct")
 
 

@@ -16,8 +16,11 @@ import inspect
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hearth.session import ensure_checkpoint_dir
+from hearth.functions.semantics import business_date
+from hearth.sources import periods
 from hearth.sources import testdata
 from hearth.sources import reference_data
 
@@ -44,16 +47,19 @@ def _version_key(spark, sf_dir: str) -> str:
     for mod in (testdata, reference_data):
         h.update(inspect.getsource(mod).encode())
     h.update(repr(sorted(BUCKETED.items())).encode())   # storage layout is part of the version
+    h.update(inspect.getsource(periods).encode())
     return h.hexdigest()[:16]
 
 
-ROW_GROUP_BYTES = 8 * 1024 * 1024
-
-# Tables stored bucketed (and sorted) on the receipt key: the lines x receipts
-# join and every per-receipt aggregation then read co-partitioned data and
-# need no shuffle. The bucket count follows the bytes of the input (or the
-# session's ``hearth.receipt.buckets``), without an upper bound.
+# Tables partitioned by business period and bucketed on the receipt key: the lines x
+# receipts join and every per-receipt aggregation read co-partitioned data and need
+# no shuffle, and a report on some days reads their partitions. Rows are sorted by
+# business date inside a bucket, so within a coarse period row groups are skipped.
+# The bucket count follows the bytes of the input (or the session's
+# ``hearth.receipt.buckets``) up to MAX_BUCKETS; beyond that buckets grow, and the
+# grain is chosen so that a period's bucket is not tiny.
 BUCKET_INPUT_BYTES = 256 * 1024 * 1024
+MAX_BUCKETS = 4096
 RECEIPT_KEY = ["business_location_id", "account_reference"]
 BUCKETED = {"sales": RECEIPT_KEY, "sales_lines": RECEIPT_KEY, "payments": RECEIPT_KEY}
 
@@ -100,44 +106,69 @@ class StoredWarehouse:
             return src
         return self._publish(name, src)
 
+    def _input_bytes(self) -> int:
+        return sum(size for _, size, _ in _input_files(self.spark, self._w.sf_dir))
+
     def _buckets(self) -> int:
         """``hearth.receipt.buckets`` when set; otherwise one bucket per
-        ``BUCKET_INPUT_BYTES`` of input files, and at least one per core."""
+        ``BUCKET_INPUT_BYTES`` of input files, at least one per core, and at most
+        ``MAX_BUCKETS`` (Spark refuses more than 100,000)."""
         n = self.spark.conf.get("hearth.receipt.buckets", None)
         if n:
-            return int(n)
-        total = sum(size for _, size, _ in _input_files(self.spark, self._w.sf_dir))
-        return max(self.spark.sparkContext.defaultParallelism, -(-total // BUCKET_INPUT_BYTES))
+            return min(int(n), MAX_BUCKETS)
+        return min(MAX_BUCKETS, max(self.spark.sparkContext.defaultParallelism, -(-self._input_bytes() // BUCKET_INPUT_BYTES)))
+
+    def _grain(self, receipts: DataFrame) -> str:
+        """``hearth.receipt.grain`` when set; otherwise by the bytes of a day."""
+        set_to = self.spark.conf.get("hearth.receipt.grain", None)
+        if set_to:
+            return set_to
+        first, last = receipts.agg(F.min(periods.DATE), F.max(periods.DATE)).first()
+        days = (last - first).days + 1 if first else 1
+        return periods.choose_grain(self._input_bytes(), days)
+
+    def _dated(self, name: str, src: DataFrame, n: int, keys: list[str]) -> DataFrame:
+        """``src`` dealt by the bucket key, with the business date and period of the
+        receipt: its own, or that of the stored receipts, which are read bucket by
+        bucket, so that the rows are shuffled once."""
+        dealt = src.repartition(n, *keys)
+        if name == "sales":
+            dated = src.select(business_date("time_closed").alias(periods.DATE))
+            grain = self._grain(dated)
+            return periods.with_period(dealt.withColumn(periods.DATE, business_date("time_closed")), grain)
+        dates = self.sales.groupBy(*keys).agg(F.max(periods.DATE).alias(periods.DATE), F.max(periods.PERIOD).alias(periods.PERIOD))
+        return dealt.join(dates, keys, "left").withColumn(periods.PERIOD, F.coalesce(periods.PERIOD, F.lit(periods.UNDATED)))
 
     def _table_name(self, name: str, path: str) -> str:
         return "hearth_" + hashlib.sha1(path.encode()).hexdigest()[:12] + "_" + name
 
     def _publish_bucketed(self, name: str, src: DataFrame, keys: list[str]) -> DataFrame:
-        """Bucketed copy: written through the catalog under a temporary folder,
-        published by rename, then (re)registered over the final folder with
-        its bucket spec, so any later session reads it co-partitioned."""
+        """Partitioned and bucketed copy: written through the catalog under a temporary
+        folder, published by rename, then (re)registered over the final folder with
+        its partitions and bucket spec, so any later session reads it co-partitioned."""
         n = self._buckets()
         # the bucket count is part of the stored layout: a copy is only ever
         # registered with the count it was written with
-        path = self._path(f"{name}.b{n}")
+        path = self._path(f"{name}.b{n}.{self.spark.conf.get('hearth.receipt.grain', 'auto')}")
         table = self._table_name(name, path)
         if not self._exists(path):
             tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
             tmp_table = table + "_tmp"
             self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")
             # hash-partition on the bucket key first: each task then writes exactly
-            # one bucket, one file per bucket instead of one per task and bucket
-            (src.repartition(n, *keys).write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
-                .bucketBy(n, *keys).sortBy(*keys).option("path", tmp).saveAsTable(tmp_table))
+            # one bucket, one file per period and bucket
+            (self._dated(name, src, n, keys).write.mode("overwrite").partitionBy(periods.PERIOD)
+                .bucketBy(n, *keys).sortBy(periods.DATE, *keys).option("path", tmp).saveAsTable(tmp_table))
             self.spark.sql(f"DROP TABLE IF EXISTS {tmp_table}")      # external: files stay
             if not self._rename(tmp, path) and not self._exists(path):
                 raise RuntimeError(f"could not publish {path}")
         if not self.spark.catalog.tableExists(table):
-            schema = self.spark.read.parquet(path).schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            keys_sql = ", ".join(keys)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-                           f"CLUSTERED BY ({keys_sql}) SORTED BY ({keys_sql}) INTO {n} BUCKETS LOCATION '{path}'")
+            schema = [f for f in self.spark.read.parquet(path).schema.fields if f.name != periods.PERIOD]
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {periods.PERIOD} string) USING parquet "
+                           f"PARTITIONED BY ({periods.PERIOD}) CLUSTERED BY ({', '.join(keys)}) "
+                           f"SORTED BY ({', '.join([periods.DATE, *keys])}) INTO {n} BUCKETS LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return self.spark.table(table)
 
     def landed_csv(self, name: str, rows: DataFrame) -> str:
@@ -162,8 +193,7 @@ class StoredWarehouse:
         path = self._path(name)
         if not self._exists(path):
             tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
-            # modest row groups so a scan can be split across every core
-            src.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(tmp)
+            src.write.mode("overwrite").parquet(tmp)
             if not self._rename(tmp, path) and not self._exists(path):
                 raise RuntimeError(f"could not publish {path}")
         df = self.spark.read.parquet(path)
