@@ -119,6 +119,13 @@ def staff_names(sales: DataFrame, lines: DataFrame) -> DataFrame:
              .agg(F.min("name").alias("name")))
 
 
+def merge_staff_names(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """V23 kept with the load: the least name per id of what is stored and what a batch
+    of receipts and lines adds (``staff_names`` of the batch). MIN over both is MIN
+    over all rows ever loaded, so reports read this small table and scan no lines."""
+    return current.unionByName(batch).groupBy("staff_id").agg(F.min("name").alias("name"))
+
+
 def staff_hours_day(shifts: DataFrame, sites: DataFrame, names: DataFrame) -> DataFrame:
     """Clocked hours per (site, staff id, day); open shifts add nothing."""
     nm = broadcast_if_small(names)
@@ -205,34 +212,49 @@ def staff_reviews_month(scorecard_day: DataFrame, reviews: DataFrame) -> DataFra
                 .agg(F.count(F.lit(1)).alias("reviews")))
 
 
-def staff_eotw_day(line_staff: DataFrame, sales: DataFrame, payments: DataFrame, leakage: DataFrame,
-                   hours_day: DataFrame, sites: DataFrame) -> DataFrame:
+def staff_eotw_day(line_staff: DataFrame, payments: DataFrame, hours_day: DataFrame, sites: DataFrame) -> DataFrame:
     """Employee-of-the-week day rows: what each server rang, plus covers,
     sales and tips of the receipts where they were the dominant ringer,
-    attributed voids and clocked hours."""
-    # one aggregate per receipt and server feeds both the server's sums and the
-    # receipt's dominant ringer
-    ic = F.col("item_category")
-    rung = line_staff.filter(F.col("line_staff").isNotNull()).groupBy(*RECEIPT_KEY, "line_staff", "business_date").agg(
-        F.sum("net_ex_vat").alias("net_ex_vat"),
-        F.sum(F.when(F.col("wet_dry") == "wet", F.col("net_ex_vat"))).alias("wet_sales"),
-        F.sum(F.when(ic.isin(*UPSELL_CATEGORIES), F.col("quantity"))).alias("upsell_items"))
-    ls = rung.groupBy("business_location_id", F.col("line_staff").alias("staff"), "business_date").agg(
-        F.sum("net_ex_vat").alias("line_sales"), F.sum("wet_sales").alias("wet_sales"), F.sum("upsell_items").alias("upsell_items"))
-    prim = dominant_ringer(rung, "line_staff", "net_ex_vat")
-    pday = (prim.join(sales.select(*RECEIPT_KEY, "time_closed", "nb_covers"), RECEIPT_KEY)
-                .join(receipt_tips(payments), RECEIPT_KEY, "left")
-                .groupBy("business_location_id", F.col("ringer").alias("staff"),
-                         business_date("time_closed").alias("business_date"))
+    attributed voids and clocked hours. ``line_staff`` are the report lines (V09) with
+    ``owner_name`` and ``nb_covers`` of their receipts.
+
+    One aggregate per receipt and server, over one pass of lines and receipts, feeds the
+    server's sums, the receipt's dominant ringer (V08, all lines) and the ringer that
+    voids go to (V07, lines that are not void): the receipt's fold keeps both, and its
+    void sums by server, which are as few as its servers."""
+    ic, staff, net = F.col("item_category"), F.col("line_staff"), F.col("net_ex_vat")
+    void = F.coalesce(F.col("void_reason"), F.lit("")) != ""
+    day = ["business_location_id", "staff", "business_date"]
+    per = line_staff.groupBy(*RECEIPT_KEY, "business_date", "owner_name", "nb_covers", "line_staff").agg(
+        F.sum(net).alias("net"),
+        F.sum(F.when(F.col("wet_dry") == "wet", net)).alias("wet_sales"),
+        F.sum(F.when(ic.isin(*UPSELL_CATEGORIES), F.col("quantity"))).alias("upsell_items"),
+        F.sum(F.when(~void, net)).alias("kept"), F.bool_or(~void).alias("has_kept"),
+        F.sum(F.when(void, -net)).alias("void"), F.bool_or(void).alias("has_void"))
+    ls = per.filter(staff.isNotNull()).groupBy("business_location_id", staff.alias("staff"), "business_date").agg(
+        F.sum("net").alias("line_sales"), F.sum("wet_sales").alias("wet_sales"), F.sum("upsell_items").alias("upsell_items"))
+
+    def ringer(value: str, condition):
+        # "ORDER BY value DESC NULLS FIRST, name" as an aggregate, as in dominant_ringer
+        return F.min(F.when(staff.isNotNull() & condition, F.struct(
+            F.col(value).isNotNull().alias("a"), (-F.col(value)).alias("b"), staff.alias("staff"))))["staff"]
+
+    receipts = per.groupBy(*RECEIPT_KEY, "business_date", "owner_name", "nb_covers").agg(
+        ringer("net", F.lit(True)).alias("ringer"), F.sum(F.when(staff.isNotNull(), F.col("net"))).alias("receipt_value"),
+        ringer("kept", F.col("has_kept")).alias("kept_ringer"),
+        F.collect_list(F.when(F.col("has_void"), F.struct(staff.alias("staff"), F.col("void").alias("void")))).alias("voids"))
+    pday = (receipts.filter(F.col("ringer").isNotNull()).join(receipt_tips(payments), RECEIPT_KEY, "left")
+                .groupBy("business_location_id", F.col("ringer").alias("staff"), "business_date")
                 .agg(F.sum(F.coalesce(F.col("nb_covers"), F.lit(0))).cast("long").alias("p_covers"),
                      F.sum("receipt_value").alias("p_sales"),
                      F.sum(F.coalesce(F.col("receipt_tips"), F.lit(0))).alias("p_tips")))
-    vd = (leakage.filter(F.col("leakage_type") == "Void")
-                 .groupBy("business_location_id", F.col("attributed_staff").alias("staff"), "business_date")
-                 .agg(F.sum("amount").alias("void_value")))
-    hrs = hours_day.groupBy("business_location_id", "staff", "business_date").agg(F.sum("hours").alias("hours"))
-    k = ["business_location_id", "staff", "business_date"]
-    d = _fold([ls, pday, vd, hrs], k).join(_site(sites), "business_location_id", "left")
+    vd = (receipts.filter(F.size("voids") > 0)
+                  .select("business_location_id", "business_date", "kept_ringer", "owner_name", F.inline("voids"))
+                  .groupBy("business_location_id", F.coalesce("kept_ringer", nonempty(F.col("owner_name")), "staff",
+                                                              F.lit("(unknown)")).alias("staff"), "business_date")
+                  .agg(F.sum("void").alias("void_value")))
+    hrs = hours_day.groupBy(*day).agg(F.sum("hours").alias("hours"))
+    d = _fold([ls, pday, vd, hrs], day).join(_site(sites), "business_location_id", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return d.select("business_location_id", "site", "staff", "business_date",
                     z("line_sales"), z("wet_sales"), z("upsell_items"), z("p_covers"), z("p_sales"),

@@ -50,6 +50,21 @@ class Ctx:
     def lines_with_cats(self) -> DataFrame:
         return V.with_categories(self.fact_lines, self.w.category_rules, self.cat_lookups)
 
+    def fact_lines_on(self, first, last=None) -> DataFrame:
+        """V03 of some business dates: reads their partitions only."""
+        w = self.w
+        return V.fact_lines(w.sales_lines, w.sales, w.sites, w.category_rules, dates=(first, last))
+
+    def lines_with_cats_on(self, first, last=None) -> DataFrame:
+        return V.with_categories(self.fact_lines_on(first, last), self.w.category_rules, self.cat_lookups)
+
+    @cached_property
+    def line_staff_receipts(self) -> DataFrame:
+        """V09 with the owner and the covers of the receipt."""
+        w = self.w
+        return V.line_staff(V.report_lines(w.sales_lines, w.sales, w.sites, w.category_rules, self.cat_lookups,
+                                           receipt_cols=("owner_name", "nb_covers")))
+
     @cached_property
     def report_lines(self) -> DataFrame:
         w = self.w
@@ -105,7 +120,8 @@ class Ctx:
 
     @cached_property
     def staff_names(self) -> DataFrame:
-        return ST.staff_names(self.w.sales, self.w.sales_lines)
+        """The dimension kept with the load; no report scans the lines for names."""
+        return self.w.staff_names
 
     @cached_property
     def hours_day(self) -> DataFrame:

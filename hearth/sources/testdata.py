@@ -820,6 +820,13 @@ class Warehouse:
         from hearth.operators.facts import name_category_table
         return name_category_table(self.sales_lines, self.category_rules)
 
+    @cached_property
+    def staff_names(self) -> DataFrame:
+        """Staff id -> least name, maintained with the load (see
+        ``staff.merge_staff_names``) so reports need not rescan the lines."""
+        from hearth.operators.staff import staff_names
+        return staff_names(self.sales, self.sales_lines)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
