@@ -92,16 +92,16 @@ def fill_location_ids(site_map: DataFrame, sites: DataFrame, only_null: bool = T
     the nested-loop join is over a size-checked broadcast of the site table.
     """
     st = broadcast_if_small(sites.select(F.col("business_location_id").alias("_bl"), F.col("nickname").alias("_nn")), basis=sites)
-    keyed = site_map.withColumn("_rid", F.monotonically_increasing_id())
-    hits = (keyed.select("_rid", name_col)
-                 .join(st, F.expr(f"_nn ILIKE concat('%', {name_col}, '%')"))
-                 .groupBy("_rid").agg(F.min("_bl").alias("_found")))
-    j = keyed.join(hits, "_rid", "left")
+    # one match per distinct name: a key that is the same however often it is computed
+    hits = (site_map.select(F.col(name_col).alias("_name")).distinct()
+                    .join(st, F.expr("_nn ILIKE concat('%', _name, '%')"))
+                    .groupBy("_name").agg(F.min("_bl").alias("_found")))
+    j = site_map.join(hits, F.col(name_col) == F.col("_name"), "left")
     if only_null:
         new = F.coalesce(F.col("business_location_id"), F.col("_found"))
     else:
         new = F.coalesce(F.col("_found"), F.col("business_location_id"))
-    return j.withColumn("business_location_id", new.cast("long")).drop("_rid", "_found").select(*site_map.columns)
+    return j.withColumn("business_location_id", new.cast("long")).select(*site_map.columns)
 
 
 def new_files(files: DataFrame, log: DataFrame, force: bool = False) -> DataFrame:
