@@ -14,7 +14,8 @@ Semantics, per order in arrival order after de-duplication by delivery id:
   as seen.
 
 The batch fold is one aggregation keyed by order id; the stream stores typed
-events and folds the orders that each micro-batch touches with the same function.
+events in parts by order, and folds the orders that each micro-batch touches with
+the same function, from the parts they lie in.
 """
 
 from __future__ import annotations
@@ -100,62 +101,119 @@ def orders_from_deliveries(deliveries: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ streaming
 DELIVERY_SCHEMA = "seq long, received_at timestamp, svix_id string, body string"
 
+#: Parts of each store, by a hash of the order (of the delivery id for ``deliveries``).
+#: A micro-batch reads the parts it touches. The number belongs to the stored layout.
+BUCKETS = 256
+STORES = ("events", "deliveries", "repeats", "changes")
+
+
+def _bucket(c: str):
+    return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+
+
+def _fs(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
 
 def _subfolders(spark, root: str, committed: bool = True) -> list[str]:
-    """Folders ``root/<run>/batch=<n>``; with ``committed``, those whose write ended."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Folders ``root/<run>/batch=<n>``; with ``committed``, those whose write ended.
+    ``compact`` keeps them few."""
+    fs, base = _fs(spark, root)
     if not fs.exists(base):
         return []
     out = []
     for run in fs.listStatus(base):
         for batch in fs.listStatus(run.getPath()):
-            path = batch.getPath()
-            if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                out.append(path.toString())
+            path = batch.getPath().toString()
+            if not committed or fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+                out.append(path)
     return sorted(out)
 
 
-def _stored(spark, root: str, skip: str | None = None) -> DataFrame | None:
-    folders = [f for f in _subfolders(spark, root) if skip is None or not f.endswith(skip)]
-    return spark.read.parquet(*folders) if folders else None
+def _parts(spark, folder: str) -> dict[int, str]:
+    """Bucket -> its folder inside a batch's folder."""
+    fs, p = _fs(spark, folder)
+    names = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return {int(n.getName()[7:]): n.toString() for n in names if n.getName().startswith("bucket=")}
+
+
+def _stored(spark, root: str, buckets=None, skip: str | None = None) -> DataFrame | None:
+    """The store's rows in ``buckets`` (None: all), but for the batch ``skip``."""
+    paths = [path for f in _subfolders(spark, root) if skip is None or not f.endswith(skip)
+             for b, path in _parts(spark, f).items() if buckets is None or b in buckets]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def _write(df: DataFrame, folder: str) -> None:
+    """``df`` by its column ``bucket``, one file each, in place of an earlier attempt."""
+    df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
 
-def merge_events(known: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Current rows of every order that a batch of typed events touches, from all
-    its events: the same fold as in batch, so late deliveries and deliveries split
-    over batches end in the same row. A delivery id counts once over all time."""
-    events = batch if known is None else known.unionByName(batch)
-    ids = events.filter(F.col("svix_id") != "")
-    # orders of the batch, and orders that share a delivery id with it
-    again = ids.join(batch.select("svix_id").distinct(), "svix_id", "left_semi")
-    orders = batch.select("order_id").union(again.select("order_id")).filter("order_id is not null").distinct()
+def _union(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
+    if a is None or b is None:
+        return b if a is None else a
+    return a.unionByName(b)
+
+
+def fold_touched(events: DataFrame, orders: DataFrame, repeats: DataFrame | None) -> DataFrame:
+    """Current rows of ``orders`` from their stored events: the same fold as in batch, so
+    late deliveries and deliveries split over batches end in the same row. A delivery
+    id counts once over all time, for the copy with the least ``seq``; ``repeats``
+    holds that number for the ids of several orders."""
     own = events.join(orders, "order_id", "left_semi")
-    # the first of each delivery id, wherever its other copies went
-    rivals = ids.join(own.select("svix_id").distinct(), "svix_id", "left_semi")
-    first = dedupe_deliveries(rivals.unionByName(own.filter(F.col("svix_id") == "")))
-    folded = fold_orders(first.join(orders, "order_id", "left_semi"))
-    known_events = own.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_events"))
-    return folded.join(known_events, "order_id").select(*OUT_COLS, "n_events")
+    counted = own
+    if repeats is not None:
+        first = repeats.groupBy("svix_id").agg(F.min("first_seq").alias("_first"))
+        counted = own.join(first, "svix_id", "left").filter(
+            (F.col("svix_id") == "") | F.col("_first").isNull() | (F.col("seq") <= F.col("_first"))).drop("_first")
+    folded = fold_orders(dedupe_deliveries(counted.select(*events.columns)))
+    # a delivery that was stored twice (a second checkpoint, a crash in ``compact``) is one event
+    n = own.groupBy("order_id").agg(F.count_distinct(F.struct("seq", "svix_id", "event")).alias("n_events"))
+    return folded.join(n, "order_id").select(*OUT_COLS, "n_events")
+
+
+def repeated_ids(ids: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """``svix_id, order_id, first_seq`` of the delivery ids in ``ids`` that stand in
+    several orders, here or among those ``seen`` before: a row for each of the orders."""
+    copies = _union(ids, None if seen is None else seen.join(ids.select("svix_id").distinct(), "svix_id", "left_semi"))
+    several = copies.groupBy("svix_id").agg(F.min("seq").alias("first_seq"), F.count_distinct("order_id").alias("n")).filter("n > 1")
+    return copies.select("svix_id", "order_id").distinct().join(several.drop("n"), "svix_id")
 
 
 def run_order_stream(spark, landing_dir: str, table_root: str, checkpoint: str, files_per_trigger=None):
-    """Drain the landing folder (``availableNow``). Every micro-batch stores its
-    typed events and the new rows of the orders it touches, each in a folder named
-    after the run (its checkpoint) and the batch. A batch that is replayed after a
-    crash, at whatever point, leaves its own folders out of what it reads and writes
-    them anew, so it ends the same; nothing else is rewritten, and no delivery is
-    ever too late."""
+    """Drain the landing folder (``availableNow``). A micro-batch stores its typed
+    events by order, its delivery ids by id, and the ids it finds in several orders by
+    order; then it folds the orders it touches from their parts of the event store and
+    stores their new rows. It reads no part without one of its orders or ids, and
+    no delivery is ever too late.
+
+    Each store has a folder named after the run (its checkpoint) and the batch. A batch
+    that is replayed after a crash, at whatever point, leaves its own folders out of
+    what it reads and writes them anew, so it ends the same."""
     run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def merge_batch(batch: DataFrame, batch_id: int):
         own = f"run={run}/batch={batch_id:012d}"
-        events = f"{table_root}/events"
-        known = _stored(spark, events, skip=own)
-        normalise_events(batch).write.mode("overwrite").parquet(f"{events}/{own}")
-        fresh = spark.read.parquet(f"{events}/{own}")
-        merge_events(known, fresh).write.mode("overwrite").parquet(f"{table_root}/changes/{own}")
+        folder = {s: f"{table_root}/{s}/{own}" for s in STORES}
+        _write(normalise_events(batch).withColumn("bucket", _bucket("order_id")), folder["events"])
+        touched = set(_parts(spark, folder["events"]))
+        if not touched:
+            return
+        fresh = spark.read.parquet(*_parts(spark, folder["events"]).values())
+        ids = fresh.filter(F.col("svix_id") != "").filter("order_id is not null").select("svix_id", "seq", "order_id").distinct()
+        _write(ids.withColumn("bucket", _bucket("svix_id")), folder["deliveries"])
+        seen = _stored(spark, f"{table_root}/deliveries", set(_parts(spark, folder["deliveries"])), skip=own)
+        _write(repeated_ids(ids, seen).withColumn("bucket", _bucket("order_id")), folder["repeats"])
+        shared = _parts(spark, folder["repeats"])
+        orders = fresh.select("order_id")
+        if shared:
+            orders = orders.union(spark.read.parquet(*shared.values()).select("order_id"))
+        touched |= set(shared)
+        known = _stored(spark, f"{table_root}/events", touched, skip=own)
+        repeats = _stored(spark, f"{table_root}/repeats", touched)
+        rows = fold_touched(_union(known, fresh), orders.filter("order_id is not null").distinct(), repeats)
+        _write(rows.withColumn("bucket", _bucket("order_id")), folder["changes"])
 
     r = spark.readStream.schema(DELIVERY_SCHEMA)
     if files_per_trigger:
@@ -166,9 +224,39 @@ def run_order_stream(spark, landing_dir: str, table_root: str, checkpoint: str,
     return q
 
 
-def current_orders(spark, table_root: str) -> DataFrame:
+def _newest(changes: DataFrame) -> DataFrame:
     """The newest row of every order: that folded from most of its events."""
-    changes = _stored(spark, f"{table_root}/changes")
     newest = changes.groupBy("order_id").agg(F.max_by(
-        F.struct(*[c for c in OUT_COLS if c != "order_id"]), "n_events").alias("o"))
-    return newest.select("order_id", "o.*").select(*OUT_COLS)
+        F.struct(*[c for c in [*OUT_COLS, "n_events"] if c != "order_id"]), "n_events").alias("o"))
+    return newest.select("order_id", "o.*").select(*OUT_COLS, "n_events")
+
+
+def current_orders(spark, table_root: str) -> DataFrame:
+    """One row per order."""
+    return _newest(_stored(spark, f"{table_root}/changes")).select(*OUT_COLS)
+
+
+def compact(spark, table_root: str) -> None:
+    """Put the folders of all batches together, one file per part, and keep one row per
+    order of the changes. Run it while no stream writes to ``table_root``. The folders
+    it has read go last; if it is killed before, rows stand twice for a while, which
+    changes no order."""
+    for store in STORES:
+        root = f"{table_root}/{store}"
+        folders = _subfolders(spark, root)
+        if len(folders) < 2:
+            continue
+        rows = _stored(spark, root)
+        key = "svix_id" if store == "deliveries" else "order_id"
+        if rows is not None:
+            if store == "changes":
+                rows = _newest(rows)
+            elif store == "repeats":
+                rows = rows.groupBy("svix_id", "order_id").agg(F.min("first_seq").alias("first_seq"))
+            else:
+                rows = rows.distinct() if store == "deliveries" else rows
+            last = max((int(f.rsplit("=", 1)[1]) for f in _subfolders(spark, root, committed=False) if "/run=base/" in f), default=0)
+            _write(rows.withColumn("bucket", _bucket(key)), f"{root}/run=base/batch={last + 1:012d}")
+        for f in folders:
+            fs, p = _fs(spark, f)
+            fs.delete(p, True)
