@@ -4,19 +4,26 @@ a new immutable version of each warehouse table, one isolated step per feed
 
 Tables live under ``root/<table>/v=<n>``; a version is visible once its
 ``_SUCCESS`` marker exists, so a failed or killed run leaves the previous
-version in place and a rerun simply writes the next one.
+version in place and a rerun simply writes the next one. A version of the receipt
+tables holds only the business periods it touches: a period is read from the newest
+version that has it, and the files of all others stay where they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hearth.operators.incremental import run_steps
+from hearth.functions.semantics import business_date, nonempty
+from hearth.operators.incremental import incremental_window, run_steps
 from hearth.operators.merge import advance_watermark, insert_new, new_files, upsert, write_version
+from hearth.operators.staff import merge_staff_names, staff_names
+from hearth.plans.joins import broadcast_if_small
 from hearth.session import ensure_checkpoint_dir
 from hearth.sources.feeds import parse_receipts, parse_reviews, scan_csv, split_receipts
-from hearth.streaming.orders import orders_from_deliveries, DELIVERY_SCHEMA
+from hearth.sources.periods import DATE, GRAINS, PERIOD, choose_grain, with_period
+from hearth.streaming.orders import OUT_COLS, current_orders, run_order_stream
 
 RECEIPT_KEY = ["business_location_id", "account_reference"]
 KEYS = {"sales": RECEIPT_KEY, "sales_lines": RECEIPT_KEY + ["line_id"],
@@ -45,15 +52,52 @@ class VersionedTables:
         """Committed versions."""
         return self._folders(name, committed=True)
 
-    def current(self, name: str) -> DataFrame | None:
+    def period_paths(self, name: str) -> dict[str, str]:
+        """Period -> the folder that holds it now: that of the newest version with the
+        period (an empty folder: no row of it is left)."""
+        out = {}
+        for v in self.versions(name):
+            p = self._Path(f"{self.root}/{name}/v={v}")
+            for st in p.getFileSystem(self._conf).listStatus(p):
+                key, _, period = st.getPath().getName().partition("=")
+                if key == PERIOD:
+                    out[period] = st.getPath().toString()
+        return out
+
+    def current(self, name: str, periods: list[str] | None = None) -> DataFrame | None:
+        """The table (of one stored by periods, only ``periods`` if given); None: no rows."""
         v = self.versions(name)
-        return self.spark.read.parquet(f"{self.root}/{name}/v={v[-1]}") if v else None
+        if not v:
+            return None
+        held = self.period_paths(name)
+        if not held:
+            return self.spark.read.parquet(f"{self.root}/{name}/v={v[-1]}")
+        paths = [p for k, p in held.items() if (periods is None or k in periods) and
+                 any(not s.getPath().getName().startswith("_") for s in self._Path(p).getFileSystem(self._conf).listStatus(self._Path(p)))]
+        if not paths:
+            return None
+        fields = self.spark.read.parquet(paths[-1]).schema.fields
+        schema = T.StructType([*fields, T.StructField(PERIOD, T.StringType())])
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths).drop("v")
 
     def commit(self, name: str, df: DataFrame) -> int:
+        nxt = self._next(name)
+        write_version(df, f"{self.root}/{name}", nxt)
+        return nxt
+
+    def _next(self, name: str) -> int:
         # a killed run may have left a folder without its marker: its number is
         # spent, the rerun takes the one after it
-        nxt = max(self._folders(name, committed=False), default=0) + 1
-        write_version(df, f"{self.root}/{name}", nxt)
+        return max(self._folders(name, committed=False), default=0) + 1
+
+    def commit_periods(self, name: str, df: DataFrame, touched: list[str]) -> int:
+        """A version of the ``touched`` periods alone: ``df`` holds all their rows. A
+        period that has lost its last row gets an empty folder."""
+        nxt = self._next(name)
+        for period in touched:
+            p = self._Path(f"{self.root}/{name}/v={nxt}/{PERIOD}={period}")
+            p.getFileSystem(self._conf).mkdirs(p)
+        write_version(df, f"{self.root}/{name}", nxt, partition_by=(PERIOD,), mode="append")
         return nxt
 
 
@@ -81,21 +125,100 @@ def _merge(tables: VersionedTables, name: str, batch: DataFrame, insert_only: bo
     return tables.commit(name, merged.select(*columns))
 
 
-def nightly(spark: SparkSession, landing: str, root: str):
-    """Run every feed step; returns (status DataFrame, all_ok)."""
+def merge_periods(tables: VersionedTables, name: str, batch: DataFrame) -> int | None:
+    """K01 of a batch (with ``DATE`` and ``PERIOD``) into a table stored by periods. Read
+    and rewritten are the periods of the batch's rows and those where rows of the same
+    keys stand now (a corrected receipt may change its day); to find these, only the
+    key columns of the table are read. None: the batch has no rows."""
+    keys = KEYS[name]
+    touched = {r[0] for r in batch.select(PERIOD).distinct().collect()}
+    if not touched:
+        return None
+    table = tables.current(name)
+    if table is not None:
+        own = broadcast_if_small(batch.select(*keys).distinct())
+        touched |= {r[0] for r in table.select(*keys, PERIOD).join(own, keys, "left_semi").select(PERIOD).distinct().collect()}
+    columns = [c for c in batch.columns if c != "_arrival"]
+    cur = tables.current(name, sorted(touched))
+    cur = batch.select(*columns).limit(0) if cur is None else cur
+    merged = upsert(cur, batch, keys, ordinal="_arrival" if "_arrival" in batch.columns else None)
+    return tables.commit_periods(name, merged.select(*columns), sorted(touched))
+
+
+def _bytes(spark: SparkSession, folder: str) -> int:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def _has_days(spark: SparkSession, folder: str) -> bool:
+    """Whether a landing folder is dealt into ``day=<date>`` folders."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(st.getPath().getName().startswith("day=") for st in fs.listStatus(p))
+
+
+def landed_receipts(spark: SparkSession, folder: str, windows: DataFrame | None) -> DataFrame:
+    """Landed receipt payloads. With ``windows`` (I01, per site) only the ``day=`` folders
+    from the earliest window on are read (of a folder without days all files); the
+    exact cut per site comes after the parse (``in_receipt_window``)."""
+    schema = "business_location_id long, doc string"
+    if not _has_days(spark, folder):
+        return spark.read.schema(schema).json(folder)
+    rows = spark.read.schema(schema + ", day date").json(folder)
+    if windows is not None:
+        since = windows.agg(F.min("window_from")).first()[0]
+        if since is not None:
+            rows = rows.filter(F.col("day") >= F.date_sub(F.lit(since).cast("date"), 1))
+    return rows
+
+
+def in_receipt_window(parsed: DataFrame, windows: DataFrame) -> DataFrame:
+    """Parsed receipts that were closed inside their site's window; those without a close
+    time stay, as no window can tell them."""
+    closed = F.try_to_timestamp(F.coalesce(nonempty(F.col("r.timeClosed")), F.col("r.timeofCloseAndPaid")))
+    j = parsed.join(broadcast_if_small(windows), "business_location_id", "left")
+    return j.filter(closed.isNull() | F.col("window_from").isNull() | closed.between(F.col("window_from"), F.col("window_to"))).select(
+        *parsed.columns)
+
+
+def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str | None = None):
+    """Run every feed step; returns (status DataFrame, all_ok). ``now``, the time of the
+    run, turns on the windows: a site's receipts are pulled anew from 48 hours before
+    its watermark (I01; a site without one: the backfill). Without it all that has
+    landed is read. ``grain`` of the receipt periods: chosen from the bytes of a day at
+    the first load, and kept."""
     t = VersionedTables(spark, root)
 
     def receipts():
-        docs = arrived(spark.read.schema("business_location_id long, doc string").json(f"{landing}/receipts"))
+        state = t.current("ingest_state")
+        windows = None
+        if now is not None and state is not None:
+            windows = incremental_window(state.filter("resource = 'sales'"), state.select("business_location_id").distinct(), now)
+        docs = arrived(landed_receipts(spark, f"{landing}/receipts", windows))
         # four tables come from one parse, kept in the shared folder meanwhile
         ensure_checkpoint_dir(spark)
-        sales, lines, pays = split_receipts(docs, parsed=parse_receipts(docs).checkpoint())
-        _merge(t, "sales", sales)
-        _merge(t, "sales_lines", lines)
-        _merge(t, "payments", pays)
+        parsed = parse_receipts(docs)
+        parsed = (parsed if windows is None else in_receipt_window(parsed, windows)).checkpoint()
+        sales, lines, pays = split_receipts(docs, parsed=parsed)
+        sales = sales.withColumn(DATE, business_date("time_closed"))
+        span = sales.agg(F.min(DATE), F.max(DATE), F.count(F.lit(1))).first()
+        if span[2] == 0:
+            return
+        size = next((len(p) for p in t.period_paths("sales") if p[:4].isdigit()), None)
+        kept = next((g for g, (n, _) in GRAINS.items() if n == size), None)
+        chosen = kept or grain or choose_grain(_bytes(spark, f"{landing}/receipts"), (span[1] - span[0]).days + 1 if span[0] else 1)
+        sales = with_period(sales, chosen)
+        # a receipt that lands twice has one date: that of its last arrival
+        dates = sales.groupBy(*RECEIPT_KEY).agg(F.max_by(F.struct(DATE, PERIOD), "_arrival").alias("_d")).select(
+            *RECEIPT_KEY, "_d.*")
+        merge_periods(t, "sales", sales)
+        merge_periods(t, "sales_lines", lines.join(dates, RECEIPT_KEY))
+        merge_periods(t, "payments", pays.join(dates, RECEIPT_KEY))
+        names = staff_names(sales, lines)
+        known = t.current("staff_names")
+        t.commit("staff_names", names if known is None else merge_staff_names(known, names))
         seen = (sales.groupBy("business_location_id").agg(F.max("time_closed").alias("last_watermark"))
                      .withColumn("resource", F.lit("sales")))
-        state = t.current("ingest_state")
         if state is None:
             state = seen.limit(0)
         t.commit("ingest_state", advance_watermark(state, seen))
@@ -117,9 +240,11 @@ def nightly(spark: SparkSession, landing: str, root: str):
         t.commit("file_log", done if log is None else log.unionByName(done))
 
     def online_orders():
-        deliveries = spark.read.schema(DELIVERY_SCHEMA).json(f"{landing}/webhooks")
-        # the landing folder is the delivery log: the fold over all of it is the
-        # current state, merged so orders only in older versions are kept
-        _merge(t, "storekit_orders", orders_from_deliveries(deliveries).drop("net_sales_pence"))
+        # the stream reads each landed file once and folds the orders it touches
+        store = f"{root.rstrip('/')}/_orders"
+        run_order_stream(spark, f"{landing}/webhooks", store, f"{store}/_checkpoint")
+        orders = current_orders(spark, store)
+        if orders is not None:
+            _merge(t, "storekit_orders", orders.select(*OUT_COLS))
 
     return run_steps([("receipts", receipts), ("reviews", reviews), ("online_orders", online_orders)], spark)

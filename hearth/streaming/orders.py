@@ -231,9 +231,10 @@ def _newest(changes: DataFrame) -> DataFrame:
     return newest.select("order_id", "o.*").select(*OUT_COLS, "n_events")
 
 
-def current_orders(spark, table_root: str) -> DataFrame:
-    """One row per order."""
-    return _newest(_stored(spark, f"{table_root}/changes")).select(*OUT_COLS)
+def current_orders(spark, table_root: str) -> DataFrame | None:
+    """One row per order (None: nothing is stored yet)."""
+    changes = _stored(spark, f"{table_root}/changes")
+    return None if changes is None else _newest(changes).select(*OUT_COLS)
 
 
 def compact(spark, table_root: str) -> None:

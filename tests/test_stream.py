@@ -138,3 +138,51 @@ def test_fold_rules(spark):
     assert got["o1"].venue_id == 7 and got["o1"].last_svix_id == ""
     assert got["o2"].status == "completed" and got["o2"].venue_id == 8 and not got["o2"].is_refunded
     assert got["o3"].status == "preparing" and got["o3"].last_event == "order.preparing"
+
+
+def test_a_batch_reads_only_its_parts(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="hearth-stream-")
+    os.makedirs(f"{root}/landing")
+    _land_rows(spark, root, "part-0", _hand_made()[0])
+    ST.run_order_stream(spark, f"{root}/landing", f"{root}/orders", f"{root}/ckpt")
+    asked = []
+    stored = ST._stored
+    monkeypatch.setattr(ST, "_stored", lambda s, r, buckets=None, skip=None: (asked.append((os.path.basename(r), buckets)), stored(s, r, buckets, skip))[1])
+    _land_rows(spark, root, "part-1", _hand_made()[1])
+    ST.run_order_stream(spark, f"{root}/landing", f"{root}/orders", f"{root}/ckpt")
+    assert {r for r, _ in asked} == {"events", "deliveries", "repeats"}
+    assert all(buckets is not None and len(buckets) < 20 for _, buckets in asked)
+    monkeypatch.undo()
+    everything = spark.read.schema(ST.DELIVERY_SCHEMA).json(f"{root}/landing")
+    assert _rows(ST.current_orders(spark, f"{root}/orders")) == _batch(everything)
+
+
+def test_compaction_changes_no_order(spark):
+    root = tempfile.mkdtemp(prefix="hearth-stream-")
+    os.makedirs(f"{root}/landing")
+    batches = _hand_made()
+    for i, rows in enumerate(batches):
+        _land_rows(spark, root, f"part-{i}", rows)
+        ST.run_order_stream(spark, f"{root}/landing", f"{root}/orders", f"{root}/ckpt")
+        ST.compact(spark, f"{root}/orders")
+        everything = spark.read.schema(ST.DELIVERY_SCHEMA).json(f"{root}/landing")
+        assert _rows(ST.current_orders(spark, f"{root}/orders")) == _batch(everything)
+    assert len(ST._subfolders(spark, f"{root}/orders/events")) == 1
+
+
+def test_a_delivery_id_of_two_orders_counts_for_the_earlier(spark):
+    """The copy with the least seq counts, whichever batch it comes in."""
+    ids = spark.createDataFrame([("s", 9, "x"), ("t", 10, "x"), ("s", 12, "x")], "svix_id string, seq long, order_id string")
+    seen = spark.createDataFrame([("s", 4, "y"), ("u", 1, "y")], "svix_id string, seq long, order_id string")
+    assert sorted(map(tuple, ST.repeated_ids(ids, seen).select("svix_id", "order_id", "first_seq").collect())) == [("s", "x", 4), ("s", "y", 4)]
+    assert ST.repeated_ids(ids, None).count() == 0
+    root = tempfile.mkdtemp(prefix="hearth-stream-")
+    os.makedirs(f"{root}/landing")
+    first, second = _hand_made()[:2]
+    late = [(r[0] - 10_000, r[1], r[2], r[3].replace("o1", "other")) for r in first]      # the same ids, earlier, in another order
+    for i, rows in enumerate((first, second, late)):
+        _land_rows(spark, root, f"part-{i}", rows)
+    ST.run_order_stream(spark, f"{root}/landing", f"{root}/orders", f"{root}/ckpt", files_per_trigger=1)
+    everything = spark.read.schema(ST.DELIVERY_SCHEMA).json(f"{root}/landing")
+    got, want = _rows(ST.current_orders(spark, f"{root}/orders")), _batch(everything)
+    assert [r for r in want if r not in got] == []
