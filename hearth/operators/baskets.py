@@ -2,11 +2,9 @@
 
 Pair counting: the basket base is DISTINCT (receipt, item), so a receipt holds
 at most one row per menu item and its pairs are bounded by the menu, not by
-the data. Items whose basket count is below the HAVING bar cannot be part of a
-reported pair (a pair count never exceeds either single count), so they are
-dropped before the self join (exact, Apriori-style). The self join is an equi
-join on the receipt key; AQE's skew-join splitting spreads a very large
-receipt over several tasks.
+the data. One grouping by receipt makes lists of items; single counts, basket
+counts and pairs all come from these lists, without a self join, and only pair
+counts are shuffled, after a partial sum in each task.
 """
 
 from __future__ import annotations
