@@ -1,10 +1,10 @@
 """Basket analysis (V28-V31) and kitchen prep.
 
 Pair counting: the basket base is DISTINCT (receipt, item), so a receipt holds
-at most one row per menu item and its pairs are bounded by the menu, not by
-the data. One grouping by receipt makes lists of items; single counts, basket
-counts and pairs all come from these lists, without a self join, and only pair
-counts are shuffled, after a partial sum in each task.
+at most one row per menu item. One pass counts items and baskets; items below the
+pairs' threshold can be in no pair that is kept, so they go before lists are made.
+The counts of the others (part of the menu) ride along in the lists, and only
+pair counts are shuffled, after a partial sum in each task; no join follows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.semantics import business_date, clean_site_label, iso_dow, not_cancelled
-from hearth.plans.joins import broadcast_if_small
+from hearth.plans.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 from hearth.sources.periods import within
 
 BASKET_GROUPS = ["Food", "Alcoholic Drinks", "Non-Alcoholic Drinks"]
@@ -44,40 +44,44 @@ def basket_base(lines: DataFrame, sales: DataFrame, sites: DataFrame, as_of, win
              .distinct())
 
 
-def _pair_stats(pairs: DataFrame, singles: DataFrame, tot: DataFrame, keys: list[str]) -> DataFrame:
-    s1 = singles.select(*keys, F.col("item").alias("i1"), F.col("sc").alias("s1"))
-    s2 = singles.select(*keys, F.col("item").alias("i2"), F.col("sc").alias("s2"))
-    j = pairs.join(s1, keys + ["i1"]).join(s2, keys + ["i2"])
-    if keys:
-        j = j.join(tot, keys)
-        n = F.col("n").cast("double")
+def basket_pairs(base: DataFrame, min_count: int = 10, by_site: bool = False, menu: DataFrame | None = None,
+                 sites: DataFrame | None = None) -> DataFrame:
+    """V29 (all sites) / V30 (``by_site``): item pairs with support, both
+    confidences and lift, kept when at least ``min_count`` baskets share them.
+
+    ``menu`` (a row per item name) and ``sites`` (a row per site) bound the counts of
+    frequent items: these are broadcast if the menu, once per site where needed, is
+    small. Without ``menu`` the bound is that of ``base``."""
+    keys = ["site"] if by_site else []
+    # one pass: a NULL item in each basket counts the baskets
+    counts = (base.groupBy(*keys, "bl", "ar").agg(F.collect_list("item").alias("items"))
+              .select(*keys, F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item"))
+              .groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc")))
+    frequent = counts.filter(F.col("item").isNotNull() & (F.col("sc") >= min_count))
+    if menu is not None:
+        times = sites.count() if by_site and sites is not None else 1
+        frequent = broadcast_if_small(frequent, BROADCAST_MAX_BYTES // max(1, times), basis=menu)
+    baskets = (base.join(frequent, [*keys, "item"]).groupBy(*keys, "bl", "ar")
+               .agg(F.array_sort(F.collect_list(F.struct("item", "sc"))).alias("items")))
+    later = F.transform("items", lambda x, i: F.transform(
+        F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x["item"].alias("item_a"), y["item"].alias("item_b"),
+                                                                     x["sc"].alias("s1"), y["sc"].alias("s2"))))
+    pairs = (baskets.select(*keys, F.inline(F.flatten(later))).filter(F.col("item_a") < F.col("item_b"))
+             .groupBy(*keys, "item_a", "item_b", "s1", "s2").agg(F.count(F.lit(1)).alias("baskets"))
+             .filter(F.col("baskets") >= min_count))
+    total = counts.filter(F.col("item").isNull()).select(*keys, F.col("sc").cast("double").alias("n"))
+    if by_site:
+        pairs = pairs.join(broadcast_if_small(total, basis=sites) if sites is not None else total, keys)
+        n = F.col("n")
     else:   # one overall basket count: an uncorrelated scalar subquery
-        n = tot.select(F.col("n").cast("double")).scalar()
-    pc = F.col("pc").cast("double")
-    return j.select(
-        *keys,
-        F.col("i1").alias("item_a"), F.col("i2").alias("item_b"), F.col("pc").alias("baskets"),
+        n = total.select("n").scalar()
+    pc = F.col("baskets").cast("double")
+    return pairs.select(
+        *keys, "item_a", "item_b", "baskets",
         F.round(100.0 * pc / n, 1).alias("support_pct"),
         F.round(100.0 * pc / F.col("s1"), 0).alias("a_to_b_pct"),
         F.round(100.0 * pc / F.col("s2"), 0).alias("b_to_a_pct"),
-        F.round((pc / n) / ((F.col("s1") / n) * (F.col("s2") / n)), 2).alias("lift"),
-    )
-
-
-def basket_pairs(base: DataFrame, min_count: int = 10, by_site: bool = False) -> DataFrame:
-    """V29 (all sites) / V30 (``by_site``): item pairs with support, both
-    confidences and lift, kept when at least ``min_count`` baskets share them."""
-    keys = ["site"] if by_site else []
-    # one shuffle brings a receipt's items together; single counts, basket counts and
-    # pairs all come from the same lists (a receipt's pairs are bounded by its lines)
-    baskets = base.groupBy(*keys, "bl", "ar").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    singles = baskets.select(*keys, F.explode("items").alias("item")).groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc"))
-    tot = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    later = F.transform("items", lambda x, i: F.transform(
-        F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x.alias("i1"), y.alias("i2"))))
-    pairs = (baskets.select(*keys, F.inline(F.flatten(later))).filter(F.col("i1") < F.col("i2"))
-             .groupBy(*keys, "i1", "i2").agg(F.count(F.lit(1)).alias("pc")).filter(F.col("pc") >= min_count))
-    return _pair_stats(pairs, singles, tot, keys)
+        F.round((pc / n) / ((F.col("s1") / n) * (F.col("s2") / n)), 2).alias("lift"))
 
 
 def basket_attach(base: DataFrame) -> DataFrame:

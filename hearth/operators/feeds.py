@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.plans.joins import broadcast_if_small
+from hearth.sources.reference_data import ASPECTS
 
 
 # ------------------------------------------------------------------ reviews
 def sentiment_overview_view(overview: DataFrame, site_map: DataFrame) -> DataFrame:
-    """Overview rows with site keys and positive / negative review %."""
+    """Overview rows with site keys, the sentiment and mentions of six aspects, and
+    positive / negative review % (NULL without reviews)."""
     m = broadcast_if_small(site_map.select("sentiment_label", F.col("nickname").alias("site"), "business_location_id"), basis=site_map)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     pct = lambda a, b: F.when(F.col("reviews") > 0,
@@ -18,6 +20,7 @@ def sentiment_overview_view(overview: DataFrame, site_map: DataFrame) -> DataFra
     return overview.join(m, "sentiment_label", "left").select(
         "period_start", "grain", "site", "business_location_id", "sentiment_label", "reviews", "rating",
         "competitor_rating", "star5", "star4", "star3", "star2", "star1", "nps", "critical",
+        *[f"{a}_sentiment" for a in ASPECTS], *[f"{a}_mentions" for a in ASPECTS],
         pct("star5", "star4").alias("positive_pct"), pct("star1", "star2").alias("negative_pct"))
 
 

@@ -376,13 +376,14 @@ TABLES["sentiment_reviews"] = """
          'reviews_' || source || '.csv' AS source_file
   FROM reviews_base"""
 
-TABLES["sentiment_overview"] = """
+TABLES["sentiment_overview"] = f"""
   SELECT sentiment_label, period_start, grain, reviews,
          CAST(CAST((200 * s + reviews) // (2 * reviews) AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS rating,
          CAST(NULL AS DECIMAL(3,2)) AS competitor_rating,
          star5, star4, star3, star2, star1,
          CAST(star5 - star1 - star2 AS DECIMAL(6,2)) AS nps,
-         star1 + star2 AS critical
+         star1 + star2 AS critical,
+         {', '.join(f"CAST(CAST(20 * {a}_stars // {a}_mentions AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(3,2)) AS {a}_sentiment, {a}_mentions" for a in R.ASPECTS)}
   FROM (
       SELECT sentiment_label, p AS period_start, grain, CAST(COUNT(*) AS INTEGER) AS reviews,
              CAST(SUM(rating) AS BIGINT) AS s,
@@ -390,7 +391,10 @@ TABLES["sentiment_overview"] = """
              CAST(SUM(CASE WHEN rating = 4 THEN 1 ELSE 0 END) AS INTEGER) AS star4,
              CAST(SUM(CASE WHEN rating = 3 THEN 1 ELSE 0 END) AS INTEGER) AS star3,
              CAST(SUM(CASE WHEN rating = 2 THEN 1 ELSE 0 END) AS INTEGER) AS star2,
-             CAST(SUM(CASE WHEN rating = 1 THEN 1 ELSE 0 END) AS INTEGER) AS star1
+             CAST(SUM(CASE WHEN rating = 1 THEN 1 ELSE 0 END) AS INTEGER) AS star1,
+             {', '.join(f"CAST(count(*) FILTER (length(review_text) % {i + 2} = 0) AS INTEGER) AS {a}_mentions, "
+                        f"CAST(SUM(rating) FILTER (length(review_text) % {i + 2} = 0) AS BIGINT) AS {a}_stars"
+                        for i, a in enumerate(R.ASPECTS))}
       FROM (SELECT *, CAST(date_trunc('month', review_date) AS DATE) AS p, 'month' AS grain FROM sentiment_reviews
             UNION ALL
             SELECT *, review_date AS p, 'day' AS grain FROM sentiment_reviews) u

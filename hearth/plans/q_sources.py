@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hearth.operators import merge as K
 from hearth.plans import oracle as O
 from hearth.plans.catalog import Ctx, dbl, register
 from hearth.sources import feeds as FE
@@ -180,3 +181,70 @@ def s09(c: Ctx):
     stale = F.transform("planned", lambda p: F.struct(p["name"].alias("name"), F.lit("-1").alias("value")))
     rec = rec.select("branch_id", "date", "breakdown", F.concat(stale, "planned").alias("planned_breakdown"))
     return FE.labour_breakdown(rec).select("branch_id", "biz_date", "category", *dbl("value", "planned_value"))
+
+
+OVERVIEW_INT = [name for name, whole in FE.OVERVIEW_MAP.values() if whole]
+OVERVIEW_NUM = [name for name, whole in FE.OVERVIEW_MAP.values() if not whole]
+
+
+@register("s22_parse_overview", f"""
+SELECT sentiment_label, period_start, grain, {', '.join(OVERVIEW_INT)}, {_num_sql(OVERVIEW_NUM)},
+       'overview' AS kind FROM sentiment_overview""")
+def s22(c: Ctx):
+    """Overview files of both grains, named by their period (a month as
+    MONYY, a day as an ISO date), among review files. Files are told apart by their
+    header, and those of overviews are read by it."""
+    o = c.w.sentiment_overview
+    named = F.when(F.col("grain") == "month", F.upper(F.date_format("period_start", "MMMyy"))).otherwise(
+        F.concat(F.lit("Overview_"), F.date_format("period_start", "yyyy-MM-dd")))
+    cells = [F.col(name).cast("string").alias(header) for header, (name, _) in FE.OVERVIEW_MAP.items()]
+    path = c.w.landed_csv_files("overview", o.select(F.col("sentiment_label").alias("Label"), *cells, F.concat(named, F.lit(".csv")).alias("file")))
+    files = c.spark.createDataFrame([(f, h) for h, fs in FE.csv_headers(c.spark, path) for f in fs], "path string, header array<string>")
+    kinds = FE.classify_files(files).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), "kind")
+    p = FE.parse_overview(FE.scan_csv(c.spark, path)).join(kinds, "source_file")
+    return p.select("sentiment_label", "period_start", "grain", *OVERVIEW_INT, *dbl(*OVERVIEW_NUM), "kind")
+
+
+LABOUR_NUM = ["col", "planned_col", "hours", "planned_hours", "sales", "percentage", "planned_percentage", "splh", "oplh"]
+
+
+@register("s08_labour_files", f"""
+SELECT branch_id, biz_date, {_num_sql(LABOUR_NUM)}, orders, lower(replace(site_name, ' ', '-')) AS site_name
+FROM nory_labour_daily WHERE branch_id IN (SELECT branch_id FROM nory_site_map WHERE is_core)""")
+def s08(c: Ctx):
+    """Labour files in folders by the date they were taken (here the first day of
+    the next month) and by site, all read in one pass; only core sites' folders."""
+    d = c.w.nory_labour_daily
+    slug = lambda n: F.lower(F.replace(n, F.lit(" "), F.lit("-")))
+    taken = F.date_format(F.add_months(F.trunc("biz_date", "month"), 1), "yyyy-MM-dd")
+    fields = ["branch_id", F.col("biz_date").cast("string").alias("date"), *[F.col(x).cast("string").alias(x) for x in LABOUR_NUM],
+              F.col("orders").cast("string").alias("orders")]
+    file = F.concat_ws("/", taken, slug("site_name"), F.lit("wfm/labour_insights.json"))
+    path = c.w.landed_text_files("labour", d.groupBy(file.alias("file")).agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("value")))
+    # the registry of sites: configuration, a row per branch
+    core = [r[0] for r in c.w.nory_site_map.filter("is_core").select(slug("site_name")).collect()]
+    r = FE.labour_daily_rows(FE.read_labour(c.spark, path, "all", core))
+    return r.select("branch_id", "biz_date", *dbl(*LABOUR_NUM), "orders", "site_name")
+
+
+# one file per label and day; of the files of every third day the log knows other content,
+# of those of the days after them nothing
+O.TABLES["overview_files"] = """
+  SELECT label || '_' || CAST(day AS VARCHAR) || '.txt' AS filename, CAST(day(day) AS INTEGER) % 3 AS known, sha256(line || chr(10)) AS sha256
+  FROM (SELECT replace(sentiment_label, ' ', '-') AS label, period_start AS day,
+               concat_ws(',', sentiment_label, period_start, reviews, star5, star4, star3, star2, star1) AS line
+        FROM sentiment_overview WHERE grain = 'day')"""
+
+
+@register("k08_new_files", "SELECT filename, sha256 FROM overview_files WHERE known <> 2")
+def k08(c: Ctx):
+    """Landed files whose name and content hash the load log does not have."""
+    o = c.w.sentiment_overview.filter("grain = 'day'")
+    name = F.concat(F.replace("sentiment_label", F.lit(" "), F.lit("-")), F.lit("_"), F.col("period_start").cast("string"), F.lit(".txt"))
+    line = F.concat_ws(",", "sentiment_label", "period_start", "reviews", "star5", "star4", "star3", "star2", "star1")
+    path = c.w.landed_text_files("overview_log", o.select(name.alias("file"), line.alias("value")))
+    known = F.dayofmonth("period_start") % 3
+    log = o.filter(known != 1).select(
+        name.alias("filename"), F.when(known == 2, F.sha2(F.concat(line, F.lit("\n")), 256)).otherwise(F.sha2(line, 256)).alias("sha256"))
+    return K.new_files(FE.file_digests(c.spark, path, "*.txt"), log).select("filename", "sha256")

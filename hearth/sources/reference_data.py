@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Aspects that reviews are scored on, in the order of the overview's columns.
+ASPECTS = ["food", "service", "ambience", "cleanliness", "drinks", "cost"]
+
 # Category rules used with the test tables.
 # (id, dimension, category, match_type, match_value, priority, active)
 CATEGORY_RULES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,6 +184,37 @@ class StoredWarehouse:
                 raise RuntimeError(f"could not publish {path}")
         return path
 
+    def _landed_files(self, name: str, rows: DataFrame, write) -> str:
+        """A landing folder whose files bear the names in column ``file`` (with folders):
+        all rows of a name go to one task, whose one part file then takes the name."""
+        path = self._path(f"landing/{name}")
+        if not self._exists(path):
+            tmp = f"{path}.tmp-{os.getpid()}-{id(self)}"
+            write(rows.repartition("file").write.mode("overwrite").partitionBy("file"), f"{tmp}/parts")
+            Path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+            top = Path(f"{tmp}/parts")
+            fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for folder in fs.listStatus(top):
+                if not folder.isDirectory():
+                    continue
+                part, = (f.getPath() for f in fs.listStatus(folder.getPath()))
+                target = Path(f"{tmp}/named/{unquote(folder.getPath().getName().partition('=')[2])}")
+                fs.mkdirs(target.getParent())
+                fs.rename(part, target)
+            fs.mkdirs(Path(f"{tmp}/named"))
+            fs.create(Path(f"{tmp}/named/_SUCCESS")).close()
+            if not self._rename(f"{tmp}/named", path) and not self._exists(path):
+                raise RuntimeError(f"could not publish {path}")
+        return path
+
+    def landed_csv_files(self, name: str, rows: DataFrame) -> str:
+        """Named CSV files of ``rows``, which holds the name in ``file``."""
+        return self._landed_files(name, rows, lambda w, p: w.option("header", True).option("escape", '"').option("quoteAll", True).csv(p))
+
+    def landed_text_files(self, name: str, lines: DataFrame) -> str:
+        """Named text files of ``lines`` (``file, value``)."""
+        return self._landed_files(name, lines, lambda w, p: w.text(p))
+
     def _publish(self, name: str, src: DataFrame) -> DataFrame:
         if name in self._cache:
             return self._cache[name]

@@ -497,15 +497,20 @@ class Warehouse:
 
     @cached_property
     def sentiment_overview(self) -> DataFrame:
-        """Vendor overview rows: month grain and day grain per label."""
+        """Vendor overview rows: month grain and day grain per label. A review mentions the
+        aspects that the length of its text points at; an aspect's sentiment is the share
+        of the five stars its mentions have, to 2 dp, cut."""
         rv = self.sentiment_reviews
+        spoken = lambda i: F.length("review_text") % (i + 2) == 0
         star = lambda n: F.sum(F.when(F.col("rating") == n, 1).otherwise(0)).cast("int")
 
         def agg(period, grain):
             g = rv.groupBy("sentiment_label", period.alias("period_start")).agg(
                 F.count(F.lit(1)).cast("int").alias("reviews"), F.sum("rating").alias("_sum"),
                 star(5).alias("star5"), star(4).alias("star4"), star(3).alias("star3"),
-                star(2).alias("star2"), star(1).alias("star1"))
+                star(2).alias("star2"), star(1).alias("star1"),
+                *[F.count_if(spoken(i)).cast("int").alias(f"{a}_mentions") for i, a in enumerate(R.ASPECTS)],
+                *[F.sum(F.when(spoken(i), F.col("rating"))).cast("long").alias(f"_{a}") for i, a in enumerate(R.ASPECTS)])
             # average rating to 2 dp, half up, in exact integer arithmetic
             r100 = F.expr("(200 * CAST(_sum AS BIGINT) + reviews) div (2 * reviews)")
             return g.select(
@@ -514,7 +519,10 @@ class Warehouse:
                 F.lit(None).cast("decimal(3,2)").alias("competitor_rating"),
                 "star5", "star4", "star3", "star2", "star1",
                 dec(F.col("star5") - F.col("star1") - F.col("star2"), 6, 2).alias("nps"),
-                (F.col("star1") + F.col("star2")).alias("critical"))
+                (F.col("star1") + F.col("star2")).alias("critical"),
+                *[(F.expr(f"(20 * _{a}) div nullif({a}_mentions, 0)").cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)"))
+                  .cast("decimal(3,2)").alias(f"{a}_sentiment") for a in R.ASPECTS],
+                *[f"{a}_mentions" for a in R.ASPECTS])
         month = agg(F.to_date(F.date_trunc("month", "review_date")), "month")
         day = agg(F.col("review_date"), "day")
         return month.unionByName(day)
