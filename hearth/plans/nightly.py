@@ -1,6 +1,7 @@
 """The nightly load as Spark jobs: landed feeds -> parsers -> keyed merges ->
 a new immutable version of each warehouse table, one isolated step per feed
-(I07, K01, K02, K05, K09).
+(I01, I02, I07, K01, K02, K05, K08, K09). Ten feeds; one whose landing folder does not
+exist is left out.
 
 Tables live under ``root/<table>/v=<n>``; a version is visible once its
 ``_SUCCESS`` marker exists, so a failed or killed run leaves the previous
@@ -11,24 +12,40 @@ version that has it, and the files of all others stay where they are.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.functions.semantics import business_date, nonempty
-from hearth.operators.incremental import incremental_window, run_steps
+from hearth.operators.incremental import incremental_window, rolling_window, run_steps
 from hearth.operators.merge import advance_watermark, insert_new, new_files, upsert, write_version
 from hearth.operators.staff import merge_staff_names, staff_names
 from hearth.plans.joins import broadcast_if_small
 from hearth.session import ensure_checkpoint_dir
-from hearth.sources.feeds import parse_receipts, parse_reviews, scan_csv, split_receipts
+from hearth.sources.feeds import (classify_files, csv_headers, file_digests, fold_shifts, labour_breakdown, labour_daily_rows,
+                                  map_items, merge_order_lines, normalise_bookings, parse_cashoff, parse_manager_report,
+                                  parse_overview, parse_receipts, parse_reviews, read_labour, scan_csv, split_receipts)
 from hearth.sources.periods import DATE, GRAINS, PERIOD, choose_grain, with_period
 from hearth.streaming.orders import OUT_COLS, current_orders, run_order_stream
 
 RECEIPT_KEY = ["business_location_id", "account_reference"]
 KEYS = {"sales": RECEIPT_KEY, "sales_lines": RECEIPT_KEY + ["line_id"],
         "payments": RECEIPT_KEY + ["payment_uuid"], "sentiment_reviews": ["review_hash"],
-        "storekit_orders": ["order_id"], "ingest_state": ["business_location_id", "resource"]}
+        "storekit_orders": ["order_id"], "ingest_state": ["business_location_id", "resource"],
+        "items": ["business_location_id", "item_id"], "staff_shifts": ["business_location_id", "shift_uuid"],
+        "nory_labour_daily": ["branch_id", "biz_date"], "nory_labour_breakdown": ["branch_id", "biz_date", "category"],
+        "bookings": ["ft_site_code", "booking_ref_no"], "cashoff_daily": ["site", "business_date"],
+        "manager_daily_report": ["site", "business_date"], "peazi_order_lines": ["site", "order_number", "plu"],
+        "sentiment_overview": ["sentiment_label", "period_start", "grain"]}
+
+# Days that a rolling re-pull (I02) reads again.
+ROLLING_DAYS = {"shifts": 30, "bookings": 14, "market": 7}
+
+MARKET_SCHEMA = ("site string, order_number string, plu int, seq long, order_time timestamp, name string, quantity decimal(14,3), "
+                 "price decimal(14,2), total decimal(14,2), discount_amount decimal(14,2), tip decimal(14,2), charge decimal(14,2), "
+                 "commission decimal(14,2), payout decimal(14,2), payment_method string, reporting_labels array<string>")
 
 
 class VersionedTables:
@@ -80,6 +97,11 @@ class VersionedTables:
         schema = T.StructType([*fields, T.StructField(PERIOD, T.StringType())])
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths).drop("v")
 
+    def grain(self, name: str) -> str | None:
+        """Grain of a table's periods (None: it has none yet)."""
+        size = next((len(p) for p in self.period_paths(name) if p[:4].isdigit()), None)
+        return next((g for g, (n, _) in GRAINS.items() if n == size), None)
+
     def commit(self, name: str, df: DataFrame) -> int:
         nxt = self._next(name)
         write_version(df, f"{self.root}/{name}", nxt)
@@ -157,19 +179,56 @@ def _has_days(spark: SparkSession, folder: str) -> bool:
     return fs.exists(p) and any(st.getPath().getName().startswith("day=") for st in fs.listStatus(p))
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def landed(spark: SparkSession, folder: str, schema: str, since=None) -> DataFrame:
+    """JSON rows of a landing folder. Of one dealt into ``day=`` folders only the days
+    from ``since`` on are read, if given, and ``day`` is a column."""
+    if not _has_days(spark, folder):
+        return spark.read.schema(schema).json(folder)
+    rows = spark.read.schema(schema + ", day date").json(folder)
+    return rows if since is None else rows.filter(F.col("day") >= since)
+
+
+def landed_sheets(spark: SparkSession, folder: str) -> list[tuple[list[str], DataFrame]]:
+    """(header, rows ``site, ordinal, cells``) for every distinct header of the sheets that
+    landed as JSON rows, where row 0 of a sheet is its header (``site`` is NULL where one
+    sheet holds all). A sheet is pulled whole, so of several ``day=`` folders the newest
+    with the sheet counts. Sheets are as many as sites."""
+    rows = landed(spark, folder, "site string, ordinal long, cells array<string>")
+    rows = rows.withColumn("site", F.coalesce("site", F.lit("")))
+    if "day" in rows.columns:
+        newest = rows.groupBy("site").agg(F.max("day").alias("day"))
+        rows = rows.join(newest, ["site", "day"], "left_semi").drop("day")
+    sheets: dict[tuple, list[str]] = {}
+    for r in rows.filter("ordinal = 0").select("site", "cells").distinct().orderBy("site").collect():
+        sheets.setdefault(tuple(r.cells), []).append(r.site)
+    return [(list(header), rows.filter(F.col("site").isin(sites) & (F.col("ordinal") > 0))) for header, sites in sheets.items()]
+
+
+def merge_dated(tables: VersionedTables, name: str, batch: DataFrame, date, folder: str, grain: str | None = None) -> int | None:
+    """``merge_periods`` of a batch by the date in column ``date``: the table is stored by
+    its periods, whose grain is chosen from the bytes of a day at the first load (unless
+    ``grain`` is given) and kept. The batch is parsed once."""
+    ensure_checkpoint_dir(tables.spark)
+    batch = batch.withColumn(DATE, F.col(date).cast("date")).checkpoint()
+    kept = tables.grain(name) or grain
+    if kept is None:
+        first, last = batch.agg(F.min(DATE), F.max(DATE)).first()
+        kept = choose_grain(_bytes(tables.spark, folder), (last - first).days + 1 if first else 1)
+    return merge_periods(tables, name, with_period(batch, kept))
+
+
 def landed_receipts(spark: SparkSession, folder: str, windows: DataFrame | None) -> DataFrame:
     """Landed receipt payloads. With ``windows`` (I01, per site) only the ``day=`` folders
     from the earliest window on are read (of a folder without days all files); the
     exact cut per site comes after the parse (``in_receipt_window``)."""
-    schema = "business_location_id long, doc string"
-    if not _has_days(spark, folder):
-        return spark.read.schema(schema).json(folder)
-    rows = spark.read.schema(schema + ", day date").json(folder)
-    if windows is not None:
-        since = windows.agg(F.min("window_from")).first()[0]
-        if since is not None:
-            rows = rows.filter(F.col("day") >= F.date_sub(F.lit(since).cast("date"), 1))
-    return rows
+    since = None if windows is None else windows.agg(F.min("window_from")).first()[0]
+    return landed(spark, folder, "business_location_id long, doc string",
+                  None if since is None else F.date_sub(F.lit(since).cast("date"), 1))
 
 
 def in_receipt_window(parsed: DataFrame, windows: DataFrame) -> DataFrame:
@@ -181,14 +240,78 @@ def in_receipt_window(parsed: DataFrame, windows: DataFrame) -> DataFrame:
         *parsed.columns)
 
 
-def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str | None = None):
+def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str | None = None,
+            registry: dict[str, DataFrame] | None = None):
     """Run every feed step; returns (status DataFrame, all_ok). ``now``, the time of the
     run, turns on the windows: a site's receipts are pulled anew from 48 hours before
     its watermark (I01; a site without one: the backfill). Without it all that has
-    landed is read. ``grain`` of the receipt periods: chosen from the bytes of a day at
-    the first load, and kept."""
+    landed is read. Shifts, bookings and market lines are pulled anew for the last
+    ``ROLLING_DAYS`` days (I02); a ``day=`` folder of theirs holds the rows of that day,
+    whole orders, as last pulled. ``grain`` of the tables' periods: chosen from the bytes
+    of a day at the first load, and kept. ``registry``: the ``sites`` that manager forms
+    may name and the ``ft_site_map`` of bookings; else the tables of these names."""
     t = VersionedTables(spark, root)
 
+    def feed(name):
+        """Folder of a feed (None: it is not set up)."""
+        return f"{landing}/{name}" if _exists(spark, f"{landing}/{name}") else None
+
+    def known(name):
+        df = (registry or {}).get(name)
+        df = t.current(name) if df is None else df
+        if df is None:
+            raise ValueError(f"no {name} known")
+        return df
+
+    def since(name):
+        return None if now is None else rolling_window(now, ROLLING_DAYS[name])[0]
+
+    def in_rolling(name, df, day):
+        """Rows of the feed's window, and those without a date, as no window can tell them."""
+        return df if now is None else df.filter(day.isNull() | day.between(*rolling_window(now, ROLLING_DAYS[name])))
+
+    def items():
+        if folder := feed("items"):
+            pages = arrived(spark.read.schema("business_location_id long, doc string").json(folder))
+            _merge(t, "items", map_items(pages, keep=("_arrival",)).filter("item_id IS NOT NULL"))
+
+    def shifts():
+        if folder := feed("shifts"):
+            docs = arrived(landed(spark, folder, "business_location_id long, doc string", since("shifts")))
+            rows = in_rolling("shifts", fold_shifts(docs, keep=("_arrival",)), F.col("date_in_utc").cast("date"))
+            merge_dated(t, "staff_shifts", rows, "date_in_utc", folder, grain)
+
+    def labour():
+        # each file carries its site's last weeks, so the newest folder heals them all
+        if folder := feed("labour"):
+            ensure_checkpoint_dir(spark)
+            records = read_labour(spark, folder, "latest").withColumn("_arrival", F.struct("folder", "_path")).checkpoint()
+            merge_dated(t, "nory_labour_daily", labour_daily_rows(records, keep=("_arrival",)), "biz_date", folder, grain)
+            merge_dated(t, "nory_labour_breakdown", labour_breakdown(records, keep=("_arrival",)), "biz_date", folder, grain)
+
+    def bookings():
+        if folder := feed("bookings"):
+            rows = landed(spark, folder, "site_code long, the_date date, doc string", since("bookings"))
+            docs = arrived(in_rolling("bookings", rows, F.col("the_date")))
+            merge_dated(t, "bookings", normalise_bookings(docs, known("ft_site_map"), keep=("_arrival",)), "booking_date", folder, grain)
+
+    def cashoff():
+        if folder := feed("cashoff"):
+            parts = [parse_cashoff(rows, header) for header, rows in landed_sheets(spark, folder)]
+            if parts:
+                merge_dated(t, "cashoff_daily", reduce(DataFrame.unionByName, parts), DATE, folder, grain)
+
+    def manager_report():
+        if folder := feed("manager_report"):
+            sites = known("sites")
+            parts = [parse_manager_report(rows, header, sites) for header, rows in landed_sheets(spark, folder)]
+            if parts:
+                merge_dated(t, "manager_daily_report", reduce(DataFrame.unionByName, parts), DATE, folder, grain)
+
+    def market():
+        if folder := feed("market"):
+            merge_dated(t, "peazi_order_lines", merge_order_lines(landed(spark, folder, MARKET_SCHEMA, since("market"))), "order_time", folder, grain)
+
     def receipts():
         state = t.current("ingest_state")
         windows = None
@@ -204,9 +327,8 @@ def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str |
         span = sales.agg(F.min(DATE), F.max(DATE), F.count(F.lit(1))).first()
         if span[2] == 0:
             return
-        size = next((len(p) for p in t.period_paths("sales") if p[:4].isdigit()), None)
-        kept = next((g for g, (n, _) in GRAINS.items() if n == size), None)
-        chosen = kept or grain or choose_grain(_bytes(spark, f"{landing}/receipts"), (span[1] - span[0]).days + 1 if span[0] else 1)
+        chosen = t.grain("sales") or grain or choose_grain(
+            _bytes(spark, f"{landing}/receipts"), (span[1] - span[0]).days + 1 if span[0] else 1)
         sales = with_period(sales, chosen)
         # a receipt that lands twice has one date: that of its last arrival
         dates = sales.groupBy(*RECEIPT_KEY).agg(F.max_by(F.struct(DATE, PERIOD), "_arrival").alias("_d")).select(
@@ -215,8 +337,8 @@ def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str |
         merge_periods(t, "sales_lines", lines.join(dates, RECEIPT_KEY))
         merge_periods(t, "payments", pays.join(dates, RECEIPT_KEY))
         names = staff_names(sales, lines)
-        known = t.current("staff_names")
-        t.commit("staff_names", names if known is None else merge_staff_names(known, names))
+        stored = t.current("staff_names")
+        t.commit("staff_names", names if stored is None else merge_staff_names(stored, names))
         seen = (sales.groupBy("business_location_id").agg(F.max("time_closed").alias("last_watermark"))
                      .withColumn("resource", F.lit("sales")))
         if state is None:
@@ -226,16 +348,22 @@ def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str |
     def reviews():
         ensure_checkpoint_dir(spark)
         # Only files whose name and content the log does not have yet
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-                 .load(f"{landing}/reviews").select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
-                                                    F.sha2("content", 256).alias("sha256")))
+        files = file_digests(spark, f"{landing}/reviews", "*.csv")
         log = t.current("file_log")
         todo = files if log is None else new_files(files, log)
         todo = todo.checkpoint()
         paths = [r.path for r in todo.select("path").orderBy("path").collect()]
         if not paths:
             return
-        _merge(t, "sentiment_reviews", parse_reviews(scan_csv(spark, paths)), insert_only=True)
+        headers = spark.createDataFrame([(f, h) for h, fs in csv_headers(spark, paths) for f in fs], "path string, header array<string>")
+        kinds: dict[str, list[str]] = {}
+        for r in classify_files(headers).orderBy("path").collect():     # a row per new file
+            kinds.setdefault(r.kind, []).append(r.path)
+        if "reviews" in kinds:
+            _merge(t, "sentiment_reviews", parse_reviews(scan_csv(spark, kinds["reviews"])), insert_only=True)
+        if "overview" in kinds:     # of two files of one period the later name counts
+            overview = parse_overview(scan_csv(spark, kinds["overview"]))
+            _merge(t, "sentiment_overview", overview.withColumn("_arrival", F.col("source_file")))
         done = todo.select("filename", "sha256").distinct()
         t.commit("file_log", done if log is None else log.unionByName(done))
 
@@ -247,4 +375,6 @@ def nightly(spark: SparkSession, landing: str, root: str, now=None, grain: str |
         if orders is not None:
             _merge(t, "storekit_orders", orders.select(*OUT_COLS))
 
-    return run_steps([("receipts", receipts), ("reviews", reviews), ("online_orders", online_orders)], spark)
+    return run_steps([("items", items), ("receipts", receipts), ("shifts", shifts), ("labour", labour), ("bookings", bookings),
+                      ("cashoff", cashoff), ("manager_report", manager_report), ("market", market), ("reviews", reviews),
+                      ("online_orders", online_orders)], spark)
