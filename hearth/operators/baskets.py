@@ -9,7 +9,7 @@ pair counts are shuffled, after a partial sum in each task; no join follows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.semantics import business_date, clean_site_label, iso_dow, not_cancelled
@@ -57,25 +57,22 @@ def basket_pairs(base: DataFrame, min_count: int = 10, by_site: bool = False, me
     counts = (base.groupBy(*keys, "bl", "ar").agg(F.collect_list("item").alias("items"))
               .select(*keys, F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item"))
               .groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("sc")))
+    # the window sees a row per menu item (and site)
+    per = Window.partitionBy(*keys)
+    counts = counts.withColumn("n", F.max(F.when(F.col("item").isNull(), F.col("sc"))).over(per))
     frequent = counts.filter(F.col("item").isNotNull() & (F.col("sc") >= min_count))
     if menu is not None:
         times = sites.count() if by_site and sites is not None else 1
         frequent = broadcast_if_small(frequent, BROADCAST_MAX_BYTES // max(1, times), basis=menu)
     baskets = (base.join(frequent, [*keys, "item"]).groupBy(*keys, "bl", "ar")
-               .agg(F.array_sort(F.collect_list(F.struct("item", "sc"))).alias("items")))
+               .agg(F.array_sort(F.collect_list(F.struct("item", "sc"))).alias("items"), F.max("n").alias("n")))
     later = F.transform("items", lambda x, i: F.transform(
         F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x["item"].alias("item_a"), y["item"].alias("item_b"),
                                                                      x["sc"].alias("s1"), y["sc"].alias("s2"))))
-    pairs = (baskets.select(*keys, F.inline(F.flatten(later))).filter(F.col("item_a") < F.col("item_b"))
-             .groupBy(*keys, "item_a", "item_b", "s1", "s2").agg(F.count(F.lit(1)).alias("baskets"))
+    pairs = (baskets.select(*keys, "n", F.inline(F.flatten(later))).filter(F.col("item_a") < F.col("item_b"))
+             .groupBy(*keys, "item_a", "item_b", "s1", "s2", "n").agg(F.count(F.lit(1)).alias("baskets"))
              .filter(F.col("baskets") >= min_count))
-    total = counts.filter(F.col("item").isNull()).select(*keys, F.col("sc").cast("double").alias("n"))
-    if by_site:
-        pairs = pairs.join(broadcast_if_small(total, basis=sites) if sites is not None else total, keys)
-        n = F.col("n")
-    else:   # one overall basket count: an uncorrelated scalar subquery
-        n = total.select("n").scalar()
-    pc = F.col("baskets").cast("double")
+    n, pc = F.col("n").cast("double"), F.col("baskets").cast("double")
     return pairs.select(
         *keys, "item_a", "item_b", "baskets",
         F.round(100.0 * pc / n, 1).alias("support_pct"),
