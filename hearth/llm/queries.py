@@ -38,10 +38,18 @@ places AS (SELECT doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i
 hits AS (SELECT doc_id, item_id, p, k FROM places JOIN windows USING (k, gram)),
 covered AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS word FROM hits) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
-          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY 1)
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY 1),
+item_places AS (SELECT item_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS gram,
+                       unnest(range(1, len(w) - k + 2)) AS i FROM b),
+diagonals AS (SELECT doc_id, item_id, k, p, p - i AS d, p - row_number() OVER (PARTITION BY doc_id, item_id, k, p - i ORDER BY p) AS run
+              FROM places JOIN item_places USING (k, gram)),
+matches AS (SELECT doc_id, item_id::VARCHAR AS item, min(p) - 1 AS word, count(*) + k - 1 AS length
+            FROM diagonals GROUP BY doc_id, item_id, k, d, run),
+longest AS (SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, word, item) = 1)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
-       sha256(coalesce(items.ids, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(items.ids, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated,
+       coalesce(longest.length, 0)::BIGINT AS longest, longest.word::BIGINT AS longest_word, longest.item AS longest_item
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
 """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

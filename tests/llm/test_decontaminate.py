@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import time
 
+import numpy as np
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 from hearth.llm import decontaminate as D
@@ -36,16 +38,37 @@ def brute(docs, items, window=10):
     return out
 
 
+def brute_longest(docs, items, window=10):
+    """Per document: (length, first word, item id) of its longest match, or None."""
+    out = []
+    for _, text in docs:
+        w, best = words(text), []
+        for item, body in items:
+            b = words(body)
+            k = min(window, len(b))
+            for p in range(len(w)):
+                for i in range(len(b)):
+                    n = 0
+                    while p + n < len(w) and i + n < len(b) and w[p + n] == b[i + n]:
+                        n += 1
+                    if n >= k:
+                        best.append((-n, p, item is None, "" if item is None else str(item)))
+        out.append(min(best, default=None))
+    return out
+
+
 def check(spark, docs, items, **options):
     d = spark.createDataFrame([(i, *r) for i, r in enumerate(docs)], "k int, doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = {}
-    for r in D.scan(d, b, **options).collect():
+    got, match = {}, {}
+    for r in D.scan(d, b, longest=True, **options).collect():
+        match[r.k] = r.match and (-r.match.length, r.match.word, r.match.item_id is None, r.match.item_id or "")
         covered = set()
         for s in r.hit_spans:
             covered.update(range(s.start, s.end))
         got[r.k] = (r.n_words, len(covered), set(r.hit_items))
     assert [got[i] for i in range(len(docs))] == brute(docs, items)
+    assert [match[i] for i in range(len(docs))] == brute_longest(docs, items)
 
 
 def test_against_brute_force(spark):
@@ -82,6 +105,25 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert D.report(odd_docs, items).filter("contaminated").count() == 4
 
 
+def test_long_item_takes_time_in_proportion():
+    random.seed(6)
+    body = [str(random.randrange(50_000)).encode() for _ in range(80_000)]
+    block = D.TestBlock([("a", body)], 10)
+    doc = np.fromiter((block.vocab[w] for w in body), np.int32, len(body))
+    began = time.process_time()
+    spans, windows, best = D._shard_hits(block, [doc], True)
+    assert spans == [[(0, 80_000)]] and best == [(80_000, 0, 0)] and len(windows[0]) == 79_991
+    assert time.process_time() - began < 20
+
+
+def test_prompt_that_many_items_share(spark):
+    prompt = " ".join(f"p{i}" for i in range(10))
+    items = spark.createDataFrame([(i, f"{prompt} answer{i}") for i in range(3000)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"say {prompt} now") for i in range(400)], "doc_id long, text string").coalesce(1)
+    rows = D.report(docs, items).drop("items").distinct().collect()
+    assert len(rows) == 400 and {(r.n_hit, r.n_items, r.longest, r.longest_word, r.longest_item) for r in rows} == {(10, 3000, 10, 1, "0")}
+
+
 def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, "z a b c d e z"), (2, "b c d z")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "a b c d e f")], "item_id long, text string")
