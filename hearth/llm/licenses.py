@@ -1,10 +1,14 @@
 """Licence scan by diagonal voting.
 
-All rolling 2- and 3-word hashes of every document are joined to the places of
-the same grams in licence templates. A match at document word p and template word
+All rolling 2-, 3- and 5-word hashes of every document are joined to the places of
+the same grams in licence templates: phrases of two words have 2-word grams, notices
+3-word ones, and texts of more than ``LONG`` words, of which 3-word grams stand in any
+prose, 5-word ones. Templates are a parameter. A match at document word p and template word
 t votes for diagonal p - t; votes are counted per document, template and diagonal,
 neighbouring diagonals (words left out or put in) are merged, and a span counts
-once the matched words, compared as words, cover enough of its template.
+once the matched words, compared as words, cover enough of its template. Where spans
+of several templates overlap, as those of like licences do, the one with most matched
+words stays (of equals, that which covers most of its template).
 """
 
 from __future__ import annotations
@@ -16,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearth.llm.common import WORD_TABLE, Shipped, binaries, map_batches
+from hearth.llm.common import WORD_TABLE, Shipped, binaries, byte_words, map_batches
 from hearth.llm.hashing import WordHasher, rolled
+from hearth.llm.license_texts import TEXTS
+from hearth.plans.joins import broadcast_if_small
 
 #: Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
-#: Notices looked for besides (label, words).
+#: Notices looked for besides (label, words); ``TEXTS`` holds whole licences.
 NOTICES = [
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
@@ -43,23 +49,32 @@ NOTICES = [
 
 COVER = 0.75        # least part of a template that a span must match
 GAP = 3             # diagonals at most so far apart belong together
+LONG = 48           # words of a template from which on its grams have five
+SIZES = (2, 3, 5)   # words of a gram
 
 
 class Grams:
-    """Template places by gram hash. The tables are literals of this module."""
+    """Places of ``BASE`` and of ``templates`` (label, text) by gram hash: a
+    configuration that the driver holds. A template without words takes no part, one of
+    a single word cannot be told by its grams and is refused."""
 
-    def __init__(self):
+    def __init__(self, templates: list[tuple[str, str]] | None = None):
         self.rows = []      # hash, template, place, gram, k, length, label, base
         hasher = WordHasher(WORD_TABLE)
-        parts: dict[int, set[int]] = {2: set(), 3: set()}
-        for number, (label, text, base) in enumerate([(l, t, True) for t, l in BASE] + [(l, t, False) for l, t in NOTICES]):
-            words = text.split()
-            k = min(3, len(words))
-            hashes = next(hasher.slabs([text.encode()])).hashes
+        parts: dict[int, set[int]] = {k: set() for k in SIZES}
+        others = NOTICES + TEXTS if templates is None else templates
+        for number, (label, text, base) in enumerate([(l, t, True) for t, l in BASE] + [(l, t, False) for l, t in others]):
+            words = [w.decode() for w in byte_words(text.encode())]
+            if not words:
+                continue
+            if len(words) < 2:
+                raise ValueError(f"a template needs two words: {label}")
+            k = max(n for n in SIZES if n <= len(words) and (n < 5 or len(words) > LONG))
+            hashes = np.concatenate([x.hashes for x in hasher.slabs([text.encode()])])
             parts[k].update(hashes.tolist())
             for place, gram in enumerate(rolled(hashes, k).tolist()):
                 self.rows.append((gram, number, place, " ".join(words[place:place + k]), k, len(words), label, base))
-        #: Hashes of the words that 2-word and 3-word grams are made of.
+        #: Hashes of the words that grams of each size are made of.
         self.parts = {k: np.array(sorted(v), np.uint64) for k, v in parts.items()}
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -67,12 +82,12 @@ class Grams:
                                                 "label string, base boolean")
 
 
-GRAM_SCHEMA = "row long, doc long, at int, h2 long, h3 long, words string, n_words long"
+GRAM_SCHEMA = f"row long, doc long, at int, {', '.join(f'h{k} long' for k in SIZES)}, words string, n_words long"
 
 
 def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
-    """One row per document word: the hashes of the 2 and 3 words from there on
-    (null at the end of the text), and the words themselves where all are words of
+    """One row per document word: the hashes of the words from there on, of each
+    size (null at the end of the text), and the words themselves where all are words of
     templates. A further row per document (``at`` -1) carries its number of words.
     ``row`` numbers documents; all rows of one come from the same task attempt."""
     shipped = Shipped(docs.sparkSession, grams.parts)
@@ -91,7 +106,7 @@ def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
         left = np.repeat(count, count) - at             # words from here to the end of the text
         held = np.zeros(n, bool)
         hashes = []
-        for k in (2, 3):
+        for k in SIZES:
             hashes.append(pa.array(ahead(rolled(slab.hashes, k), n, left, k, 0), mask=left < k))
             known = np.isin(slab.hashes, parts[k])
             run = known[:max(0, n - k + 1)].copy()
@@ -100,17 +115,17 @@ def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
             held |= ahead(run, n, left, k, False)
         words = np.full(n, None, object)
         for i in np.flatnonzero(held).tolist():
-            words[i] = b" ".join(slab.word(j) for j in range(i, i + min(3, int(left[i])))).decode()
+            words[i] = b" ".join(slab.word(j) for j in range(i, i + min(SIZES[-1], int(left[i])))).decode()
         docs_of = pa.array(doc)
         none = pa.nulls(len(count), pa.int64())
         return pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([first + doc, first + np.arange(len(count))])),
             pa.concat_arrays([ids.take(docs_of), ids]),
             pa.array(np.concatenate([at, np.full(len(count), -1)]).astype(np.int32)),
-            pa.concat_arrays([hashes[0], none]), pa.concat_arrays([hashes[1], none]),
+            *[pa.concat_arrays([h, none]) for h in hashes],
             pa.concat_arrays([pa.array(words, pa.string()), pa.nulls(len(count), pa.string())]),
             pa.array(np.concatenate([np.zeros(n, np.int64), count.astype(np.int64)]))],
-            names=["row", "doc", "at", "h2", "h3", "words", "n_words"])
+            names=["row", "doc", "at", *[f"h{k}" for k in SIZES], "words", "n_words"])
 
     def run(batches):
         parts, hasher = shipped.get(), WordHasher(WORD_TABLE)
@@ -126,14 +141,14 @@ def gram_rows(docs: DataFrame, grams: Grams) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, GRAM_SCHEMA)
 
 
-def _votes(docs: DataFrame) -> DataFrame:
+def _votes(docs: DataFrame, templates: list[tuple[str, str]] | None) -> DataFrame:
     """Votes per document, template and diagonal; documents as rows without template."""
     spark = docs.sparkSession
-    grams = Grams()
-    places = F.broadcast(grams.table(spark))        # a literal table of some hundred rows
+    grams = Grams(templates)
+    places = broadcast_if_small(grams.table(spark))
     rolled = gram_rows(docs, grams).select(
         "row", "doc", "at", "words", "n_words",
-        F.explode(F.when(F.col("at") < 0, F.array(F.lit(None).cast("long"))).otherwise(F.array("h2", "h3"))).alias("hash"))
+        F.explode(F.when(F.col("at") < 0, F.array(F.lit(None).cast("long"))).otherwise(F.array(*[f"h{k}" for k in SIZES]))).alias("hash"))
     met = rolled.join(places, "hash", "left").filter(
         (F.col("at") < 0) | F.col("template").isNotNull() & F.startswith(
             F.concat("words", F.lit(" ")), F.concat("gram", F.lit(" "))))
@@ -141,10 +156,10 @@ def _votes(docs: DataFrame) -> DataFrame:
         F.max("n_words").alias("n_words"), F.collect_set("place").alias("places"))
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``row, doc, n_words, template, label, base, start, end, cover``: one row per
-    merged span, and one with null template per document."""
-    votes = _votes(docs)
+def spans(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``row, doc, n_words, template, label, base, start, end, matched, cover``: one
+    row per merged span (``matched``: its words), and one with null template per document."""
+    votes = _votes(docs, templates)
     near = W.partitionBy("row", "template").orderBy("diagonal")
     apart = F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(near) > GAP), 1).otherwise(0)
     regions = votes.withColumn("apart", apart).withColumn("region", F.sum("apart").over(near))
@@ -154,21 +169,30 @@ def spans(docs: DataFrame) -> DataFrame:
     words = F.expr("size(array_distinct(flatten(transform(places, p -> sequence(p, p + k - 1)))))")
     return merged.select(
         "row", "doc", "n_words", "template", "label", "base", (F.col("first") + F.array_min("places")).alias("start"),
-        (F.col("last") + F.array_max("places") + F.col("k")).alias("end"), (words / F.col("length")).alias("cover"))
+        (F.col("last") + F.array_max("places") + F.col("k")).alias("end"), words.alias("matched"), (words / F.col("length")).alias("cover"))
 
 
-def scan(docs: DataFrame, cover: float = COVER) -> DataFrame:
+def scan(docs: DataFrame, cover: float = COVER, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per document of ``docs`` (``doc_id, text``): ``doc_id, n_words,
     n_base, first_word, last_word, base_labels, labels, score``.
 
-    A base place needs its whole phrase; other labels need ``cover`` of a notice.
+    A base place needs its whole phrase; other labels need ``cover`` of a template
+    (label, text), by default of ``NOTICES`` and ``TEXTS``.
     ``score`` is the best cover, 1 where a base phrase stands. Null and wordless
     texts have no words, no places, empty labels and score 0; repeated rows and
     null ids are documents of their own.
     """
-    found = spans(docs)
+    found = spans(docs, templates)
+    told = found.withColumn("other", F.coalesce(~F.col("base") & (F.col("cover") >= cover), F.lit(False)))
+    # overlapping spans of a document are one cluster (0: rows that are no such spans)
+    order = W.partitionBy("row").orderBy("other", "start", "end", "template")
+    before = F.max(F.when(F.col("other"), F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, -1))
+    told = told.withColumn("apart", (F.col("other") & (before.isNull() | (F.col("start") >= before))).cast("int"))
+    told = told.withColumn("cluster", F.sum("apart").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    rank = F.struct("matched", "cover")
+    found = told.withColumn("other", F.col("other") & (rank == F.max(rank).over(W.partitionBy("row", "cluster"))))
     base = F.col("base") & (F.col("cover") == 1)
-    other = ~F.col("base") & (F.col("cover") >= cover)
+    other = F.col("other")
 
     def joined(c):
         return F.array_join(F.array_sort(F.collect_set(c)), ",")
@@ -192,17 +216,25 @@ WITH t(template, place, gram, k, length, label, base) AS (VALUES {values}),
 d AS (SELECT doc_id, {words} AS w FROM documents),
 g AS (SELECT doc_id, k, unnest(range(0, len(w) - k + 1)) AS p,
              unnest([array_to_string(w[i + 1:i + k], ' ') FOR i IN range(0, len(w) - k + 1)]) AS gram
-      FROM d, (VALUES (2), (3)) AS s(k) WHERE len(w) >= k),
+      FROM d, (VALUES {', '.join(f'({k})' for k in SIZES)}) AS s(k) WHERE len(w) >= k),
 v AS (SELECT DISTINCT doc_id, template, k, length, label, base, p - place AS diagonal, place FROM g JOIN t USING (k, gram)),
 dg AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS step
        FROM (SELECT DISTINCT doc_id, template, base, diagonal FROM v)),
 rg AS (SELECT doc_id, template, diagonal, count(*) FILTER (base OR step > {GAP})
               OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS region FROM dg),
 s AS (SELECT doc_id, template, label, base, region, min(diagonal) + min(place) AS start,
+             max(diagonal) + max(place) + any_value(k) AS stop, count(DISTINCT word) AS matched,
              count(DISTINCT word) / any_value(length) AS cover
       FROM (SELECT *, unnest(range(place, place + k)) AS word FROM v JOIN rg USING (doc_id, template, diagonal))
       GROUP BY doc_id, template, label, base, region),
-ok AS (SELECT * FROM s WHERE CASE WHEN base THEN cover = 1 ELSE cover >= {cover} END)
+own AS (SELECT *, max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+        FROM s WHERE NOT base AND cover >= {cover}),
+clusters AS (SELECT *, count(*) FILTER (reach IS NULL OR start >= reach)
+                       OVER (PARTITION BY doc_id ORDER BY start, stop, template ROWS UNBOUNDED PRECEDING) AS cluster FROM own),
+ok AS (SELECT doc_id, label, base, start, cover FROM s WHERE base AND cover = 1
+       UNION ALL
+       SELECT doc_id, label, base, start, cover FROM clusters
+       QUALIFY rank() OVER (PARTITION BY doc_id, cluster ORDER BY matched DESC, cover DESC) = 1)
 SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, count(*) FILTER (base) AS n_base,
        min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,

@@ -1,5 +1,7 @@
+import pytest
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
+from hearth.llm import license_texts as T
 from hearth.llm import licenses as N
 
 
@@ -31,6 +33,21 @@ def test_notices_with_changes(spark):
     assert got[3].labels == "mit" and got[4].labels == "cc-by,cc-by-nc-4.0"
 
 
+def test_whole_licences_and_own_templates(spark):
+    texts = dict(T.TEXTS)
+    changed = texts["mit"].replace("The above", "The   following").replace("AUTHORS", "WRITERS")
+    got = scan(spark, [f"Copyright (c) 2020 A. N. Other\n\n{text}\nmore" for text in texts.values()] + [changed, texts["isc"][:200]])
+    for i, label in enumerate(texts):
+        own = set(got[i].labels.split(",")) - set(got[i].base_labels.split(","))
+        assert own == {label} and got[i].score == 1.0, label
+    assert got[len(texts)].labels == "mit" and got[len(texts) + 1].labels == ""
+    df = spark.createDataFrame([(1, "we part as friends today"), (2, texts["mit"])], "doc_id long, text string")
+    own = {r.doc_id: r.labels for r in N.scan(df, templates=[("house", "part as friends"), ("none", "..")]).collect()}
+    assert own == {1: "house", 2: ""}
+    with pytest.raises(ValueError):
+        N.Grams([("short", "word")])
+
+
 def test_spans_say_where(spark):
     df = spark.createDataFrame([(1, "a b released under the mit license c")], "doc_id long, text string")
     found = [(r.label, r.start, r.end, r.cover) for r in N.spans(df).collect() if r.label == "mit" and r.cover == 1]
