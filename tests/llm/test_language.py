@@ -1,3 +1,5 @@
+import zlib
+
 from pyspark.sql import functions as F
 
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
@@ -90,3 +92,44 @@ def test_no_labelled_row_keeps_every_text_with_a_letter(spark, odd_docs, no_docs
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(map(str, [5, 6, 7, 7, 8, None, 10, 11, 12, 13]))
     assert L.keep_identified(no_docs).count() == 0
+
+
+def number(gram):
+    """The place of an n-gram in the order that breaks ties."""
+    out = 0
+    for c in gram:
+        out = out << 21 | (1 if c == " " else ord(c))
+    return out
+
+
+def brute_predictions(rows, size=L.PROFILE):
+    """{doc_id: (language, score)}: profiles from the rows that are not held out,
+    out-of-place distances one n-gram at a time."""
+    counts = {}
+    for doc_id, text, lang in rows:
+        if text and lang is not None and zlib.crc32(str(doc_id).encode()) % 3 != 1:
+            for g, n in brute_grams(text).items():
+                counts.setdefault(lang, {})[g] = counts.get(lang, {}).get(g, 0) + n
+
+    def ranked(grams):
+        return sorted((g for g in grams if g.strip()), key=lambda g: (-grams[g], number(g)))[:size]
+
+    profiles = {lang: {g: i for i, g in enumerate(ranked(c))} for lang, c in counts.items()}
+    out = {}
+    for doc_id, text, _ in rows:
+        own = ranked(brute_grams(text)) if text else []
+        best = min(((sum(abs(p[g] - i) if g in p else size for i, g in enumerate(own)), lang) for lang, p in profiles.items()),
+                   default=None) if own else None
+        out[doc_id] = ("und", 0.0) if best is None else (best[1], 1 - best[0] / (size * len(own)))
+    return out
+
+
+def test_query_against_brute_force(spark):
+    from hearth.llm.queries import QUERIES
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = brute_predictions(rows)
+    got = {r.doc_id: r for r in QUERIES["op4_language_id"](spark, SF_SMALL).collect()}
+    assert len(got) == len(rows)
+    for doc_id, (lang, score) in want.items():
+        assert got[doc_id].lang_pred == lang and abs(got[doc_id].score - score) < 1e-9, doc_id
+        assert got[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 3 == 1)

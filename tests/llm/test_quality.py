@@ -1,3 +1,7 @@
+import math
+import re
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -65,3 +69,72 @@ def test_query_columns(spark):
     df = QUERIES["op3_quality_classifier"](spark, SF_SMALL)
     assert dict(df.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
     assert df.count() == 200
+
+
+def plain_features(text):
+    """Distinct feature numbers of tokens and pairs of tokens, one byte at a time."""
+    full, prime = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    table = [int(x) for x in Q.hasher().table]
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+        return x ^ x >> 31
+
+    tokens = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^\x20\x09-\x0d0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    one = [mixed(sum(table[b] * pow(prime, j, 1 << 64) for j, b in enumerate(t)) & full) for t in tokens]
+    two = [mixed(((2 * prime + a) * prime + b) & full) for a, b in zip(one, one[1:])]
+    return sorted({h >> 44 for h in one + two})
+
+
+def plain_ftrl(examples, start, rare):
+    """Weights after FTRL over the examples, a feature at a time; -1 is the bias."""
+    z = {i: (-w * Q.BETA / Q.ALPHA if i == -1 else -w * (Q.BETA / Q.ALPHA + Q.L2) - math.copysign(Q.L1, w)) for i, w in start.items()}
+    n = {}
+
+    def weight(i):
+        v, root = z.get(i, 0.0), math.sqrt(n.get(i, 0.0))
+        if i == -1:
+            return -v / ((Q.BETA + root) / Q.ALPHA)
+        return 0.0 if abs(v) <= Q.L1 else -(v - math.copysign(Q.L1, v)) / ((Q.BETA + root) / Q.ALPHA + Q.L2)
+
+    for epoch in range(Q.EPOCHS):
+        for e in np.random.default_rng(epoch).permutation(len(examples)):
+            at, y = examples[e]
+            x = 1 / math.sqrt(max(1, len(at)))
+            old = {i: weight(i) for i in [*at, -1]}
+            p = 1 / (1 + math.exp(-max(-35, min(35, x * sum(old[i] for i in at) + old[-1]))))
+            for i, w in old.items():
+                g = rare[y] * (p - y) * (1 if i == -1 else x)
+                had = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(had + g * g) - math.sqrt(had)) / Q.ALPHA * w
+                n[i] = had + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_query_against_brute_force(spark):
+    from hearth.llm.queries import QUERIES
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", F.pmod(F.hash("doc_id"), F.lit(Q.SHARDS)).alias("shard")).collect()
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
+    sets = {r.doc_id: plain_features(r.text) for r in docs}
+    learn = [r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 5 and quality.get(r.doc_id) is not None]
+    count = {y: sum(quality[r.doc_id] == y for r in learn) for y in (0, 1)}
+    rare = {y: max(count.values()) / max(1, c) for y, c in count.items()}
+    weights = {}
+    for _ in range(Q.ROUNDS):
+        mean = {}
+        for shard in range(Q.SHARDS):
+            examples = [(sets[r.doc_id], quality[r.doc_id]) for r in sorted(learn, key=lambda r: r.doc_id) if r.shard == shard]
+            if examples:
+                start = {i: float(np.float32(w)) for i, w in weights.items() if w}
+                for i, w in plain_ftrl(examples, start, rare).items():
+                    mean[i] = mean.get(i, 0.0) + w * len(examples) / len(learn)
+        weights = mean
+    got = {r.doc_id: r for r in QUERIES["op3_quality_classifier"](spark, SF_SMALL).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        at = sets[r.doc_id]
+        s = sum(weights.get(i, 0.0) for i in at) / math.sqrt(max(1, len(at))) + weights.get(-1, 0.0)
+        assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-s))) < 1e-4, r.doc_id
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)

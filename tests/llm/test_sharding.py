@@ -48,3 +48,34 @@ def test_query(spark):
     assert dict(df.dtypes)["grown_shard"] == "int" and len(rows) == 200 and {r.law for r in rows} == {"bytes"}
     assert {r.shard for r in rows} <= set(range(16))
     loads(rows)
+
+
+def brute_shards(rows, shards):
+    """{row: shard} by sorting every node's rows: cut where a row takes the bytes to
+    the node's share, before or after it, whichever comes nearer."""
+    spans = {d: max(r[d] for r in rows) - min(r[d] for r in rows) for d in S.DIMENSIONS}
+
+    def split(some, first, last):
+        if last - first == 1:
+            return {r.row: first for r in some}
+        left = (last - first) // 2
+        wide = {d: (max(r[d] for r in some) - min(r[d] for r in some)) / max(1, spans[d]) if some else 0 for d in S.DIMENSIONS}
+        by = next(d for d in S.DIMENSIONS if wide[d] == max(wide.values()))
+        some = sorted(some, key=lambda r: (r[by], r.tie))
+        wanted, below, cut = sum(r.size for r in some) * left / (last - first), 0, len(some)
+        for i, r in enumerate(some):
+            if below + r.size >= wanted:
+                cut = i if wanted - below < below + r.size - wanted else i + 1
+                break
+            below += r.size
+        return split(some[:cut], first, first + left) | split(some[cut:], first + left, last)
+
+    return split(rows, 0, shards)
+
+
+def test_query_against_brute_force(spark):
+    from hearth.llm.queries import QUERIES
+    rows = S.metadata(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
+    want = brute_shards(rows, 16)
+    got = {r.doc_id: r for r in QUERIES["op6_kd_tree_sharding"](spark, SF_SMALL).collect()}
+    assert {r.doc_id: (r.size, r.crc, want[r.row]) for r in rows} == {i: (r.size, r.text_crc32, r.shard) for i, r in got.items()}
