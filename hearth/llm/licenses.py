@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from hearth.llm.common import WORD_TABLE, Shipped, binaries, byte_words, map_batches
 from hearth.llm.hashing import WordHasher, rolled
 from hearth.llm.license_texts import TEXTS
-from hearth.plans.joins import broadcast_if_small
+from hearth.plans.joins import BROADCAST_MAX_BYTES
 
 #: Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -77,6 +77,10 @@ class Grams:
         #: Hashes of the words that grams of each size are made of.
         self.parts = {k: np.array(sorted(v), np.uint64) for k, v in parts.items()}
 
+    def bytes(self) -> int:
+        """About what the table takes."""
+        return sum(64 + len(r[3]) + len(r[6]) for r in self.rows)
+
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "hash long, template int, place int, gram string, k int, length int, "
                                                 "label string, base boolean")
@@ -145,7 +149,9 @@ def _votes(docs: DataFrame, templates: list[tuple[str, str]] | None) -> DataFram
     """Votes per document, template and diagonal; documents as rows without template."""
     spark = docs.sparkSession
     grams = Grams(templates)
-    places = broadcast_if_small(grams.table(spark))
+    places = grams.table(spark)
+    if grams.bytes() <= BROADCAST_MAX_BYTES:    # Spark knows no size of a driver's list
+        places = F.broadcast(places)
     rolled = gram_rows(docs, grams).select(
         "row", "doc", "at", "words", "n_words",
         F.explode(F.when(F.col("at") < 0, F.array(F.lit(None).cast("long"))).otherwise(F.array(*[f"h{k}" for k in SIZES]))).alias("hash"))
