@@ -13,8 +13,8 @@ BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size of ``df`` by the optimizer's statistics: the bytes of the files it scans,
-    scaled by the columns kept; filters and aggregations do not make it smaller, so
-    it errs on the large side. Runs no job and is asked anew for every plan, so a
+    scaled by the columns kept. Files are compressed, so rows in memory may take some
+    times as much; filters and aggregations do not make it smaller. Runs no job and is asked anew for every plan, so a
     table that has grown is seen."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
