@@ -85,7 +85,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, rows:
     """``shard, doc_id, y, features`` of at most ``rows`` labelled documents: those
     whose id hashes lowest among the label rows that ``learn_from`` admits. The
     sample is broadcast (its size has that bound) and its texts never leave the
-    executors."""
+    executors. Of several texts under one id, that with the least features counts, in
+    the order of arrays, so that a run can be repeated; of several labels, the larger."""
     sample = labels.filter(learn_from & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
@@ -98,7 +99,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, rows:
                                              names=["doc_id", "y", "features"])
 
     sets = map_batches(found.select(F.col("doc_id").cast("long"), "text", "y"), run, "doc_id long, y int, features array<int>")
-    return sets.dropDuplicates(["doc_id"]).withColumn("shard", F.pmod(F.hash("doc_id"), F.lit(SHARDS)))
+    one = sets.groupBy("doc_id").agg(F.min(F.struct("features", "y")).alias("s")).select("doc_id", "s.y", "s.features")
+    return one.withColumn("shard", F.pmod(F.hash("doc_id"), F.lit(SHARDS)))
 
 
 def train(rows: DataFrame) -> np.ndarray:

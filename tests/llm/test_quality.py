@@ -52,6 +52,16 @@ def test_sample_is_bounded_and_leaves_held_out_rows(spark, odd_docs):  # noqa: F
     assert len(rows) <= 6 and 5 not in {r.doc_id for r in rows} and len({r.doc_id for r in rows}) == len(rows)
 
 
+def test_one_text_counts_for_an_id(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    texts = [(1, "a b c"), (1, "d e"), (1, "f")]
+    least = min([int(x) for x in f] for f in Q.features([t.encode() for _, t in texts], Q.hasher()))
+    for some in (texts, texts[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        rows = Q.training_rows(docs, labels, F.lit(True)).collect()
+        assert [(r.doc_id, r.y, list(r.features)) for r in rows] == [(1, 1, least)]
+
+
 def test_odd_rows(spark, odd_docs, no_docs):  # noqa: F811
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 13)], "doc_id long, quality int")
     weights = Q.train(Q.training_rows(odd_docs, labels, F.lit(True)))
