@@ -73,6 +73,47 @@ def test_buckets_are_bounded(spark, monkeypatch):
     assert w._buckets() == store.MAX_BUCKETS < 100_000
 
 
+def shuffles(df):
+    return plan(df).count("Exchange hashpartitioning")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_buckets_follow_the_bytes_of_the_receipt_tables(spark, monkeypatch):
+    w = store.StoredWarehouse(Warehouse(spark, SF_SMALL))
+    assert w._input_bytes() == sum(os.path.getsize(f"{SF_SMALL}/{t}.parquet") for t in ("orders", "lineitem"))
+    for mb in (512, 4096):
+        monkeypatch.setattr(w, "_input_bytes", lambda mb=mb: mb * 1024 ** 2)
+        assert w._buckets() >= mb // 4      # a task reads a whole bucket
+
+
+def test_lines_are_shuffled_for_their_part_and_once_for_their_receipt(spark, no_broadcast):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    w.sales
+    src = w._dated("sales_lines", w._w.sales_lines, w._buckets(), store.BUCKETED["sales_lines"])
+    assert shuffles(src) <= 3       # parts, lines by part, lines by reference
+    assert {"business_date", "business_period"} <= set(src.columns)
+
+
+def test_receipts_meet_their_lines_without_a_shuffle(spark, no_broadcast):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    lines = w.sales_lines.groupBy(*store.RECEIPT_KEY, "p_staff_name").agg(F.sum("quantity").alias("q"))
+    assert shuffles(w.sales.join(lines, store.RECEIPT_KEY).groupBy(*store.RECEIPT_KEY).agg(F.max("q"))) == 0
+
+
+def test_names_are_read_from_the_stored_lines(spark):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    w.sales_lines
+    for name in ("staff_names", "item_name_categories"):
+        assert not [f for f in getattr(w._w, name).inputFiles() if "lineitem.parquet" in f], name
+
+
 def test_names_merge_to_the_least(spark):
     schema = "staff_id long, name string"
     old = spark.createDataFrame([(1, "Bea"), (2, "Cy")], schema)
