@@ -114,6 +114,12 @@ def test_names_are_read_from_the_stored_lines(spark):
         assert not [f for f in getattr(w._w, name).inputFiles() if "lineitem.parquet" in f], name
 
 
+def test_receipt_payloads_are_built_from_the_stored_buckets(spark, no_broadcast):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    w.sales_lines, w.payments
+    assert shuffles(w._w.receipt_docs) == 0
+
+
 def test_names_merge_to_the_least(spark):
     schema = "staff_id long, name string"
     old = spark.createDataFrame([(1, "Bea"), (2, "Cy")], schema)
