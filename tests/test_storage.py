@@ -120,6 +120,12 @@ def test_receipt_payloads_are_built_from_the_stored_buckets(spark, no_broadcast)
     assert shuffles(w._w.receipt_docs) == 0
 
 
+def test_market_lines_are_shuffled_once_for_their_receipt_and_order(spark, no_broadcast):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    w.sales
+    assert shuffles(w._w.peazi_order_lines) <= 3
+
+
 def test_names_merge_to_the_least(spark):
     schema = "staff_id long, name string"
     old = spark.createDataFrame([(1, "Bea"), (2, "Cy")], schema)
