@@ -5,6 +5,7 @@ import contextlib
 import datetime as dt
 import io
 import os
+import re
 import tempfile
 
 import pytest
@@ -167,3 +168,26 @@ def test_a_header_cell_may_hold_a_line_break(spark):
     df = scan_csv(spark, folder)
     got = sorted((r["source_file"], r["Guest\nname"], r["Text"], r["Extra"]) for r in df.collect())
     assert got == [("one.csv", "Ann", "two\nlines", None), ("one.csv", "Bo", "x", None), ("two.csv", None, "y", "1")]
+
+
+def test_deliveries_are_built_in_even_parts_however_the_events_lie(spark):
+    w = store.stored_warehouse(spark, SF_SMALL)      # its events are one row group
+    rows = [r["count"] for r in w._w.webhook_deliveries.groupBy(F.input_file_name()).count().collect()]
+    assert len(rows) >= spark.sparkContext.defaultParallelism and max(rows) < 2 * sum(rows) / len(rows)
+
+
+def test_parts_of_the_events_follow_their_bytes(spark, monkeypatch):
+    w = store.StoredWarehouse(Warehouse(spark, SF_SMALL))
+    asked = []
+    monkeypatch.setattr(w, "_input_bytes", lambda *t: (asked.append(t), 4096 * 1024 ** 2)[1])
+    assert w._w.spread(spark.range(1), "events", "id").rdd.getNumPartitions() == 4096 * 1024 ** 2 // store.BUCKET_INPUT_BYTES
+    assert asked == [("events",)]
+
+
+def test_whole_events_are_shuffled_once(spark, no_broadcast):
+    w = store.stored_warehouse(spark, SF_SMALL)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        w._w.storekit_orders.explain("formatted")
+    dealt = [re.sub(r"#\d+L?", "", x).split(", ") for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", out.getvalue())]
+    assert len(dealt) > 1 and sum(not set(x) <= {"svix_id", "seq", "order_id"} for x in dealt) == 1

@@ -140,6 +140,27 @@ def test_fold_rules(spark):
     assert got["o3"].status == "preparing" and got["o3"].last_event == "order.preparing"
 
 
+def test_one_shuffle_of_events_gives_the_rows_of_two(spark):
+    """Delivery ids seen again: in the order, in other orders, after a row without an order
+    or an event that is not handled; empty ids all count."""
+    status = lambda event, order: json.dumps({"event": event, "data": {"order": {"id": order}}})
+    rows = [
+        (1, "a", _order("order.created", "o1", 1)), (2, "a", _order("order.created", "o2", 2)),
+        (3, "b", status("order.completed", "o2")), (4, "a", status("order.rejected", "o1")),
+        (5, "c", status("store.updated", "o3")), (6, "c", _order("order.created", "o3", 3)),
+        (7, "d", json.dumps({"event": "order.completed"})), (8, "d", _order("order.created", "o4", 4)),
+        (9, "", _order("order.created", "o5", 5)), (10, "", status("order.completed", "o5")), (11, "", status("order.canceled", "o5")),
+        (12, "e", _order("order.created", "o6", 6)), (13, "e", _order("order.created", "o6", 7)), (14, "e", status("order.refund.created", "o7")),
+        (16, "f", _order("order.created", "o9", 9)), (17, "f", status("order.completed", "o9")), (15, "f", _order("order.created", "o8", 8)),
+    ]
+    deliveries = spark.createDataFrame([(n, None, i, b) for n, i, b in reversed(rows)], "seq long, received_at timestamp, svix_id string, body string")
+    folded = ST.orders_from_deliveries(deliveries)
+    assert _rows(folded) == _batch(deliveries)
+    got = {r.order_id: r for r in ST.fold_deliveries(ST.normalise_events(deliveries)).collect()}
+    assert {o: (r.venue_id, r.status) for o, r in got.items()} == {
+        "o1": (1, "created"), "o2": (None, "completed"), "o5": (5, "canceled"), "o6": (6, "created"), "o8": (8, "created")}
+
+
 def test_a_batch_reads_only_its_parts(spark, monkeypatch):
     root = tempfile.mkdtemp(prefix="hearth-stream-")
     os.makedirs(f"{root}/landing")
